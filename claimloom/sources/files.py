@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+import hashlib
 import re
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,37 +16,47 @@ from claimloom.functions.clean import clean
 SEPARATORS = {".csv": ",", ".tsv": "\t"}
 TEXT_NAMES = ("text", "tweet", "statement", "title", "1", "2")
 CORRUPT = "_corrupt_record"
+GLOB = "*.{csv,tsv}"
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """``path, suffix`` of every CSV and TSV file below a folder, at any depth; contents are not read."""
-    scan = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{csv,tsv}")
+    scan = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", GLOB)
     return scan.load(folder).select("path", F.regexp_extract("path", r"(\.[a-z]+)$", 1).alias("suffix"))
 
 
-def output_path(path: str, raw: str, processed: str) -> str:
-    """Where the cleaned form of a file goes: mirrored folder, ``cleaned_`` prefix, always ``.csv``."""
-    plain = re.sub(r"^file:/*", "/", path)
-    root = re.sub(r"^file:/*", "/", raw).rstrip("/")
-    folder, _, name = plain.removeprefix(root).strip("/").rpartition("/")
-    stem = name.rpartition(".")[0]
-    return "/".join(p for p in (processed.rstrip("/"), folder, f"cleaned_{stem}.csv") if p)
+def headers(spark: SparkSession, folder: str) -> DataFrame:
+    """``path, header``: the first line of every file, found by a partial aggregate over line positions."""
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", GLOB).text(folder)
+    at_start = lines.select(
+        F.col("_metadata.file_path").alias("path"),
+        "value",
+        F.monotonically_increasing_id().alias("line"),
+        F.col("_metadata.file_block_start").alias("block"),
+    ).where("block = 0")
+    return at_start.groupBy("path").agg(F.min_by("value", "line").alias("header"))
 
 
-def header_of(spark: SparkSession, path: str, sep: str) -> list[str]:
-    """Column names from the first line only."""
-    return spark.read.option("header", True).option("sep", sep).csv(path).columns
+def header_names(header: str, sep: str) -> list[str]:
+    return next(csv.reader([header.removeprefix("﻿")], delimiter=sep))
 
 
-def read_raw(spark: SparkSession, path: str | list[str], sep: str) -> DataFrame:
-    """A delimited file with a header. Rows with too many fields are skipped; short rows are padded with nulls."""
-    names = header_of(spark, path if isinstance(path, str) else path[0], sep)
+def read_raw(
+    spark: SparkSession, paths: str | list[str], sep: str, names: list[str], multi_line: bool = True
+) -> DataFrame:
+    """Delimited files of one header, with ``source_file``.
+
+    Rows with too many fields are skipped; short rows are padded with nulls. Quoted
+    line breaks need whole-file splits; switch ``multi_line`` off for huge plain files.
+    """
     schema = StructType([StructField(c, StringType()) for c in [*names, CORRUPT]])
     reader = spark.read.schema(schema).option("header", True).option("sep", sep).option("escape", '"')
-    reader = reader.option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-    df = reader.csv(path)
+    reader = reader.option("multiLine", multi_line).option("mode", "PERMISSIVE")
+    df = reader.option("columnNameOfCorruptRecord", CORRUPT).csv(paths)
     too_long = F.col(CORRUPT).isNotNull() & (field_count(F.col(CORRUPT), sep) > len(names))
-    return df.where(~too_long).drop(CORRUPT)
+    return df.where(~F.coalesce(too_long, F.lit(False))).select(
+        *[F.col(f"`{c}`") for c in names], F.col("_metadata.file_path").alias("source_file")
+    )
 
 
 def field_count(record: Column, sep: str) -> Column:
@@ -57,7 +68,10 @@ def field_count(record: Column, sep: str) -> Column:
 def mean_lengths(df: DataFrame) -> DataFrame:
     """``position, column, mean_length`` of every column as text, in one pass; a null counts as ``nan``."""
     means = df.agg(
-        *[F.avg(F.length(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("nan")))).alias(f"m{i}") for i, c in enumerate(df.columns)]
+        *[
+            F.avg(F.length(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("nan")))).alias(f"m{i}")
+            for i, c in enumerate(df.columns)
+        ]
     )
     rows = [
         F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), F.col(f"m{i}").alias("mean_length"))
@@ -78,17 +92,42 @@ def text_column(df: DataFrame) -> str:
     return mean_lengths(df).orderBy(F.desc("mean_length"), "position").first()["column"]
 
 
-def clean_file(spark: SparkSession, path: str, sep: str) -> DataFrame:
-    """Input columns kept, ``cleaned_text`` added."""
-    df = read_raw(spark, path, sep)
-    return df.withColumn("cleaned_text", clean(F.col(f"`{text_column(df)}`")))
+def text_of(df: DataFrame, names: list[str]) -> DataFrame:
+    """Add ``_text``, the text column of each source file.
+
+    A known name settles it for all files of a header. Otherwise each file takes its
+    own longest column, from one aggregate per file.
+    """
+    named = named_text_column(names)
+    if named is not None:
+        return df.withColumn("_text", F.col(f"`{named}`"))
+    lengths = [
+        F.struct(F.avg(F.length(F.coalesce(F.col(f"`{c}`"), F.lit("nan")))).alias("mean"), F.lit(-i).alias("at"))
+        for i, c in enumerate(names)
+    ]
+    widest = F.greatest(*lengths) if len(lengths) > 1 else lengths[0]
+    chosen = df.groupBy("source_file").agg((-widest["at"]).alias("_at"))
+    by_position = F.array(*[F.col(f"`{c}`") for c in names])
+    return df.join(chosen, "source_file").withColumn("_text", F.get(by_position, F.col("_at"))).drop("_at")
+
+
+def plain_path(path: str) -> str:
+    return re.sub(r"^file:/*", "/", path).rstrip("/")
 
 
-@dataclass
-class FileResult:
-    path: str
-    status: str  # cleaned, skipped or failed
-    detail: str
+def clean_group(spark: SparkSession, paths: list[str], sep: str, names: list[str], raw: str) -> DataFrame:
+    """Files of one header cleaned together: input columns, ``cleaned_text``, and the mirrored place."""
+    df = text_of(read_raw(spark, paths, sep, names), names)
+    df = df.withColumn("cleaned_text", clean(F.coalesce("_text", F.lit("nan"))))
+    relative = F.regexp_replace(
+        F.regexp_replace("source_file", "^file:/*", "/"), f"^{re.escape(plain_path(raw))}/?", ""
+    )
+    return df.select(
+        *[F.col(f"`{c}`") for c in names],
+        "cleaned_text",
+        F.regexp_extract(relative, "^(.*)/[^/]*$", 1).alias("source_dir"),
+        F.concat(F.lit("cleaned_"), F.regexp_extract(relative, r"([^/]*)\.[a-z]+$", 1)).alias("source_name"),
+    )
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -102,24 +141,36 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def clean_folder(spark: SparkSession, raw: str, processed: str) -> DataFrame:
-    """Clean every file not cleaned before; one bad file does not stop the others.
+    """Clean every file not cleaned before and return ``path, status, detail``.
 
-    Returns ``path, status, detail``. Files differ in header and text column, so each is
-    a job of its own; rows within a file are spread over the cluster.
+    Files with the same header are one job, however many they are; a group that fails
+    does not stop the others. Output is CSV under ``schema=<hash of the header>``, in
+    one folder per source file; rewriting a file replaces only its own folder.
     """
-    results = []
-    for row in list_files(spark, raw).orderBy("path").toLocalIterator():
-        target = output_path(row["path"], raw, processed)
-        if path_exists(spark, target):
-            results.append((row["path"], "skipped", target))
-            continue
+    log = f"{processed.rstrip('/')}/_cleaned"
+    files = list_files(spark, raw)
+    todo = pending(files, spark.read.schema("path string").parquet(log)) if path_exists(spark, log) else files
+    found = todo.join(headers(spark, raw), "path", "left")
+    groups = found.groupBy("suffix", "header").agg(F.collect_list("path").alias("paths")).collect()
+    started = [p for g in groups for p in g["paths"]]
+    rows = []
+    for group in groups:
+        sep, paths, header = SEPARATORS[group["suffix"]], group["paths"], group["header"] or ""
+        target = f"{processed.rstrip('/')}/schema={hashlib.md5((sep + header).encode()).hexdigest()}"
         try:
-            out = clean_file(spark, row["path"], SEPARATORS[row["suffix"]])
-            out.write.mode("errorifexists").option("header", True).option("escape", '"').csv(target)
-            results.append((row["path"], "cleaned", target))
+            out = clean_group(spark, paths, sep, header_names(header, sep), raw)
+            writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.option("header", True).option("escape", '"').partitionBy("source_dir", "source_name").csv(target)
+            spark.createDataFrame([(p,) for p in paths], "path string").write.mode("append").parquet(log)
+            rows += [(p, "cleaned", target) for p in paths]
         except Exception as error:  # noqa: BLE001
-            results.append((row["path"], "failed", str(error).splitlines()[0]))
-    return spark.createDataFrame(results, "path string, status string, detail string")
+            rows += [(p, "failed", str(error).splitlines()[0]) for p in paths]
+    schema = "path string, status string, detail string"
+    worked = spark.createDataFrame(rows, schema)
+    skipped = files.join(spark.createDataFrame([(p,) for p in started], "path string"), "path", "left_anti")
+    return worked.unionByName(
+        skipped.select("path", F.lit("skipped").alias("status"), F.lit("cleaned before").alias("detail"))
+    )
 
 
 def pending(files: DataFrame, done: DataFrame) -> DataFrame:
@@ -127,10 +178,9 @@ def pending(files: DataFrame, done: DataFrame) -> DataFrame:
     return files.join(done.select("path"), "path", "left_anti")
 
 
-def read_claims(spark: SparkSession, path: str) -> DataFrame:
-    """A cleaned claims file; rows whose cleaned text is missing or empty are dropped."""
-    df = spark.read.option("header", True).option("escape", '"').csv(path)
-    return drop_blank(df)
+def read_cleaned(spark: SparkSession, path: str) -> DataFrame:
+    """A cleaned claims folder; rows whose cleaned text is missing or empty are dropped."""
+    return drop_blank(spark.read.option("header", True).option("escape", '"').csv(path))
 
 
 def drop_blank(df: DataFrame, column: str = "cleaned_text") -> DataFrame:
@@ -138,7 +188,8 @@ def drop_blank(df: DataFrame, column: str = "cleaned_text") -> DataFrame:
 
 
 def write_vocabulary(vocabulary: DataFrame, path: str) -> None:
-    vocabulary.select(F.col("term").alias("word")).orderBy("word").write.mode("errorifexists").option("header", True).csv(path)
+    words = vocabulary.select(F.col("term").alias("word")).orderBy("word")
+    words.write.mode("errorifexists").option("header", True).csv(path)
 
 
 def write_report(report: DataFrame, path: str) -> None:
