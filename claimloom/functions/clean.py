@@ -42,7 +42,10 @@ def _code_point(digits: Column, base: int) -> Column:
 
 
 def _entity_text(name: Column) -> Column:
-    named = F.create_map(*[F.lit(x) for pair in sorted(name2codepoint.items()) for x in (pair[0], chr(pair[1]))])
+    # two literal strings fold into one constant map; no name and no character holds the separator
+    named = F.map_from_arrays(
+        F.split(F.lit("|".join(name2codepoint)), r"\|"), F.split(F.lit("|".join(map(chr, name2codepoint.values()))), r"\|")
+    )
     return (
         F.when(name.rlike("^#[xX]"), _code_point(F.substring(name, 3, 6), 16))
         .when(name.startswith("#"), _code_point(F.substring(name, 2, 7), 10))

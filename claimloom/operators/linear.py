@@ -23,15 +23,22 @@ def logistic(variant: str, n_rows: int, C: float = 1.0, max_iter: int = 100, wei
         elasticNetParam=VARIANTS[variant],
         standardization=False,
         maxIter=max_iter,
+        tol=1e-4,
     )
     return lr.setWeightCol(weight) if weight else lr
 
 
+def compact(train: DataFrame, n_rows: int, rows_per_task: int = 20_000) -> DataFrame:
+    """Fewer partitions for a small training table: every optimizer step is one job over all of them."""
+    return train.coalesce(max(1, n_rows // rows_per_task))
+
+
 def train_variants(
     train: DataFrame, C: float = 1.0, variants: Sequence[str] = tuple(VARIANTS), weight: str | None = None
 ) -> dict[str, LogisticRegressionModel]:
     """One model per penalty from a ``features, target`` table (cached by the caller: fits iterate over it)."""
     n = train.count()
+    train = compact(train, n)
     return {v: logistic(v, n, C, 1000 if v == "elasticnet" else 100, weight).fit(train) for v in variants}
 
 
@@ -90,5 +97,6 @@ def train_polynomial(train: DataFrame, degree: int = 2, selected: int = 20, C: f
     )
     selector = selector.setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(selected)
     expand = PolynomialExpansion(degree=degree, inputCol="_selected", outputCol="_expanded")
-    lr = logistic("l2", train.count(), C, 1000).setFeaturesCol("_expanded")
-    return Pipeline(stages=[selector, expand, lr]).fit(train)
+    n = train.count()
+    lr = logistic("l2", n, C, 1000).setFeaturesCol("_expanded")
+    return Pipeline(stages=[selector, expand, lr]).fit(compact(train, n))

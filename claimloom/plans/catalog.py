@@ -805,7 +805,7 @@ def ingest_cleaned(spark, folder):
     docs = documents(spark, folder).select("doc_id", F.col("text").alias("tweet"))
     docs.write.option("header", True).option("escape", '"').csv(f"{root}/raw")
     files.clean_folder(spark, f"{root}/raw", f"{root}/processed").count()
-    out = files.read_cleaned(spark, f"{root}/processed/*/")
+    out = files.read_cleaned(spark, f"{root}/processed")
     return out.select(F.col("doc_id").cast("long").alias("doc_id"), "cleaned_text")
 
 

@@ -149,7 +149,7 @@ def linear_pipeline(
     term_model = features.fit_terms(labelled, max_features, terms=terms).materialized()
     train, vectorizer = vector_table(labelled, term_model, label)
     train = train.select("features", "target").persist()
-    model = linear.logistic(variant, train.count()).fit(train)
+    model = linear.train_variants(train, variants=(variant,))[variant]
     train.unpersist()
     return PipelineModel([*vectorizer.stages, model])
 

@@ -9,7 +9,7 @@ import fnmatch
 import json
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.sources.files import path_exists
@@ -67,12 +67,12 @@ class Lake:
     def put_table(
         self, df: DataFrame, name: str, metadata: dict | None = None, version: str | None = None, layer: str = "processed"
     ) -> str:
-        """Write a table; its row count is observed during the write, not counted again."""
+        """Write a table; its row count is read from the Parquet footers, not by a second pass."""
         version = version or current_version()
         target = self.path(layer, name, version)
-        seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(target)
-        system = {"name": name, "saved_at": _now(), "rows": seen.get["rows"], "columns": len(df.columns)}
+        df.write.mode("errorifexists").parquet(target)
+        rows = self.spark.read.parquet(target).count()
+        system = {"name": name, "saved_at": _now(), "rows": rows, "columns": len(df.columns)}
         return self._record(layer, name, version, target, metadata, system)
 
     def put_vectors(self, vectors: DataFrame, name: str, metadata: dict | None = None, version: str | None = None) -> str:
