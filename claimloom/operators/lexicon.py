@@ -78,13 +78,18 @@ def lemmatize(
     pos: str = "noun",
     lexicon: DataFrame | None = None,
     exceptions: DataFrame | None = None,
+    terms: DataFrame | None = None,
 ) -> DataFrame:
     """Replace tokens by their lemmas, keeping order and repeats.
 
+    ``docs`` is read three times, so it should be a stored table. ``terms`` is its
+    vocabulary where the caller has it; ``lexicon`` holds the words a lemma may be.
+
     Only the distinct tokens of a document that a rule could change travel to the
     lemma table; what comes back per document is a map of the few changed words.
     """
-    changes = changed_lemmas(vocabulary(docs, tokens), lexicon, pos, exceptions)
+    terms = vocabulary(docs, tokens) if terms is None else terms
+    changes = changed_lemmas(terms, lexicon, pos, exceptions)
     may_change = suffix_pattern(pos)
     token = F.col(tokens)
     if exceptions is None:

@@ -7,12 +7,13 @@ three tables, so training is one pass and scoring is three equi-joins whatever n
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.functions.tokens import ngrams
+from claimloom.session import materialize
 
 FLOOR = 1e-10  # probability used where the model gives none
 
@@ -28,6 +29,13 @@ class NgramModel:
     contexts: DataFrame  # by, n, context, total, followers
     words: DataFrame  # by, n, word, p_cont
 
+    def materialized(self) -> NgramModel:
+        """The same model with its tables written once: scoring reads each of them several times."""
+        counts = materialize(self.counts, "lm-counts")
+        contexts = materialize(context_counts(counts, *self.by), "lm-contexts")
+        words = materialize(continuation_shares(counts, *self.by), "lm-words")
+        return replace(self, counts=counts, contexts=contexts, words=words)
+
 
 def explode_ngrams(docs: DataFrame, n: int, *keep: str, tokens: str = "tokens", orders: Sequence[int] | None = None):
     """``keep..., n, context, word`` for every order: a narrow generator."""
@@ -59,17 +67,16 @@ def lm_vocabulary(docs: DataFrame, n: int, tokens: str = "tokens") -> DataFrame:
     return docs.select(F.explode(every).alias("word")).distinct()
 
 
-def fit(docs: DataFrame, n: int = 3, discount: float = 0.75, by: Sequence[str] = (), tokens: str = "tokens") -> NgramModel:
-    by = tuple(by)
-    counts = ngram_counts(docs, n, *by, tokens=tokens)
-    contexts = context_counts(counts, *by)
+def continuation_shares(counts: DataFrame, *by: str) -> DataFrame:
+    """``by..., n, word, p_cont``; the totals are a handful of rows from the already aggregated words."""
     words = continuation_counts(counts, *by)
-    # totals per order (and class): a handful of rows, from the already aggregated words
     totals = words.groupBy(*by, "n").agg(F.sum("continuations").alias("all"))
-    words = words.join(totals, [*by, "n"]).select(
-        *by, "n", "word", (F.col("continuations") / F.col("all")).alias("p_cont")
-    )
-    return NgramModel(n, discount, by, counts, contexts, words)
+    return words.join(totals, [*by, "n"]).select(*by, "n", "word", (F.col("continuations") / F.col("all")).alias("p_cont"))
+
+
+def fit(docs: DataFrame, n: int = 3, discount: float = 0.75, by: Sequence[str] = (), tokens: str = "tokens") -> NgramModel:
+    counts = ngram_counts(docs, n, *by, tokens=tokens)
+    return NgramModel(n, discount, tuple(by), counts, context_counts(counts, *by), continuation_shares(counts, *by))
 
 
 def suffix_orders(context: Column, n: int) -> Column:

@@ -383,7 +383,7 @@ def _turn_tokens(spark, folder):
 @query
 def kn_prob(spark, folder):
     """Trigram model of the documents, asked for every n-gram of the conversations."""
-    model = ngram_lm.fit(_lm_docs(spark, folder), 3)
+    model = ngram_lm.fit(_lm_docs(spark, folder), 3).materialized()
     grams = ngram_lm.explode_ngrams(_turn_tokens(spark, folder), 3, orders=[3]).select("context", "word").distinct()
     out = ngram_lm.probabilities(model, grams)
     return out.select("context", "word", F.col("level").cast("long").alias("level"), F.round("p", 9).alias("p"))
@@ -391,14 +391,14 @@ def kn_prob(spark, folder):
 
 @query
 def kn_perplexity(spark, folder):
-    model = ngram_lm.fit(_lm_docs(spark, folder), 3)
+    model = ngram_lm.fit(_lm_docs(spark, folder), 3).materialized()
     out = ngram_lm.corpus_perplexity(model, _turn_tokens(spark, folder))
     return out.select("positions", F.round("perplexity", 4).alias("perplexity"))
 
 
 @query
 def kn_perplexity_by_text(spark, folder):
-    model = ngram_lm.fit(_lm_docs(spark, folder), 2)
+    model = ngram_lm.fit(_lm_docs(spark, folder), 2).materialized()
     out = ngram_lm.perplexity_by(model, _turn_tokens(spark, folder), "request_id")
     return out.select("request_id", "positions", F.round("perplexity", 4).alias("perplexity"))
 
@@ -410,14 +410,14 @@ def _last_contexts(spark, folder):
 @query
 def kn_next_word(spark, folder):
     """The five likeliest words after the last two words of every conversation turn."""
-    model = ngram_lm.fit(_lm_docs(spark, folder), 3)
+    model = ngram_lm.fit(_lm_docs(spark, folder), 3).materialized()
     out = ngram_lm.next_words(model, _last_contexts(spark, folder))
     return out.select("context", F.col("rank").cast("long").alias("rank"), "word", "p")
 
 
 @query
 def kn_sample_word(spark, folder):
-    model = ngram_lm.fit(_lm_docs(spark, folder), 3)
+    model = ngram_lm.fit(_lm_docs(spark, folder), 3).materialized()
     return ngram_lm.sample_next(model, _last_contexts(spark, folder))
 
 
@@ -425,7 +425,7 @@ def kn_sample_word(spark, folder):
 def lm_classify(spark, folder):
     """Held-out documents classified by the class model that is least surprised."""
     docs = split_terms(spark, folder).withColumnRenamed("terms", "tokens")
-    model = ngram_lm.fit(docs.where(~F.col("is_test")), 2, by=["label"])
+    model = ngram_lm.fit(docs.where(~F.col("is_test")), 2, by=["label"]).materialized()
     test = docs.where("is_test").select("doc_id", "tokens")
     out = ngram_lm.classify_by_perplexity(model, test, "doc_id", "label")
     return out.select("doc_id", "prediction", F.round("perplexity", 4).alias("perplexity"))

@@ -11,6 +11,7 @@ from claimloom.functions import stopwords, tokens
 from claimloom.functions.clean import clean
 from claimloom.functions.stem import stem_tokens
 from claimloom.operators import lexicon
+from claimloom.session import materialize
 
 
 @dataclass(frozen=True)
@@ -34,6 +35,13 @@ def clean_texts(docs: DataFrame, text: str = "text", output: str = "cleaned_text
     return docs.withColumn(output, clean(F.col(text)))
 
 
+def split_tokens(docs: DataFrame, options: Preprocessing, text: str = "cleaned_text", output: str = "tokens") -> DataFrame:
+    """The narrow part of the chain: Treebank tokens without stop words, stemmed if asked for."""
+    split = tokens.treebank_tokens(F.lower(F.col(text)))
+    out = docs.withColumn(output, stopwords.drop_stopwords(split, options.stopwords))
+    return out.withColumn(output, stem_tokens(output)) if options.stem else out
+
+
 def preprocess_tokens(
     docs: DataFrame,
     key: str,
@@ -42,16 +50,30 @@ def preprocess_tokens(
     output: str = "tokens",
     lexicon_table: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the processed token array of ``text``. Narrow, except for lemmas."""
-    split = tokens.treebank_tokens(F.lower(F.col(text)))
-    out = docs.withColumn(output, stopwords.drop_stopwords(split, options.stopwords))
-    if options.stem:
-        out = out.withColumn(output, stem_tokens(output))
-    elif options.lemma:
-        out = lexicon.lemmatize(out, key, output, "noun", lexicon_table)
+    """Add the processed token array of ``text``.
+
+    Narrow, except for lemmas: those look words up in a lexicon (by default the
+    vocabulary of ``docs``), so the split tokens are stored first and the costly
+    splitting runs once.
+    """
+    out = split_tokens(docs, options, text, output)
+    if options.lemma and not options.stem:
+        out = lexicon.lemmatize(materialize(out, "tokens"), key, output, "noun", lexicon_table)
     return out.withColumn(output, tokens.drop_short(F.col(output), options.min_len))
 
 
+def fit_tokens(
+    docs: DataFrame, key: str, options: Preprocessing, text: str = "cleaned_text", output: str = "tokens"
+) -> tuple[DataFrame, DataFrame | None]:
+    """As ``preprocess_tokens``, and the stored lexicon later texts are to be processed with (None without lemmas)."""
+    if options.stem or not options.lemma:
+        return preprocess_tokens(docs, key, options, text, output), None
+    split = materialize(split_tokens(docs, options, text, output), "tokens")
+    words = materialize(lexicon.vocabulary(split, output), "lexicon")
+    out = lexicon.lemmatize(split, key, output, "noun", words, terms=words)
+    return out.withColumn(output, tokens.drop_short(F.col(output), options.min_len)), words
+
+
 def analyzer_terms(docs: DataFrame, processed: str = "tokens", output: str = "terms") -> DataFrame:
     """Terms a vectorizer sees: the processed tokens joined by blanks and split again into words."""
     return docs.withColumn(output, tokens.word_tokens(tokens.join_tokens(F.col(processed))))
@@ -73,6 +95,7 @@ def preprocess_requests(requests: DataFrame, key: str, lexicon_table: DataFrame
     split = tokens.treebank_tokens(clean(F.col("text")))
     kept = F.when(F.col("remove_stopwords"), stopwords.drop_stopwords(F.col("_split"), "standard"))
     out = requests.withColumn("_split", split).withColumn("_kept", kept.otherwise(F.col("_split")))
+    out = materialize(out.drop("_split"), "requests")
     lemmas = out.withColumn("_open", F.when(F.col("lemma") & ~F.col("stem"), F.col("_kept")).otherwise(F.array()))
     lemmas = lexicon.lemmatize(lemmas, key, "_open", lexicon=lexicon_table)
     chosen = (

@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.functions.clean import clean, preview
-from claimloom.operators import features, lexicon, linear, naive_bayes
+from claimloom.operators import features, linear, naive_bayes
 from claimloom.operators.retrieve import similar
 from claimloom.operators.sampling import encode_labels
-from claimloom.plans.preprocess import SERVING, Preprocessing, analyzer_terms, preprocess_tokens
+from claimloom.plans.preprocess import SERVING, Preprocessing, analyzer_terms, fit_tokens, preprocess_tokens
 from claimloom.session import materialize
 
 CLASSES = ("fake", "real")
@@ -35,27 +35,18 @@ class ClaimModel:
     nb: naive_bayes.NaiveBayes
 
     def terms(self, docs: DataFrame, text: str = "text") -> DataFrame:
-        """Documents with the ``terms`` the models read; no cleaned, blank row is dropped here."""
+        """Documents with the ``terms`` the models read; blank documents stay."""
         cleaned = docs.withColumn("cleaned_text", clean(F.col(text)))
         return analyzer_terms(
             preprocess_tokens(cleaned, self.key, self.options, lexicon_table=self.lexicon)
         )
 
 
-def fit_lexicon(docs: DataFrame, options: Preprocessing) -> DataFrame | None:
-    """The lemma lexicon of a corpus with a ``cleaned_text`` column, written once."""
-    if options.stem or not options.lemma:
-        return None
-    bare = Preprocessing(stopwords=options.stopwords)
-    return materialize(lexicon.vocabulary(preprocess_tokens(docs, "", bare)), "lexicon")
-
-
 def prepared(docs: DataFrame, key: str, options: Preprocessing, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame | None]:
     """``key, keep..., terms`` of a text table, and its lexicon."""
     cleaned = docs.select(key, *keep, clean(F.col("text")).alias("cleaned_text"))
-    words = fit_lexicon(cleaned, options)
-    out = analyzer_terms(preprocess_tokens(cleaned, key, options, lexicon_table=words))
-    return out.select(key, *keep, "terms"), words
+    out, words = fit_tokens(cleaned, key, options)
+    return analyzer_terms(out).select(key, *keep, "terms"), words
 
 
 def fit_claims(

@@ -180,7 +180,8 @@ def pending(files: DataFrame, done: DataFrame) -> DataFrame:
 
 def read_cleaned(spark: SparkSession, path: str) -> DataFrame:
     """A cleaned claims folder; rows whose cleaned text is missing or empty are dropped."""
-    return drop_blank(spark.read.option("header", True).option("escape", '"').csv(path))
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+    return drop_blank(reader.csv(path))
 
 
 def drop_blank(df: DataFrame, column: str = "cleaned_text") -> DataFrame:
