@@ -196,25 +196,28 @@ def next_words(model: NgramModel, contexts: DataFrame, k: int = 5) -> DataFrame:
     """
     if model.by:
         raise ValueError("next words need a single model")
-    best = context_levels(model, contexts)
+    levels = context_levels(model, contexts)
+    # contexts that share a level share its answer: rank each level once
+    used = levels.select("n", "context", "total", "followers").distinct()
     d = F.lit(model.discount)
     lam = d * F.col("followers") / F.col("total")
     followers = (
-        best.join(model.counts, ["n", "context"])
+        used.join(model.counts, ["n", "context"])
         .join(model.words, ["n", "word"])
-        .select("full", "word", (F.greatest(F.col("cnt") - d, F.lit(0.0)) / F.col("total") + lam * F.col("p_cont")).alias("p"))
+        .select(
+            "n", "context", "word",
+            (F.greatest(F.col("cnt") - d, F.lit(0.0)) / F.col("total") + lam * F.col("p_cont")).alias("p"),
+        )
     )
-    filler = _filler(model, best, k).select("full", "word", (lam * F.col("p_cont")).alias("p"))
+    filler = _filler(model, used, k).select("n", "context", "word", (lam * F.col("p_cont")).alias("p"))
     # a follower that is also filler keeps its greater, true probability
-    every = followers.unionByName(filler).groupBy("full", "word").agg(F.max("p").alias("p"))
-    ranked = every.where("p > 0").withColumn("p", F.round("p", 9))
-    rank = F.row_number().over(Window.partitionBy("full").orderBy(F.desc("p"), "word"))
-    return ranked.withColumn("rank", rank).where(F.col("rank") <= k).select(
-        F.col("full").alias("context"), "word", "p", "rank"
-    )
+    every = followers.unionByName(filler).groupBy("n", "context", "word").agg(F.max("p").alias("p"))
+    rank = F.row_number().over(Window.partitionBy("n", "context").orderBy(F.desc("p"), "word"))
+    ranked = every.where("p > 0").withColumn("p", F.round("p", 9)).withColumn("rank", rank).where(F.col("rank") <= k)
+    return levels.join(ranked, ["n", "context"]).select(F.col("full").alias("context"), "word", "p", "rank")
 
 
-def _filler(model: NgramModel, best: DataFrame, k: int) -> DataFrame:
+def _filler(model: NgramModel, used: DataFrame, k: int) -> DataFrame:
     """The k greatest continuation shares of each order, given to the contexts of that order.
 
     k of them are enough: a word in front of them that also follows the context only
@@ -224,7 +227,7 @@ def _filler(model: NgramModel, best: DataFrame, k: int) -> DataFrame:
     shares = model.words.withColumn("r", F.row_number().over(top)).where(F.col("r") <= k)
     lists = shares.groupBy("n").agg(F.collect_list(F.struct("word", "p_cont")).alias("top"))
     # at most n rows of k words each
-    return best.join(F.broadcast(lists), "n").select("full", "total", "followers", F.inline("top"))
+    return used.join(F.broadcast(lists), "n").select("n", "context", "total", "followers", F.inline("top"))
 
 
 def _uniform(*parts: Column) -> Column:
@@ -242,30 +245,32 @@ def sample_next(model: NgramModel, contexts: DataFrame, seed: int = 42, draws: i
 
     The distribution is a mixture: with the interpolation weight the word comes from
     the continuation shares of the order, else from the discounted followers of the
-    context. Continuation draws are made ``draws`` times per order in one aggregate
-    and shared out by context, so no context meets the whole vocabulary.
+    context. Both are drawn ``draws`` times per order and per seen context, and asking
+    contexts take one of the draws by hash, so none meets the whole vocabulary.
     """
     s = F.lit(seed)
+    slots = range(draws)
     levels = context_levels(model, contexts)
     shares = model.words.groupBy("n").agg(
-        F.array(
-            *[F.max_by("word", _gumbel(F.col("p_cont"), s, F.lit(j), F.col("word"))) for j in range(draws)]
-        ).alias("drawn")
+        F.array(*[F.max_by("word", _gumbel(F.col("p_cont"), s, F.lit(j), F.col("word"))) for j in slots]).alias("drawn")
     )
     d = F.lit(model.discount)
+    heavier = F.col("cnt") - d
     followers = (
-        levels.join(model.counts, ["n", "context"])
-        .where(F.col("cnt") > d)
-        .groupBy("full")
-        .agg(F.max_by("word", _gumbel(F.col("cnt") - d, s, F.col("full"), F.col("word"))).alias("follower"))
+        levels.select("n", "context").distinct()
+        .join(model.counts, ["n", "context"])
+        .where(heavier > 0)
+        .groupBy("n", "context")
+        .agg(F.array(*[F.max_by("word", _gumbel(heavier, s, F.lit(-1 - j), "context", "word")) for j in slots]).alias("after"))
     )
     lam = d * F.col("followers") / F.col("total")
     slot = F.pmod(F.xxhash64(s, F.lit("slot"), F.col("full")), F.lit(draws)).cast("int")
+    other = F.get("drawn", slot)
     # at most n rows on the broadcast side
-    drawn = levels.join(F.broadcast(shares), "n").join(followers, "full", "left").select(
+    drawn = levels.join(F.broadcast(shares), "n").join(followers, ["n", "context"], "left").select(
         F.col("full").alias("context"),
-        F.when(_uniform(s, F.lit("mix"), F.col("full")) < lam, F.get("drawn", slot))
-        .otherwise(F.coalesce(F.col("follower"), F.get("drawn", slot)))
+        F.when(_uniform(s, F.lit("mix"), F.col("full")) < lam, other)
+        .otherwise(F.coalesce(F.get("after", slot), other))
         .alias("word"),
     )
     return contexts.select("context").distinct().join(drawn, "context", "left").select(
