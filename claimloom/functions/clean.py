@@ -81,8 +81,30 @@ def strip_handles(text: Column) -> Column:
     return F.regexp_replace(text, HANDLE, "")
 
 
+def _any_case(letter: str) -> str:
+    """One letter in either case, with the few further letters that fold to it."""
+    folded = {"i": "\u0130\u0131", "k": "\u212a", "s": "\u017f"}.get(letter, "")
+    return f"[{letter}{letter.upper()}{folded}]"
+
+
+def _shared_prefixes(words: Sequence[str]) -> str:
+    """An alternation that tests each common prefix once."""
+    tails: dict[str, list[str]] = {}
+    for word in sorted(set(words)):
+        tails.setdefault(word[:1], []).append(word[1:])
+    ends = tails.pop("", None)
+    options = "|".join(_any_case(first) + _shared_prefixes(rest) for first, rest in tails.items())
+    if not options:
+        return ""
+    return f"(?:{options})?" if ends else f"(?:{options})"
+
+
 def strip_words(text: Column, words: Sequence[str] = ROMAN_URDU_NOISE) -> Column:
-    return F.regexp_replace(text, rf"(?iU)\b({'|'.join(words)})\b", "")
+    """Remove whole words in any case. A look at the first letter comes before the costly word-boundary test."""
+    if not words:
+        return text
+    gate = "".join(_any_case(first)[1:-1] for first in sorted({w[0] for w in words}))
+    return F.regexp_replace(text, rf"(?U)(?=[{gate}])\b{_shared_prefixes(words)}\b", "")
 
 
 def collapse_repeats(text: Column) -> Column:

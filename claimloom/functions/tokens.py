@@ -10,29 +10,35 @@ from claimloom.functions.clean import SPACE, let
 WORD = r"[\p{L}\p{N}_]{2,}"
 WORD_OR_MARK = rf"[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_{SPACE}]"
 
-# The published Treebank word-splitting rules, in order. A full stop before white space or the end
+# The published Treebank word-splitting rules, in order. Each pattern starts with the mark it splits off
+# and looks back from there, so that text without the mark is skipped over. A full stop before white space or the end
 # closes a sentence and is split off. The look-ahead of the single-letter quote rule is written as a letter class.
 TREEBANK = (
-    (r"[«“‘„]|`+", " $0 "),
+    (r"[«“‘„]", " $0 "),
+    (r"`+", " $0 "),
     (r'^"', "``"),
     (r"``", " $0 "),
-    (r"""([ (\[{<])("|'')""", "$1 `` "),
+    (r'"(?<=[ (\[{<]")', " `` "),
+    (r"''(?<=[ (\[{<]'')", " `` "),
     (r"'([a-ce-lo-ru-zA-CE-LO-RU-Z0-9_])\b", "' $1"),
-    (r"""([^.])(\.)([\])}>"'»”’]*)(\s|$)""", "$1 $2 $3 $4"),
-    (r"([:,])([^\d])", " $1 $2"),
-    (r"([:,])$", " $1 "),
-    (r"\.{2,}|--|[;@#$%&?!*\]\[(){}<>»”’]", " $0 "),
-    (r"^|$", " "),
-    (r"""''|\"""", " '' "),
-    (r"\s+", " "),
-    (r"([^' ])('[sS]|'[mM]|'[dD]|'ll|'LL|'re|'RE|'ve|'VE|n't|N'T|') ", "$1 $2 "),
-    (r"(?i)\b(can)(not)\b", " $1 $2 "),
-    (r"(?i)\b(d)('ye)\b", " $1 $2 "),
-    (r"(?i)\b(gim|lem)(me)\b", " $1 $2 "),
-    (r"(?i)\b(gon|wan)(na)\b", " $1 $2 "),
-    (r"(?i)\b(got)(ta)\b", " $1 $2 "),
-    (r"(?i)\b(more)('n)\b", " $1 $2 "),
-    (r"(?i) ('t)(is|was)\b", " $1 $2 "),
+    (r"""\.(?<=[^.]\.)([\])}>"'»”’]*)(?=\s|$)""", " . $1 "),
+    (r"[:,](?!\d)", " $0 "),
+    (r"\.{2,}", " $0 "),
+    (r"--", " -- "),
+    (r"[;@#$%&?!*\]\[(){}<>»”’]", " $0 "),
+    (r"$", " "),
+    (r"''", " '' "),
+    (r'"', " '' "),
+    (r"\s{2,}|[\t-\r]", " "),
+    (r"(?:n't|N'T)(?<=[^' ]...) ", " $0"),
+    (r"'(?<=[^' ]')([sSmMdD]|ll|LL|re|RE|ve|VE)? ", " '$1 "),
+    (r"(?i)not\b(?<=\bcannot)", " $0 "),
+    (r"(?i)'ye\b(?<=\bd'ye)", " $0 "),
+    (r"(?i)me\b(?<=\b(?:gim|lem)me)", " $0 "),
+    (r"(?i)na\b(?<=\b(?:gon|wan)na)", " $0 "),
+    (r"(?i)ta\b(?<=\bgotta)", " $0 "),
+    (r"(?i)'n\b(?<=\bmore'n)", " $0 "),
+    (r"(?i) 't(?=(?:is|was)\b)", "$0 "),
 )
 
 
@@ -53,8 +59,8 @@ def whitespace_tokens(text: Column) -> Column:
 def treebank_tokens(text: Column) -> Column:
     value = F.coalesce(text, F.lit(""))
     for pattern, replacement in TREEBANK:
-        if pattern == "^|$":
-            value = F.concat(F.lit(" "), value, F.lit(" "))
+        if pattern == "$":
+            value = F.concat(value, F.lit(" "))
         else:
             value = F.regexp_replace(value, pattern, replacement)
     return whitespace_tokens(value)

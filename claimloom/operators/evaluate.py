@@ -101,7 +101,8 @@ def roc_curve(df: DataFrame, positive: Column, score: str, buckets: int = 64) ->
     points = df.groupBy(F.col(score).alias("score")).agg(
         F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
     )
-    cuts = points.approxQuantile("score", [i / buckets for i in range(1, buckets)], 0.001)
+    shares = [i / buckets for i in range(1, buckets)]
+    cuts = points.approxQuantile("score", shares, 0.001) if shares else []
     cuts = sorted(set(cuts))
     bucket = F.lit(0)
     if cuts:

@@ -4,12 +4,36 @@ from __future__ import annotations
 
 from claimloom.functions.clean import HANDLE, MARKUP, ROMAN_URDU_NOISE, URL
 from claimloom.functions.stopwords import LISTS
-from claimloom.functions.tokens import TREEBANK, WORD, WORD_OR_MARK
+from claimloom.functions.tokens import WORD, WORD_OR_MARK
 from claimloom.operators.lexicon import DETACH
 from claimloom.operators.naive_bayes import ALPHAS
 
 ORACLE: dict[str, str] = {}
 
+# The Treebank rules in their published, consuming form (the other engine has no look-around).
+TREEBANK = (
+    (r"[«“‘„]|`+", " $0 "),
+    (r'^"', "``"),
+    (r"``", " $0 "),
+    (r"""([ (\[{<])("|'')""", "$1 `` "),
+    (r"'([a-ce-lo-ru-zA-CE-LO-RU-Z0-9_])\b", "' $1"),
+    (r"""([^.])(\.)([\])}>"'»”’]*)(\s|$)""", "$1 $2 $3 $4"),
+    (r"([:,])([^\d])", " $1 $2"),
+    (r"([:,])$", " $1 "),
+    (r"\.{2,}|--|[;@#$%&?!*\]\[(){}<>»”’]", " $0 "),
+    (r"^|$", " "),
+    (r"""''|\"""", " '' "),
+    (r"\s+", " "),
+    (r"([^' ])('[sS]|'[mM]|'[dD]|'ll|'LL|'re|'RE|'ve|'VE|n't|N'T|') ", "$1 $2 "),
+    (r"(?i)\b(can)(not)\b", " $1 $2 "),
+    (r"(?i)\b(d)('ye)\b", " $1 $2 "),
+    (r"(?i)\b(gim|lem)(me)\b", " $1 $2 "),
+    (r"(?i)\b(gon|wan)(na)\b", " $1 $2 "),
+    (r"(?i)\b(got)(ta)\b", " $1 $2 "),
+    (r"(?i)\b(more)('n)\b", " $1 $2 "),
+    (r"(?i) ('t)(is|was)\b", " $1 $2 "),
+)
+
 
 def q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"

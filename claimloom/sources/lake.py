@@ -89,7 +89,7 @@ class Lake:
         rows = self.manifest().where(F.col("layer") == self._layer(layer))
         if version is not None:
             rows = rows.where(F.col("version") == version)
-        return rows.where(F.col("name").rlike(fnmatch.translate(pattern).replace(r"\Z", "$").replace(r"\z", "$")))
+        return rows.where(F.col("name").rlike("^" + fnmatch.translate(pattern).replace(r"\Z", "$").replace(r"\z", "$")))
 
     def fetch(self, layer: str = "processed", version: str | None = None, pattern: str = "*") -> DataFrame | None:
         """All matching artifacts as one table with ``name`` and ``version``; None when there are none.
