@@ -38,7 +38,7 @@ def headers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def header_names(header: str, sep: str) -> list[str]:
-    return next(csv.reader([header.removeprefix("﻿")], delimiter=sep))
+    return next(csv.reader([header.removeprefix("\ufeff")], delimiter=sep))
 
 
 def read_raw(
