@@ -117,7 +117,7 @@ def ngrams(tokens: Column, n: int, pad: bool = True) -> Column:
             F.sequence(F.lit(1), F.size(t) - n + 1),
             lambda i: F.struct(
                 F.lit(n).alias("n"),
-                F.array_join(F.slice(t, i, n - 1), " ").alias("context"),
+                (F.concat_ws(" ", *[F.get(t, i + (j - 1)) for j in range(n - 1)]) if n > 1 else F.lit("")).alias("context"),
                 F.get(t, i + (n - 2)).alias("word"),
             ),
         )
