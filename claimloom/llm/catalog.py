@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import bagminhash, bpe, lid
+from claimloom.llm import bagminhash, bpe, decontaminate, lid
 from claimloom.llm.common import read
 
 
@@ -24,6 +24,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lid.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op8_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.classes(read(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
+    "op7_decontaminate": op7_decontaminate,
     "op8_bagminhash": op8_bagminhash,
     "op10_byte_bpe": op10_byte_bpe,
 }
