@@ -32,7 +32,7 @@ from claimloom.llm.common import slices
 from claimloom.llm.words import runs, word_hashes
 
 K1, B, THRESHOLD, OVERLAP, WORDS = 1.2, 0.75, 0.6, 0.8, 5
-CHUNK_BYTES, BLOCK, LEAST_WINDOW = 16_000_000, 32, 64
+CHUNK_BYTES, BLOCK, LEAST_WINDOW, CELLS = 16_000_000, 4, 64, 1 << 20
 SENTENCE = re.compile(r"(?<=[.!?])\s+(?=\S)")
 
 
@@ -51,6 +51,9 @@ class Index:
     """BM25 postings of items of one length class; impacts are shares of an item's score for itself."""
 
     def __init__(self, ids: list[int], texts: list[str], words: list[np.ndarray], frequency: dict[int, int], items: int, mean: float):
+        # items with the same most common word lie together, so that a block holds items of one language or kind
+        order = sorted(range(len(ids)), key=lambda k: (max((frequency[x], x) for x in words[k].tolist()), ids[k]))
+        ids, texts, words = ([x[k] for k in order] for x in (ids, texts, words))
         self.ids = ids
         self.half = max(LEAST_WINDOW, max(map(len, words)))
         own = [np.unique(w, return_counts=True) for w in words]
@@ -86,15 +89,29 @@ class Index:
         same = self.terms[term] == words[at]
         return at[same], term[same]
 
-    def retrieve(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Items that reach the threshold for these distinct terms, and their scores."""
-        spans = _ranges(self.block_begin[terms], self.block_begin[terms + 1])
-        bound = np.bincount(self.block[spans], self.block_most[spans])
-        spans = spans[bound[self.block[spans]] >= THRESHOLD - 1e-9]
-        posts = _ranges(self.block_at[spans], self.block_at[spans + 1])
-        score = np.bincount(self.item[posts], self.impact[posts]) if len(posts) else np.zeros(0)
-        found = np.flatnonzero(score >= THRESHOLD - 1e-9)
-        return found, score[found]
+    def retrieve(self, window: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Windows, items that reach the threshold there, and their scores. ``window`` is ordered, ``terms`` are its distinct terms."""
+        if not len(window):
+            return window, window, np.zeros(0)
+        blocks = int(self.block.max()) + 1
+        group, number = np.cumsum(np.append(False, window[1:] != window[:-1])), window[np.append(True, window[1:] != window[:-1])]
+        most = max(1, CELLS // blocks)
+        out = []
+        for low in range(0, len(number), most):
+            a, b = np.searchsorted(group, (low, low + most))
+            own, t = group[a:b] - low, terms[a:b]
+            spans = _ranges(self.block_begin[t], self.block_begin[t + 1])
+            own = np.repeat(own, self.block_begin[t + 1] - self.block_begin[t])
+            cell = own * blocks + self.block[spans]
+            open_ = np.bincount(cell, self.block_most[spans])[cell] >= THRESHOLD - 1e-9
+            spans, own = spans[open_], own[open_]
+            posts = _ranges(self.block_at[spans], self.block_at[spans + 1])
+            own = np.repeat(own, self.block_at[spans + 1] - self.block_at[spans])
+            pair, at = np.unique(own * len(self.ids) + self.item[posts], return_inverse=True)
+            score = np.bincount(at, self.impact[posts], len(pair))
+            found = score >= THRESHOLD - 1e-9
+            out.append((number[pair[found] // len(self.ids) + low], pair[found] % len(self.ids), score[found]))
+        return tuple(map(np.concatenate, zip(*out)))
 
     def hits(self, words: np.ndarray, begins: np.ndarray) -> Iterator[tuple[int, int, float, float, float]]:
         """``text, item id, score, question overlap, answer overlap`` for verified pairs of all passages."""
@@ -114,25 +131,16 @@ class Index:
         terms = np.concatenate((term[first], term[second]))
         bound = np.bincount(window, self.most[terms], windows[-1])
         open_ = bound[window] >= THRESHOLD - 1e-9
-        order = np.argsort(window[open_], kind="stable")
-        window, terms = window[open_][order], terms[open_][order]
-        cuts = np.flatnonzero(np.append(True, window[1:] != window[:-1])) if len(window) else []
-        for lo, hi in zip(cuts, [*cuts[1:], len(window)]):
-            found, scores = self.retrieve(np.sort(terms[lo:hi]))
-            if not len(found):
-                continue
-            row = int(np.searchsorted(windows, window[lo], "right") - 1)
-            begin = begins[row] + (window[lo] - windows[row]) * self.half
+        order = np.lexsort((terms[open_], window[open_]))
+        for w, k, score in zip(*self.retrieve(window[open_][order], terms[open_][order])):
+            row = int(np.searchsorted(windows, w, "right") - 1)
+            begin = begins[row] + (w - windows[row]) * self.half
             passage = words[begin : min(begin + 2 * self.half, begins[row + 1])]
-            by_length: dict[int, np.ndarray] = {}
-            for k, score in zip(found, scores):
-                n, question, answer = self.parts[k]
-                if n not in by_length:
-                    by_length[n] = np.unique(runs(passage, n))
-                asked = _share(question, by_length[n])
-                said = _share(answer, np.unique(passage)) if len(answer) else 1.0
-                if asked >= OVERLAP and said >= OVERLAP:
-                    yield row, self.ids[k], float(score), asked, said
+            n, question, answer = self.parts[k]
+            asked = _share(question, runs(passage, n))
+            said = _share(answer, passage) if len(answer) else 1.0
+            if asked >= OVERLAP and said >= OVERLAP:
+                yield row, self.ids[k], float(score), asked, said
 
 
 def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
