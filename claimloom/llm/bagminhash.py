@@ -10,11 +10,11 @@ it gets. Two documents agree in a component with probability equal to their weig
 order of time, so a strip is done once its next point is later than the latest component: little more than one point per
 shingle is made. With 24 bands of 5 components, a pair at 0.8 is found with probability 0.9999.
 
-Search. Equal texts are collapsed first (digest, one representative). In each bucket all members are compared with the
-smallest one; those that stay in another component form a smaller bucket with its own smallest member, and so on. What a
-bucket then still has in different components is compared too, unless the triangle inequality of the Jaccard distance rules
-a link out from the distances already known. So buckets need about one comparison per member, no link of a bucket is lost, and no
-bucket is gathered in one task. Candidate pairs are checked on the exact multisets.
+Search. Equal texts are collapsed first (digest, one representative). Buckets with the same members are taken once. The
+members of a bucket come together with their multisets, at most twice BLOCK of them in a task: a larger bucket is split into
+blocks and every two blocks meet. A task skips pairs whose signatures agree in too few components (four standard deviations below
+the threshold) and pairs that are connected already, checks the others on the exact multisets, and hands on links only,
+fewer than it has members. No pairs are written out.
 
 Defined cases: null and empty texts, and texts without words, are classes of their own; a text of fewer than five words is
 one run of all its words; repeated rows share their class; rows without ``doc_id`` get a null class and link with nothing;
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from claimloom.llm.common import Stored, components, slices
 from claimloom.llm.words import STEP, mix, shingles
 
-WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 24, 5
+WORDS, SIMILARITY, BANDS, ROWS, BLOCK = 5, 0.8, 24, 5, 1024
 #: Ids up to this count are broadcast to filter the texts (8 bytes each); beyond, the texts are joined by shuffle.
 BROADCAST_IDS = 4_000_000
 
@@ -119,7 +119,8 @@ def _signed(docs: DataFrame) -> DataFrame:
 
 
 def _contents(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``id, size, data``: the multisets of the documents named in ``ids(id)``; data holds the shingles in order, then their counts if any is over one."""
+    """``id, size, data, marks`` of the documents named in ``ids(id)``. ``data`` holds the multiset's shingles in order, then
+    their counts if any is over one; ``marks`` 16 bits of each component of the signature."""
 
     def run(batches):
         for batch in slices(batches, 1024):
@@ -131,114 +132,109 @@ def _contents(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 own = slice(at[k], at[k + 1])
                 data.append(shingle[own].tobytes() + (count[own].astype("<u4").tobytes() if (count[own] > 1).any() else b""))
                 size.append(at[k + 1] - at[k])
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(size, pa.int32()), pa.array(data, pa.binary())], ["id", "size", "data"])
+            sig = signatures(row, shingle, count, len(texts), BANDS * ROWS)
+            marks = [m.tobytes() for m in (mix(sig.view(np.uint64)) >> np.uint64(48)).astype("<u2")]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(size, pa.int32()), pa.array(data, pa.binary()), pa.array(marks, pa.binary())], ["id", "size", "data", "marks"])
 
     names = ids.select(F.col("id").alias("doc_id"))
     if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         names = F.broadcast(names)
     texts = docs.select("doc_id", "text").join(names, "doc_id", "left_semi")
-    return texts.mapInArrow(run, "id long, size int, data binary").dropDuplicates(["id"])
-
-
-def _unpacked(data: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(data, "<u8", size), (np.frombuffer(data, "<u4", size, 8 * size) if len(data) > 8 * size else np.ones(size, np.int64)).astype(np.int64)
-
-
-def jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard similarity of two multisets with ordered shingles."""
-    if len(a[0]) > len(b[0]):
-        a, b = b, a
-    at = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
-    both = b[0][at] == a[0] if len(b[0]) else np.zeros(0, bool)
-    common = int(np.minimum(a[1][both], b[1][at[both]]).sum())
-    return common / (int(a[1].sum()) + int(b[1].sum()) - common)
+    return texts.mapInArrow(run, "id long, size int, data binary, marks binary").where("size > 0")
+
+
+def jaccard(a: tuple[np.ndarray, np.ndarray], others: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Weighted Jaccard similarities of one multiset with others; shingles are in order."""
+    hashes, counts = (np.concatenate([x[k] for x in others]) for k in (0, 1))
+    at = np.minimum(np.searchsorted(a[0], hashes), len(a[0]) - 1)
+    common = np.where(a[0][at] == hashes, np.minimum(a[1][at], counts), 0)
+    begin = np.cumsum([0, *(len(x[0]) for x in others[:-1])])
+    both = np.add.reduceat(common, begin)
+    return both / (a[1].sum() + np.add.reduceat(counts, begin) - both)
+
+
+class Bucket:
+    """The members of one bucket (or of two blocks of one) that a task has gathered."""
+
+    def __init__(self) -> None:
+        self.ids: list[int] = []
+        self.side: list[int] = []
+        self.sets: list[tuple[np.ndarray, np.ndarray]] = []
+        self.marks: list[np.ndarray] = []
+
+    def add(self, rep: int, side: int, size: int, data: bytes, marks: bytes) -> None:
+        self.ids.append(rep)
+        self.side.append(side)
+        counts = np.frombuffer(data, "<u4", size, 8 * size).astype(np.int64) if len(data) > 8 * size else np.ones(size, np.int64)
+        self.sets.append((np.frombuffer(data, "<u8", size), counts))
+        self.marks.append(np.frombuffer(marks, "<u2"))
+
+    def links(self, similarity: float, many: int = 64) -> list[tuple[int, int]]:
+        """Links that connect what all links of this bucket connect. With two blocks, only pairs across them are looked at."""
+        marks, side, out = np.array(self.marks), np.array(self.side), []
+        group = np.arange(len(marks))
+        least = similarity - 4 * np.sqrt(similarity * (1 - similarity) / marks.shape[1])
+        two = len(set(self.side)) > 1
+        for i in range(1, len(marks)):
+            alike = (marks[:i] == marks[i]).mean(1)
+            left = np.flatnonzero((alike >= least) & ((side[:i] != side[i]) | (not two)))
+            left = left[np.argsort(-alike[left], kind="stable")]
+            while len(left := left[group[left] != group[i]]):
+                now, left = left[:many], left[many:]
+                for j in now[jaccard(self.sets[i], [self.sets[j] for j in now]) >= similarity - 1e-12]:
+                    if group[j] != group[i]:
+                        out.append((self.ids[i], self.ids[j]))
+                        group[group == group[i]] = group[j]
+        return out
+
+
+def _links(members: DataFrame, contents: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: links inside the buckets ``members(key, part, side, rep)``."""
 
+    def run(batches):
+        key, bucket = None, Bucket()
+        for batch in slices(batches, 1024, 16_000_000):
+            out: list[tuple[int, int]] = []
+            for *new, side, rep, size, data, marks in zip(*(c.to_pylist() for c in batch.columns)):
+                if new != key:
+                    out += bucket.links(similarity) if len(bucket.ids) > 1 else []
+                    key, bucket = new, Bucket()
+                bucket.add(rep, side, size, data, marks)
+            yield _pairs(out)
+        yield _pairs(bucket.links(similarity) if len(bucket.ids) > 1 else [])
 
-def _compared(pairs: DataFrame, contents: DataFrame) -> DataFrame:
-    """``a, b, similarity`` of every pair."""
-    side = lambda x: contents.select(F.col("id").alias(x), F.col("size").alias(f"size_{x}"), F.col("data").alias(f"data_{x}"))
+    rows = members.join(contents.withColumnRenamed("id", "rep"), "rep").repartition("key", "part").sortWithinPartitions("key", "part", "rep")
+    return rows.select("key", "part", "side", "rep", "size", "data", "marks").mapInArrow(run, "a long, b long")
 
-    def run(batches):
-        for batch in slices(batches, 512, 16_000_000):
-            columns = [batch[c].to_pylist() for c in ("size_a", "data_a", "size_b", "data_b")]
-            found = [jaccard(_unpacked(x, n), _unpacked(y, m)) for n, x, m, y in zip(*columns)]
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(found, pa.float64())], ["a", "b", "similarity"])
 
-    joined = pairs.join(side("b"), "b").join(side("a"), "a")
-    return joined.select("a", "b", "size_a", "data_a", "size_b", "data_b").mapInArrow(run, "a long, b long, similarity double")
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*found) if found else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, class_id, kept``: one row per row of ``docs``; ``class_id`` is the smallest id of the class, ``kept`` says that it is the row's own."""
-    spark = docs.sparkSession
     signed = Stored(_signed(docs), "signed").df
     known = signed.where("doc_id is not null and bands is not null")
     copies = known.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     reps = known.join(copies.select(F.col("rep").alias("doc_id"), F.col("digest").alias("of")), "doc_id").where("digest = of").dropDuplicates(["doc_id"])
-    members = reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("rep"))
+    every = reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("rep"))
     # Buckets with the same members say the same; one of them is kept. The members are compared by two hashes and their number.
     mark = [F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y")]
-    buckets = members.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("n"), *mark).where("n > 1")
-    single = buckets.groupBy("hub", "n", "x", "y").agg(F.min("key").alias("key")).select("key", "hub")
-    now = Stored(members.join(single, "key"), "bucket")
-    contents = Stored(_contents(docs, now.df.select(F.col("rep").alias("id")).distinct()), "contents")
-
-    rounds: list[Stored] = []
-    tested: DataFrame | None = None
-    links: DataFrame | None = None
-    while not now.df.isEmpty():
-        rounds.append(now)
-        pairs = now.df.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        found = Stored(_compared(pairs, contents.df), "compared").df
-        tested = found if tested is None else tested.union(found)
-        links = tested.where(F.col("similarity") >= similarity).select("a", "b")
-        groups = Stored(components(links), "groups").df
-        now = Stored(_apart(now.df, groups), "bucket")
-    if tested is None:
-        return signed.select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").isNotNull().alias("kept")) if copies.isEmpty() else _result(signed, copies, None)
-
-    left = [_open_pairs(r.df, groups, tested, similarity) for r in rounds]
-    pairs = left[0]
-    for more in left[1:]:
-        pairs = pairs.union(more)
-    pairs = Stored(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "open").df
-    if not pairs.isEmpty():
-        last = Stored(_compared(pairs, contents.df), "compared").df
-        groups = Stored(components(links.union(last.where(F.col("similarity") >= similarity).select("a", "b"))), "groups").df
-    contents.drop()
+    buckets = every.groupBy("key").agg(F.count("*").alias("n"), *mark).where("n > 1")
+    single = buckets.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    members = Stored(every.join(single, "key"), "members")
+    block = F.pmod(F.xxhash64("rep", F.lit(2)), F.col("blocks"))
+    meeting = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct((F.least(k, block) * F.col("blocks") + F.greatest(k, block)).alias("part"), F.when(k == block, 0).otherwise(F.signum(block - k)).cast("int").alias("side")))
+    placed = members.df.select("key", "rep", F.explode(meeting).alias("m")).select("key", "m.part", "m.side", "rep")
+    contents = _contents(docs, members.df.select(F.col("rep").alias("id")).distinct())
+    links = Stored(_links(placed, contents, similarity), "links")
+    groups = components(links.df)
+    members.drop()
     return _result(signed, copies, groups)
 
 
-def _labelled(bucket: DataFrame, groups: DataFrame) -> DataFrame:
-    """``key, hub, rep`` with the component of both; what has no link is its own component."""
-    of = lambda x, to: groups.select(F.col("id").alias(x), F.col("component").alias(to))
-    both = bucket.join(of("rep", "own"), "rep", "left").join(of("hub", "of_hub"), "hub", "left")
-    return both.select("key", "hub", "rep", F.coalesce("own", "rep").alias("own"), F.coalesce("of_hub", "hub").alias("of_hub"))
-
-
-def _apart(bucket: DataFrame, groups: DataFrame) -> DataFrame:
-    """The members of each bucket that aren't in its hub's component, as a bucket with a hub of their own, unless they already are of one component."""
-    rest = _labelled(bucket, groups).where("own <> of_hub")
-    hubs = rest.groupBy("key").agg(F.min("rep").alias("hub"), F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo <> hi")
-    return rest.select("key", "rep").join(hubs.select("key", "hub"), "key").select("key", "rep", "hub")
-
-
-def _open_pairs(bucket: DataFrame, groups: DataFrame, tested: DataFrame, similarity: float) -> DataFrame:
-    """Pairs ``a < b`` of a bucket, one in the hub's component and one in another, which the distances to the hub leave open."""
-    most = 1 - similarity + 1e-9
-    known = tested.select(F.col("a").alias("hub"), F.col("b").alias("rep"), (1 - F.col("similarity")).alias("d"))
-    rows = _labelled(bucket, groups).join(known, ["hub", "rep"], "left").withColumn("d", F.coalesce("d", F.lit(0.0)))
-    inside = rows.where("own = of_hub").select("key", F.col("rep").alias("x"), F.col("d").alias("dx"))
-    outside = rows.where("own <> of_hub").select("key", F.col("rep").alias("y"), F.col("d").alias("dy"))
-    reach = inside.groupBy("key").agg(F.max("dx").alias("reach"))
-    near = outside.join(reach, "key").where(F.col("dy") - F.col("reach") <= most)
-    open_ = near.join(inside, "key").where(F.col("dy") - F.col("dx") <= most)
-    return open_.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-
-
-def _result(signed: DataFrame, copies: DataFrame, groups: DataFrame | None) -> DataFrame:
-    of = copies if groups is None else copies.join(groups.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("rep"))
+def _result(signed: DataFrame, copies: DataFrame, groups: DataFrame) -> DataFrame:
+    of = copies.join(groups.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("rep"))
     named = signed.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")).join(of, "digest", "left")
     return named.select("doc_id", F.coalesce("rep", "doc_id").alias("class_id"), F.coalesce(F.coalesce("rep", "doc_id") == F.col("doc_id"), F.lit(False)).alias("kept"))
