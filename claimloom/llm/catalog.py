@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import bagminhash, bpe, caps, decontaminate, lid, pii
+from claimloom.llm import bagminhash, bpe, caps, decontaminate, kdshards, lid, pii
 from claimloom.llm.common import read
 
 
@@ -28,6 +28,10 @@ def op3_spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caps.links(read(spark, sf_dir, "embeddings"))
 
 
+def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdshards.assigned(read(spark, sf_dir, "documents"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return pii.found(docs, pii.fit(docs))
@@ -48,6 +52,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_spherical_caps": op3_spherical_caps,
+    "op5_kd_shards": op5_kd_shards,
     "op6_personal_data": op6_personal_data,
     "op7_decontaminate": op7_decontaminate,
     "op8_bagminhash": op8_bagminhash,
