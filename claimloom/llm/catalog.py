@@ -19,9 +19,9 @@ def vocabulary() -> str:
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", lid.held_out(F.col("doc_id")))
-    model = lid.fit(docs.where("not held_out"))
-    return lid.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = lid.fit(docs.where(~lid.held_out(F.col("doc_id"))))
+    return lid.predict(docs, model).select("doc_id", lid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
 def op3_spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -140,37 +140,48 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     return Model(langs, np.log(priors / max(1, priors.sum())), np.round(logs * SCALE).astype(np.int64))
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (the posterior probability), whatever its other columns are."""
+def scored(texts: list[str], m: Model) -> tuple[list[str], np.ndarray]:
+    """The most likely language of every text and its posterior probability."""
+    total, letters = np.zeros((len(texts), len(m.langs)), np.int64), np.zeros(len(texts), np.int64)
+    if not m.langs:
+        return [UNKNOWN] * len(texts), np.zeros(len(texts))
+    for rows, group in pieces(texts):
+        h, begins = grams(group)
+        sums = np.zeros((len(h) + 1, len(m.langs)), np.int64)
+        np.cumsum(m.matrix[h[:, 0]] + m.matrix[h[:, 1]] + m.matrix[h[:, 2]], axis=0, out=sums[1:])
+        np.add.at(total, rows, sums[begins[1:]] - sums[begins[:-1]])
+        np.add.at(letters, rows, np.diff(begins))
+    logs = total / SCALE + m.priors
+    score = np.where(letters > 0, 1 / np.exp(logs - logs.max(1, keepdims=True)).sum(1), 0.0)
+    return [m.langs[k] if n else UNKNOWN for k, n in zip(logs.argmax(1), letters)], np.round(score, 6)
+
+
+def predict(docs: DataFrame, model: Model) -> DataFrame:
+    """``doc_id, lang_pred, score``, the score being the posterior probability."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
-    at = names.index(text)
 
     def run(batches):
-        m = shared.value
         for batch in slices(batches, 1024):
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            total, letters = np.zeros((len(texts), len(m.langs)), np.int64), np.zeros(len(texts), np.int64)
-            for rows, group in pieces(texts) if m.langs else ():
-                h, begins = grams(group)
-                sums = np.zeros((len(h) + 1, len(m.langs)), np.int64)
-                np.cumsum(m.matrix[h[:, 0]] + m.matrix[h[:, 1]] + m.matrix[h[:, 2]], axis=0, out=sums[1:])
-                np.add.at(total, rows, sums[begins[1:]] - sums[begins[:-1]])
-                np.add.at(letters, rows, np.diff(begins))
-            best, score = [], np.zeros(len(texts))
-            if m.langs:
-                logs = total / SCALE + m.priors
-                top = logs.argmax(1)
-                score = np.where(letters > 0, 1 / np.exp(logs - logs.max(1, keepdims=True)).sum(1), 0.0)
-                best = [m.langs[k] if n else UNKNOWN for k, n in zip(top, letters)]
-            else:
-                best = [UNKNOWN] * len(texts)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best, pa.string()), pa.array(np.round(score, 6))], [*(f"c{k}" for k in range(len(names))), "lang_pred", "score"])
-
-    plain = docs.toDF(*(f"c{k}" for k in range(len(names))))
-    schema = ", ".join(f"c{k} {f.dataType.simpleString()}" for k, f in enumerate(docs.schema.fields))
-    out = plain.mapInArrow(run, f"{schema}, lang_pred string, score double")
-    return out.toDF(*names, "lang_pred", "score")
+            best, score = scored([t or "" for t in batch["text"].to_pylist()], shared.value)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(best, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+
+
+def identified(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The rows of ``docs`` whose language is found with a score of ``least`` or more, with it as ``lang`` and all other columns as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    text, lang = docs.columns.index("text"), docs.columns.index("lang")
+
+    def run(batches):
+        for batch in slices(batches, 1024):
+            best, score = scored([t or "" for t in batch.column(text).to_pylist()], shared.value)
+            columns = list(batch.columns)
+            columns[lang] = pa.array(best, columns[lang].type)
+            kept = pa.array([b != UNKNOWN and s >= least for b, s in zip(best, score)], pa.bool_())
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names).filter(kept)
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def held_out(doc_id: Column) -> Column:
