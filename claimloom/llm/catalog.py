@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import bagminhash, bpe, caps, decontaminate, kdshards, lid, pii
+from claimloom.llm import backoff, bagminhash, bpe, caps, decontaminate, kdshards, lid, pii
 from claimloom.llm.common import read
 
 
@@ -28,6 +28,10 @@ def op3_spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caps.links(read(spark, sf_dir, "embeddings"))
 
 
+def op4_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.scores(read(spark, sf_dir, "documents"))
+
+
 def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdshards.assigned(read(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_spherical_caps": op3_spherical_caps,
+    "op4_stupid_backoff": op4_stupid_backoff,
     "op5_kd_shards": op5_kd_shards,
     "op6_personal_data": op6_personal_data,
     "op7_decontaminate": op7_decontaminate,
@@ -59,4 +64,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+#: Runs of letters, digits and combining marks, lower-cased, as ``words`` has them.
+WORDS = "regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}\\p{M}]+')"
+
+ORACLE: dict[str, str] = {
+    "op4_stupid_backoff": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+p AS (SELECT r, unnest(range(1, len(w) + 1)) AS i, w FROM d),
+g AS (SELECT r, i, w[i] AS one, CASE WHEN i > 1 THEN w[i-1] || ' ' || w[i] END AS two,
+  CASE WHEN i > 2 THEN w[i-2] || ' ' || w[i-1] || ' ' || w[i] END AS three FROM p),
+c1 AS (SELECT one, r, count(*) AS own, sum(count(*)) OVER (PARTITION BY one) - count(*) AS rest FROM g GROUP BY one, r),
+c2 AS (SELECT two, r, sum(count(*)) OVER (PARTITION BY two) - count(*) AS rest FROM g WHERE two IS NOT NULL GROUP BY two, r),
+c3 AS (SELECT three, r, sum(count(*)) OVER (PARTITION BY three) - count(*) AS rest FROM g WHERE three IS NOT NULL GROUP BY three, r),
+n AS (SELECT r, len(w) AS n_words, greatest(1, sum(len(w)) OVER () - len(w)) AS others FROM d),
+j AS (SELECT g.r, g.i, c1.rest AS r1, coalesce(c2.rest, 0) AS r2, coalesce(c3.rest, 0) AS r3, others FROM g
+  JOIN c1 ON c1.one = g.one AND c1.r = g.r LEFT JOIN c2 ON c2.two = g.two AND c2.r = g.r LEFT JOIN c3 ON c3.three = g.three AND c3.r = g.r
+  JOIN n ON n.r = g.r),
+k AS (SELECT *, lag(r1) OVER o AS b1, lag(r2) OVER o AS b2,
+  CASE WHEN r3 > 0 THEN 3 WHEN r2 > 0 THEN 2 WHEN r1 > 0 THEN 1 ELSE 0 END AS level FROM j WINDOW o AS (PARTITION BY r ORDER BY i)),
+s AS (SELECT r, level, CASE level WHEN 3 THEN ln(r3 / b2) WHEN 2 THEN ln(r2 / b1) + ln(0.4) WHEN 1 THEN ln(r1 / others) + 2 * ln(0.4)
+  ELSE ln(1 / others) + 2 * ln(0.4) END AS score FROM k),
+a AS (SELECT r, count(*) FILTER (level = 3) AS n_three, count(*) FILTER (level = 2) AS n_two, count(*) FILTER (level = 1) AS n_one,
+  count(*) FILTER (level = 0) AS n_new, sum(score) AS score FROM s GROUP BY r)
+SELECT doc_id, n_words, coalesce(n_three, 0) AS n_three, coalesce(n_two, 0) AS n_two, coalesce(n_one, 0) AS n_one, coalesce(n_new, 0) AS n_new,
+  round(coalesce(score, 0), 4) AS log_score, round(score / n_words, 6) AS mean_log_score
+FROM d JOIN n USING (r) LEFT JOIN a USING (r)""",
+}
