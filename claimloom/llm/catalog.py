@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import backoff, bagminhash, bpe, caps, decontaminate, kdshards, lid, pii
+from claimloom.llm import backoff, bagminhash, bpe, caps, decontaminate, kdshards, lid, packing, pii
 from claimloom.llm.common import read
 
 
@@ -49,6 +49,12 @@ def op8_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.classes(read(spark, sf_dir, "documents"))
 
 
+def op9_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.packed(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(read(spark, sf_dir, "documents"), vocabulary(), ids=False)
 
@@ -61,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_personal_data": op6_personal_data,
     "op7_decontaminate": op7_decontaminate,
     "op8_bagminhash": op8_bagminhash,
+    "op9_packed_ids": op9_packed_ids,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
