@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import backoff, bagminhash, bpe, caps, decontaminate, kdshards, lid, packing, pii
+from claimloom.llm import backoff, bagminhash, bpe, caps, decontaminate, kdshards, licenses, lid, packing, pii
 from claimloom.llm.common import read
 
 
@@ -18,6 +18,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"), licenses.known(spark))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = lid.fit(docs.where(~lid.held_out(F.col("doc_id"))))
@@ -60,6 +64,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licenses": op1_licenses,
     "op2_language_id": op2_language_id,
     "op3_spherical_caps": op3_spherical_caps,
     "op4_stupid_backoff": op4_stupid_backoff,
@@ -74,7 +79,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: Runs of letters, digits and combining marks, lower-cased, as ``words`` has them.
 WORDS = "regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}\\p{M}]+')"
 
+
+
+def _canonical_sql(text: str) -> str:
+    t = f"replace(replace(lower(coalesce({text}, '')), '(c)', ' copyright '), '©', ' copyright ')"
+    t = f"regexp_replace({t}, '[^\\p{{L}}\\p{{N}}\\n]+', '  ', 'g')"
+    t = f"' ' || replace({t}, chr(10), ' ' || chr(10) || ' ') || ' '"
+    for written, read_as in licenses.EQUIVALENT:
+        t = f"replace({t}, ' {written} ', ' {read_as} ')"
+    lines = f"list_transform(string_split({t}, chr(10)), lambda x: replace(trim(x), '  ', ' '))"
+    holder = "(regexp_matches(x, '^copyright( copyright)*( [0-9]{4}.*| by .*|)$') OR x = 'all rights reserved')"
+    return f"list_filter({lines}, lambda x: x <> '' AND NOT {holder})"
+
+
+_KNOWN_SQL = ", ".join("('{}', '{}', '{}')".format(*(x.replace("'", "''") for x in row)) for row in licenses.KNOWN)
+
 ORACLE: dict[str, str] = {
+    "op1_licenses": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_canonical_sql("text")} AS l FROM documents),
+known AS (SELECT name, unit, {_canonical_sql("text")} AS l FROM (VALUES {_KNOWN_SQL}) v(name, unit, text)),
+k AS (SELECT unit, digest, min(name) AS name FROM (
+  SELECT name, unit, md5(array_to_string(l, ' ')) AS digest FROM known WHERE unit = 'text'
+  UNION ALL SELECT name, unit, md5(unnest(l)) FROM known WHERE unit = 'line') GROUP BY ALL),
+n AS (SELECT r, count(*) AS n, string_agg(DISTINCT name, ',' ORDER BY name) AS names
+  FROM (SELECT r, md5(unnest(l)) AS digest FROM d) JOIN (SELECT * FROM k WHERE unit = 'line') USING (digest) GROUP BY r)
+SELECT doc_id, CASE WHEN len(l) > 0 THEN md5(array_to_string(l, ' ')) END AS text_digest, k.name AS license,
+  coalesce(n.n, 0) AS n_notices, coalesce(n.names, '') AS notices
+FROM d LEFT JOIN n USING (r) LEFT JOIN k ON k.unit = 'text' AND len(l) > 0 AND k.digest = md5(array_to_string(l, ' '))""",
     "op4_stupid_backoff": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
 p AS (SELECT r, unnest(range(1, len(w) + 1)) AS i, w FROM d),
