@@ -55,17 +55,23 @@ Permission is granted to anyone to use this software for any purpose, including
 )
 
 
-def canonical_lines(text: Column) -> Column:
-    """The lines that are left, canonical, in order. Words stand between two spaces each, so that neighbours are replaced alike."""
-    t = F.lower(F.coalesce(text, F.lit("")))
+def with_lines(df: DataFrame) -> DataFrame:
+    """``df`` with ``lines``: what is left of ``text``, canonical, in order. Words stand between two spaces each, so that neighbours are replaced alike.
+
+    The steps are columns of their own, as each is used more than once. Spellings are only replaced in texts that have one of them.
+    """
+    t = F.lower(F.coalesce("text", F.lit("")))
     t = F.replace(F.replace(t, F.lit("(c)"), F.lit(" copyright ")), F.lit("©"), F.lit(" copyright "))
     t = F.regexp_replace(t, r"[^\p{L}\p{N}\n]+", "  ")
     t = F.concat(F.lit(" "), F.replace(t, F.lit("\n"), F.lit(" \n ")), F.lit(" "))
-    for written, read in EQUIVALENT:
-        t = F.replace(t, F.lit(f" {written} "), F.lit(f" {read} "))
-    lines = F.transform(F.split(t, "\n"), lambda x: F.replace(F.trim(x), F.lit("  "), F.lit(" ")))
-    holder = lambda x: x.rlike("^copyright( copyright)*( [0-9]{4}.*| by .*|)$") | (x == "all rights reserved")
-    return F.filter(lines, lambda x: (x != "") & ~holder(x))
+    read = F.col("flat")
+    for written, instead in EQUIVALENT:
+        read = F.replace(read, F.lit(f" {written} "), F.lit(f" {instead} "))
+    some = F.col("flat").rlike(f" (?:{'|'.join(written for written, _ in EQUIVALENT)}) ")
+    lines = F.transform(F.split("spelled", "\n"), lambda x: F.replace(F.trim(x), F.lit("  "), F.lit(" ")))
+    holder = lambda x: F.startswith(x, F.lit("copyright")) & x.rlike("^copyright( copyright)*( [0-9]{4}.*| by .*|)$")
+    df = df.withColumn("flat", t).withColumn("spelled", F.when(some, read).otherwise(F.col("flat")))
+    return df.withColumn("lines", F.filter(lines, lambda x: (x != "") & (x != "all rights reserved") & ~holder(x)))
 
 
 def digests(lines: Column) -> Column:
@@ -82,10 +88,10 @@ def known(spark: SparkSession) -> DataFrame:
 
 def scan(docs: DataFrame, licenses: DataFrame) -> DataFrame:
     """``doc_id, text_digest, license, n_notices, notices``: the licence whose text the document is, and the names of the notices among its lines."""
-    table = licenses.select("name", "unit", F.explode(digests(canonical_lines(F.col("text")))).alias("d")).where("d.unit = unit")
+    table = with_lines(licenses.select("name", "unit", "text")).select("name", "unit", F.explode(digests(F.col("lines"))).alias("d")).where("d.unit = unit")
     table = table.groupBy("unit", F.col("d.digest").alias("digest")).agg(F.min("name").alias("name"))
     rows = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
-    units = rows.select("row", "doc_id", F.explode_outer(digests(canonical_lines(F.col("text")))).alias("d"))
+    units = with_lines(rows).select("row", "doc_id", F.explode_outer(digests(F.col("lines"))).alias("d"))
     found = units.select("row", "doc_id", F.col("d.unit").alias("unit"), F.col("d.digest").alias("digest")).join(table, ["unit", "digest"], "left")
     whole, line = F.col("unit") == "text", (F.col("unit") == "line") & F.col("name").isNotNull()
     sums = found.groupBy("row", "doc_id").agg(
