@@ -6,10 +6,10 @@ are over all documents, less the document's own: otherwise every run of words ha
 the sum of the natural logarithms.
 
 How it runs. (1) Documents are packed into blocks of about BLOCK_WORDS words, in the order they are read; a block's words
-go to a table as numbers of its own dictionary of word hashes. (2) Each block's distinct n-grams of all orders, as sorted
-64-bit hashes with their counts in the block, are cut by ranges of the hash: one row per block and range. That is the exploded
+go to a table as numbers of its own dictionary of word hashes, bucketed by block. (2) Each block's distinct n-grams of each order, as sorted
+64-bit hashes with their counts in the block, are cut by ranges of the hash: one row per block, order and range. That is the exploded
 side, aggregated before it is shuffled. (3) All rows of a range meet in one task, which sums the counts: a
-partition of the count table. The join gives each block the totals of its own n-grams, in its own order. (4) Blocks meet their totals,
+partition of the count table. The join gives each block the totals of its own n-grams, in its own order. (4) Blocks are joined with their totals (only these are shuffled),
 scores are computed position by position and summed per document.
 
 Ranges are of equal size as hashes are uniform, and a frequent n-gram is one entry per block, so no key is hot. The number of ranges and of blocks follows the number of
@@ -22,6 +22,8 @@ of their own, null ids included; an empty table gives an empty result. Only ``do
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -29,10 +31,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import Stored, slices
+from claimloom.llm.common import slices
 from claimloom.llm.words import mix, word_hashes
+from claimloom.session import fresh_path
 
-ORDER, ALPHA, BLOCK_WORDS, RANGE_KEYS = 3, 0.4, 2_000_000, 2_000_000
+ORDER, ALPHA, BLOCK_WORDS, RANGE_KEYS = 3, 0.4, 2_500_000, 2_000_000
 
 
 def packed(numbers: np.ndarray) -> bytes:
@@ -110,11 +113,12 @@ def _asked(blocks: DataFrame, ranges: int) -> DataFrame:
         for batch in slices(batches, 1):
             block, lengths, dictionary, data = (batch[c][0].as_py() for c in ("block", "lengths", "dictionary", "words"))
             words, row = _open(lengths, dictionary, data)
-            keys, counts = np.unique(np.concatenate([grams(words, row, n)[0] for n in range(1, ORDER + 1)]), return_counts=True)
-            cuts = np.searchsorted(keys, np.arange(1, ranges, dtype=np.uint64) * width) if ranges > 1 else []
-            for part, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(keys)])):
-                if b > a:
-                    yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([part], pa.int32()), pa.array([packed_sorted(keys[a:b])]), pa.array([packed(counts[a:b])])], ["block", "part", "keys", "counts"])
+            for n in range(1, ORDER + 1):
+                keys, counts = np.unique(grams(words, row, n)[0], return_counts=True)
+                cuts = np.searchsorted(keys, np.arange(1, ranges, dtype=np.uint64) * width) if ranges > 1 else []
+                for part, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(keys)]), n * ranges):
+                    if b > a:
+                        yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([part], pa.int32()), pa.array([packed_sorted(keys[a:b])]), pa.array([packed(counts[a:b])])], ["block", "part", "keys", "counts"])
 
     return blocks.select("block", "lengths", "dictionary", "words").mapInArrow(run, "block long, part int, keys binary, counts binary")
 
@@ -144,59 +148,49 @@ def _answered(asked: DataFrame) -> DataFrame:
     return asked.repartition("part").sortWithinPartitions("part", "block").mapInArrow(run, "block long, part int, totals binary")
 
 
-def scored_block(words: np.ndarray, row: np.ndarray, docs: int, totals: np.ndarray, all_words: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Sums of log scores by document, and by document how many words were scored by each order (none, one, two, three)."""
+def scored_block(words: np.ndarray, row: np.ndarray, docs: int, totals: list[np.ndarray], all_words: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Sums of log scores by document, and by document how many words were scored by each order (none, one, two, three).
+    ``totals`` are by order, in the order of the block's sorted n-grams."""
     n = len(words)
-    seen, own = np.zeros((ORDER + 1, n)), np.zeros((ORDER + 1, n))
-    found = [grams(words, row, k) for k in range(1, ORDER + 1)]
-    _, place = np.unique(np.concatenate([h for h, _ in found]), return_inverse=True)
-    at = 0
-    for k, (h, end) in enumerate(found, 1):
-        mine = place[at : at + len(h)]
-        at += len(h)
-        seen[k, end] = totals[mine]
-        _, pair, count = np.unique(row[end] * np.int64(len(totals) + 1) + mine, return_inverse=True, return_counts=True)
-        own[k, end] = count[pair]
-    rest = seen - own
+    rest = np.zeros((ORDER + 1, n), np.int32 if all_words < 1 << 31 else np.int64)  # counts in other documents of the run that ends here
+    for k in range(1, ORDER + 1):
+        h, end = grams(words, row, k)
+        place = np.unique(h, return_inverse=True)[1]
+        del h
+        _, pair, own = np.unique(row[end] * np.int64(len(totals[k]) + 1) + place, return_inverse=True, return_counts=True)
+        rest[k, end] = totals[k][place].astype(np.int64) - own[pair]
     others = np.maximum(1, all_words - np.bincount(row, minlength=docs))[row]
-    level = np.where(rest[3] > 0, 3, np.where(rest[2] > 0, 2, np.where(rest[1] > 0, 1, 0)))
-    before = np.concatenate((np.zeros((ORDER + 1, 1)), rest[:, :-1]), axis=1)  # of the context, which ends one word earlier
-    top = np.choose(level, [np.ones(n), rest[1], rest[2], rest[3]])
-    bottom = np.choose(level, [others, others, np.maximum(before[1], 1), np.maximum(before[2], 1)])
-    score = np.log(top / bottom) + np.log(ALPHA) * np.where(level > 1, 3 - level, 2)
-    return np.bincount(row, score, docs), [np.bincount(row, level == k, docs).astype(np.int64) for k in range(ORDER + 1)]
+    level = np.where(rest[3] > 0, 3, np.where(rest[2] > 0, 2, np.where(rest[1] > 0, 1, 0))).astype(np.int8)
+    score = np.log(np.where(level == 0, 1, rest[level, np.arange(n)]))
+    before = np.arange(n) - 1  # the context ends one word earlier
+    score -= np.log(np.where(level < 2, others, rest[np.maximum(level - 1, 0), before]) if n else score)
+    score += np.log(ALPHA) * np.where(level > 1, 3 - level, 2)
+    return np.bincount(row, score, docs).astype(float), [np.bincount(row, level == k, docs).astype(np.int64) for k in range(ORDER + 1)]
 
 
 def scores(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_three, n_two, n_one, n_new, log_score, mean_log_score``: how many words each order scored, the sum, and the mean a word."""
-    blocks = Stored(_blocks(docs), "blocks").df
-    all_words, held = blocks.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.count("*")).first()
-    ranges = max(1, -(-all_words * 3 // (2 * RANGE_KEYS)))
-    totals = _answered(_asked(blocks.repartition(max(1, held), "block"), ranges))
-    none = lambda *names: [F.lit(None).cast(k).alias(n) for n, k in names]
-    shape = ("ids", "array<long>"), ("lengths", "binary"), ("dictionary", "binary"), ("words", "binary")
-    both = blocks.select("block", F.lit(-1).alias("part"), *(n for n, _ in shape), *none(("totals", "binary"))).union(totals.select("block", "part", *none(*shape), "totals"))
+    spark = docs.sparkSession
+    buckets, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"backoff_{uuid.uuid4().hex}"
+    _blocks(docs).write.bucketBy(buckets, "block").sortBy("block").option("path", fresh_path(spark, "blocks")).saveAsTable(name)
+    blocks = spark.table(name)
+    all_words = blocks.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    ranges = max(1, -(-all_words * 4 // (5 * RANGE_KEYS)))
+    totals = _answered(_asked(blocks, ranges)).repartition(buckets, "block")
+    by_block = totals.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "totals"))).alias("answers"))
     fields = "doc_id long, n_words long, n_three long, n_two long, n_one long, n_new long, log_score double, mean_log_score double"
 
-    def finish(head: tuple, parts: list[bytes]) -> pa.RecordBatch:
-        words, row = _open(*head[1:])
-        ids = head[0]
-        sums, levels = scored_block(words, row, len(ids), np.concatenate([unpacked(p) for p in parts]) if parts else np.zeros(0), all_words)
-        n = np.bincount(row, minlength=len(ids)).astype(np.int64)
-        mean = pa.array(np.round(sums / np.maximum(n, 1), 6), mask=n == 0)
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *map(pa.array, (n, *levels[::-1])), pa.array(np.round(sums, 4)), mean], [f.split()[0] for f in fields.split(", ")])
-
     def run(batches):
-        head, parts = None, []
-        for batch in slices(batches, 64, 16_000_000):
-            for _, part, *values, total in zip(*(c.to_pylist() for c in batch.columns)):
-                if part < 0:
-                    if head is not None:
-                        yield finish(head, parts)
-                    head, parts = values, []
-                else:
-                    parts.append(total)
-        if head is not None:
-            yield finish(head, parts)
-
-    return both.repartition("block").sortWithinPartitions("block", "part").mapInArrow(run, fields)
+        for batch in slices(batches, 1):
+            ids, lengths, dictionary, data, answers = (c[0].as_py() for c in batch.columns)
+            words, row = _open(lengths, dictionary, data)
+            own: list[list[np.ndarray]] = [[] for _ in range(ORDER + 1)]
+            for a in answers or ():
+                own[a["part"] // ranges].append(unpacked(a["totals"]))
+            sums, levels = scored_block(words, row, len(ids), [np.concatenate(x) if x else np.zeros(0, np.uint64) for x in own], all_words)
+            n = np.bincount(row, minlength=len(ids)).astype(np.int64)
+            mean = pa.array(np.round(sums / np.maximum(n, 1), 6), mask=n == 0)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *map(pa.array, (n, *levels[::-1])), pa.array(np.round(sums, 4)), mean], [f.split()[0] for f in fields.split(", ")])
+
+    joined = blocks.join(by_block, "block", "left")
+    return joined.select("ids", "lengths", "dictionary", "words", "answers").mapInArrow(run, fields)
