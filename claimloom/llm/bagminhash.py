@@ -106,7 +106,7 @@ def _signed(docs: DataFrame) -> DataFrame:
     """``doc_id, digest, bands``; both null for texts without words."""
 
     def run(batches):
-        for batch in slices(batches, 4096):
+        for batch in slices(batches, 2048, 2_000_000):
             texts = [t or "" for t in batch["text"].to_pylist()]
             row, shingle, count = multisets(texts)
             keys = band_keys(signatures(row, shingle, count, len(texts), BANDS * ROWS))
@@ -123,7 +123,7 @@ def _contents(docs: DataFrame, ids: DataFrame) -> DataFrame:
     their counts if any is over one; ``marks`` 16 bits of each component of the signature."""
 
     def run(batches):
-        for batch in slices(batches, 1024):
+        for batch in slices(batches, 1024, 1_500_000):
             texts = [t or "" for t in batch["text"].to_pylist()]
             row, shingle, count = multisets(texts)
             at = np.searchsorted(row, np.arange(len(texts) + 1))

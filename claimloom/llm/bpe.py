@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from claimloom.llm.common import slices
 
-MEMO_WORDS, MEMO_LENGTH, STATES, PASSING, NEVER = 400_000, 32, 150_000, 20_000_000, 1 << 60
+MEMO_WORDS, MEMO_LENGTH, STATES, PASSING, SETTLE, NEVER = 400_000, 32, 30_000, 200_000_000, 64, 1 << 60
 #: Code points with the Unicode property White_Space, as character ranges of a pattern.
 SPACE = "\t-\r \x85\xa0  -     　"
 #: Fixed value: how the vocabulary's pre-tokenizer splits text.
@@ -78,19 +78,20 @@ class Merges:
         self.bytes: dict[int, bytes] = {i: b for b, i in self.ids.items()} | {i: s.encode() for s, i in self.special.items()}
         pairs = (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])
         self.rank = {(raw(x), raw(y)): k for k, (x, y) in enumerate(pairs)}
+        every = self.ids
+        self.ids = {token: i for token, i in every.items() if len(self.merged(token)) == 1}  # merging never makes the others
         self.lookahead = max(map(len, self.ids)) - 1
-        #: Beginnings of tokens that are not whole tokens' ends: from such bytes a longer token can still come.
+        #: Beginnings of longer tokens: from such bytes on, a token may still be open.
         self.beginnings = {b[:k] for b in self.ids for k in range(1, len(b))}
         #: By token: the place in the list of the merge that made it (-1: a byte), its two parts; by pair: its merge's place.
         self.made = dict.fromkeys(self.bytes, -1)
         self.parts: dict[int, tuple[int, int]] = {}
-        self.joined: dict[tuple[int, int], int] = {}
+        self.joined: dict[int, int] = {}
         for (x, y), k in self.rank.items():
-            pair, token = (self.ids[x], self.ids[y]), self.ids[x + y]
-            self.joined[pair] = k
+            pair, token = (every[x], every[y]), every[x + y]
+            self.joined[pair[0] << 32 | pair[1]] = k
             if token not in self.parts:
                 self.made[token], self.parts[token] = k, pair
-        self._whole: dict[int, bool] = {}
 
     def merged(self, data: bytes) -> list[bytes]:
         """Plain merging: the merge that comes first in the list is made wherever it fits, from the left."""
@@ -110,12 +111,6 @@ class Merges:
             parts = out
         return parts
 
-    def whole(self, token: int) -> bool:
-        """Whether merging a token's bytes gives that token back."""
-        if token not in self._whole:
-            self._whole[token] = len(self.merged(self.bytes[token])) == 1
-        return self._whole[token]
-
     def apart(self, left: int, right: int) -> bool:
         """Whether two neighbouring tokens stay as they are when their bytes are merged together.
 
@@ -125,7 +120,7 @@ class Merges:
         """
         first = NEVER
         while True:
-            across = self.joined.get((left, right))
+            across = self.joined.get(left << 32 | right)
             if across is not None and across < first:
                 return False
             if self.made[left] > self.made[right]:
@@ -177,7 +172,7 @@ class Transducer:
         end = len(data)
         for start in live:
             token = m.ids.get(data[start:])
-            if token is not None and m.whole(token):
+            if token is not None:
                 before = tokens[start] if start else last
                 if before is None or m.apart(before, token):
                     break
@@ -203,9 +198,9 @@ class Transducer:
             key = number << 8 | byte
             move = known.get(key)
             if move is None:
-                after, done = self._step(self.states[number], byte)
                 if len(self.states) >= STATES:
-                    return b"".join([*out, done, self._passing(after, data[at + 1 :])])
+                    return b"".join([*out, self._passing(self.states[number], data[at:])])
+                after, done = self._step(self.states[number], byte)
                 move = known[key] = self._number(after), done
             number, done = move
             if done:
@@ -214,13 +209,38 @@ class Transducer:
         return b"".join(out)
 
     def _passing(self, state: tuple, data: bytes) -> bytes:
-        """The rest of a word when no more states are kept; after many such steps the kept ones are made anew, as other words have become frequent."""
-        out = []
-        for byte in data:
-            state, done = self._step(state, byte)
-            out.append(done)
-        out.append(self._codes(state[3], state[4], len(state[1])))
-        self.passing += len(data) + 1
+        """The rest of a word from a state on when no more states are kept: the same steps in place, settled tokens emitted every
+        SETTLE bytes. After many such bytes the kept states are made anew, as other words have become frequent."""
+        m, ids, beginnings, out = self.m, self.m.ids, self.m.beginnings, []
+        last, rest, live, tokens, starts = state[0], state[1], list(state[2]), list(state[3]), list(state[4])
+        whole, at = rest + data, len(rest)
+        low = 0
+        for end in range(at + 1, len(whole) + 1):
+            for start in live:
+                token = ids.get(whole[low + start : end])
+                if token is not None:
+                    before = tokens[start] if start else last
+                    if before is None or m.apart(before, token):
+                        break
+            else:
+                raise ValueError("the vocabulary has no token for a byte")
+            tokens.append(token)
+            starts.append(start)
+            live = [k for k in live if whole[low + k : end] in beginnings]
+            live.append(end - low)
+            if end - low >= SETTLE:
+                path = set(live)
+                while len(path) > 1:
+                    top = max(path)
+                    path.remove(top)
+                    path.add(starts[top])
+                (root,) = path
+                if root:
+                    out.append(self._codes(tokens, starts, root))
+                    last, low = tokens[root], low + root
+                    live, tokens, starts = [k - root for k in live], tokens[root:], [0, *(k - root for k in starts[root + 1 :])]
+        out.append(self._codes(tokens, starts, len(whole) - low))
+        self.passing += len(data)
         if self.passing > PASSING:
             self.reset()
         return b"".join(out)

@@ -215,7 +215,7 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         shared = docs.sparkSession.sparkContext.broadcast(parts)
 
         def run(batches, shared=shared):
-            for batch in slices(batches, 1024):
+            for batch in slices(batches, 1024, 1_500_000):
                 ids = batch["doc_id"].to_pylist()
                 found = best_hits(shared.value, [t or "" for t in batch["text"].to_pylist()])
                 rows = [(ids[row], item, *(round(v, 6) for v in values)) for (row, item), values in sorted(found.items())]
@@ -235,7 +235,7 @@ def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         shared = docs.sparkSession.sparkContext.broadcast(parts)
 
         def run(batches, shared=shared):
-            for batch in slices(batches, 1024):
+            for batch in slices(batches, 1024, 1_500_000):
                 found = best_hits(shared.value, [t or "" for t in batch.column(at).to_pylist()])
                 bad = {row for row, _ in found}
                 yield batch.filter(pa.array([k not in bad for k in range(batch.num_rows)], pa.bool_()))

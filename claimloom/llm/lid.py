@@ -103,7 +103,7 @@ def counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
             held.clear()
             docs_of.clear()
 
-        for batch in slices(batches, 1024):
+        for batch in slices(batches, 1024, 1_500_000):
             langs, texts = batch["lang"].to_pylist(), batch["text"].to_pylist()
             for name in sorted(set(langs)):
                 own = [t for t, x in zip(texts, langs) if x == name]
@@ -161,7 +161,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in slices(batches, 1024):
+        for batch in slices(batches, 1024, 1_500_000):
             best, score = scored([t or "" for t in batch["text"].to_pylist()], shared.value)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(best, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
@@ -174,7 +174,7 @@ def identified(docs: DataFrame, model: Model, least: float) -> DataFrame:
     text, lang = docs.columns.index("text"), docs.columns.index("lang")
 
     def run(batches):
-        for batch in slices(batches, 1024):
+        for batch in slices(batches, 1024, 1_500_000):
             best, score = scored([t or "" for t in batch.column(text).to_pylist()], shared.value)
             columns = list(batch.columns)
             columns[lang] = pa.array(best, columns[lang].type)
