@@ -21,6 +21,7 @@ Only the named columns are read; others pass through ``redacted`` unchanged.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 
 import numpy as np
@@ -224,13 +225,16 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS) -> Field:
         for batch in slices(batches):
             for text in batch["text"].to_pylist():
                 found = nodes(text, base_spans(text))
-                for node in found:
+                known = {n.key for n in found if n.label}
+                sure = [bool(n.label) or n.key not in known for n in found]
+                for node in itertools.compress(found, sure):
                     add("label", str(node.label))
                     for f in node.features:
                         add(f, str(node.label))
                 chain, skip = edges(found)
                 for i, j in chain:
-                    add("pair", f"{found[i].label} {found[j].label}")
+                    if sure[i] and sure[j]:
+                        add("pair", f"{found[i].label} {found[j].label}")
                 for i, j in skip:
                     if found[i].label and found[j].label:
                         add("same", str(int(found[i].label == found[j].label)))
