@@ -90,7 +90,7 @@ def train_polynomial(train: DataFrame, degree: int = 2, selected: int = 20, C: f
     """Polynomial terms of the ``selected`` best columns, then an L2 model.
 
     Expanding thousands of columns gives millions of features per row, so the columns
-    are first cut by a chi-squared test; the intercept stands for the bias column.
+    are first cut by an F-test (analysis of variance); the intercept stands for the bias column.
     """
     selector = UnivariateFeatureSelector(
         featuresCol="features", labelCol="target", outputCol="_selected", selectionMode="numTopFeatures"

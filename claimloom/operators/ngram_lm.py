@@ -91,7 +91,7 @@ def suffix_orders(context: Column, n: int) -> Column:
 
 def _unigram_level(model: NgramModel) -> Column:
     """The level of last resort. Its context is empty, so it is looked up in a scalar, never joined on."""
-    key = F.col(model.by[0]) if model.by else F.lit("")
+    key = F.to_json(F.struct(*model.by)) if model.by else F.lit("")
     value = F.struct("n", "context", "total", "followers")
     per_model = model.contexts.agg(
         F.map_from_entries(F.collect_list(F.when(F.col("n") == 1, F.struct(key.alias("k"), value.alias("v")))))
@@ -230,50 +230,71 @@ def _filler(model: NgramModel, used: DataFrame, k: int) -> DataFrame:
     return used.join(F.broadcast(lists), "n").select("n", "context", "total", "followers", F.inline("top"))
 
 
-def _uniform(*parts: Column) -> Column:
-    """A number in (0, 1) from a hash of the parts."""
-    return (F.pmod(F.xxhash64(*parts), F.lit(2**40)) + 0.5) / F.lit(float(2**40))
+def _uniform(*parts: Column | str) -> Column:
+    """A number in (0, 1) from the digits of a hash of the parts."""
+    digits = F.substring(F.md5(F.concat_ws("|", *parts)), 1, 12)
+    return (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(float(16**12))
 
 
-def _gumbel(weight: Column, *parts: Column) -> Column:
-    """Keys whose maximum is a draw in proportion to the weights."""
-    return F.log(weight) - F.log(-F.log(_uniform(*parts)))
+def _prefix(words: int, rows: int = 50_000) -> int:
+    """How many hash digits cut so many words into ranges of about ``rows``; two at least."""
+    digits = 2
+    while words > rows * 16**digits:
+        digits += 1
+    return digits
 
 
-def sample_next(model: NgramModel, contexts: DataFrame, seed: int = 42, draws: int = 16) -> DataFrame:
+def _drawn(weights: DataFrame, asked: DataFrame, *keys: str) -> DataFrame:
+    """``full, word``: for each row of ``asked(full, keys..., u)`` the word at share ``u`` of the weights of its keys.
+
+    The words of a key lie one after another in the order of their hash, each as long as
+    its weight. Running sums are taken within ranges of the hash first and then over the
+    ranges, so a key with the whole vocabulary is no single task. A point is brought to
+    its range by the range totals, and to its word by one sort per range: no point meets
+    more words than that.
+    """
+    digits = _prefix(weights.count())
+    rows = weights.withColumn("hash", F.md5("word")).withColumn("range", F.substring("hash", 1, digits))
+    sums = rows.groupBy(*keys, "range").agg(F.sum("w").alias("w"))
+    before = F.sum("w").over(Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("w")
+    ranges = sums.withColumn("begin", before).groupBy(*keys).agg(
+        F.sum("w").alias("all"), F.sort_array(F.collect_list(F.struct("begin", "range"))).alias("ranges")
+    )
+    at = F.col("u") * F.col("all")
+    placed = asked.join(ranges, [*keys]).withColumn(
+        "r", F.element_at(F.filter("ranges", lambda r: r["begin"] <= at), -1)
+    )
+    points = placed.select("full", *keys, F.col("r.range").alias("range"), (at - F.col("r.begin")).alias("at"), F.lit(None).cast("string").alias("word"))
+    inside = Window.partitionBy(*keys, "range").orderBy("hash", "word").rowsBetween(Window.unboundedPreceding, 0)
+    begins = rows.select(F.lit(None).cast("string").alias("full"), *keys, "range", (F.sum("w").over(inside) - F.col("w")).alias("at"), "word")
+    last = F.last("word", True).over(Window.partitionBy(*keys, "range").orderBy("at", F.col("full").isNotNull()))
+    return points.unionByName(begins).withColumn("word", last).where("full is not null").select("full", "word")
+
+
+def sample_next(model: NgramModel, contexts: DataFrame, seed: int = 42) -> DataFrame:
     """``context, word``: a seeded draw from the full next-word distribution; ``<UNK>`` without candidates.
 
     The distribution is a mixture: with the interpolation weight the word comes from
     the continuation shares of the order, else from the discounted followers of the
-    context. Both are drawn ``draws`` times per order and per seen context, and asking
-    contexts take one of the draws by hash, so none meets the whole vocabulary.
+    context. Every context draws its own side and its own word.
     """
-    s = F.lit(seed)
-    slots = range(draws)
-    levels = context_levels(model, contexts)
-    shares = model.words.groupBy("n").agg(
-        F.array(*[F.max_by("word", _gumbel(F.col("p_cont"), s, F.lit(j), F.col("word"))) for j in slots]).alias("drawn")
-    )
+    s = F.lit(str(seed))
+    levels = materialize(context_levels(model, contexts), "levels")
     d = F.lit(model.discount)
-    heavier = F.col("cnt") - d
-    followers = (
-        levels.select("n", "context").distinct()
-        .join(model.counts, ["n", "context"])
-        .where(heavier > 0)
-        .groupBy("n", "context")
-        .agg(F.array(*[F.max_by("word", _gumbel(heavier, s, F.lit(-1 - j), "context", "word")) for j in slots]).alias("after"))
-    )
+    used = levels.select("n", "context").distinct()
+    followers = model.counts.join(used, ["n", "context"]).where(F.col("cnt") > d).select("n", "context", "word", (F.col("cnt") - d).alias("w"))
+    followers = materialize(followers, "followers")
+    heavy = followers.select("n", "context").distinct().withColumn("heavy", F.lit(True))
     lam = d * F.col("followers") / F.col("total")
-    slot = F.pmod(F.xxhash64(s, F.lit("slot"), F.col("full")), F.lit(draws)).cast("int")
-    other = F.get("drawn", slot)
-    # at most n rows on the broadcast side
-    drawn = levels.join(F.broadcast(shares), "n").join(followers, ["n", "context"], "left").select(
-        F.col("full").alias("context"),
-        F.when(_uniform(s, F.lit("mix"), F.col("full")) < lam, other)
-        .otherwise(F.coalesce(F.get("after", slot), other))
-        .alias("word"),
+    sides = levels.join(heavy, ["n", "context"], "left").select(
+        "full", "n", "context", _uniform(s, F.lit("word"), "full").alias("u"),
+        ((_uniform(s, F.lit("side"), "full") < lam) | F.col("heavy").isNull()).alias("other"),
+    )
+    shares = model.words.select("n", "word", F.col("p_cont").alias("w"))
+    drawn = _drawn(shares, sides.where("other").select("full", "n", "u"), "n").unionByName(
+        _drawn(followers, sides.where("not other").select("full", "n", "context", "u"), "n", "context")
     )
-    return contexts.select("context").distinct().join(drawn, "context", "left").select(
+    return contexts.select("context").distinct().join(drawn.withColumnRenamed("full", "context"), "context", "left").select(
         "context", F.coalesce("word", F.lit("<UNK>")).alias("word")
     )
 

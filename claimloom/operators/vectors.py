@@ -14,13 +14,16 @@ GRID = ((100, 3), (200, 5), (300, 7))
 
 
 def train_word_vectors(
-    docs: DataFrame, tokens: str = "tokens", size: int = 200, window: int = 5, min_count: int = 3, partitions: int = 8
+    docs: DataFrame, tokens: str = "tokens", size: int = 200, window: int = 5, min_count: int = 3, partitions: int | None = None
 ) -> Word2VecModel:
     """Skip-gram vectors of every word seen at least ``min_count`` times.
 
     The trainer holds one float array for the whole vocabulary, so the vocabulary is
-    counted first and refused when it cannot fit; a greater ``min_count`` bounds it.
+    counted first and refused when it cannot fit; a greater ``min_count`` bounds it. That
+    array lives on the driver: it is this trainer's limit, whatever the size of the text.
     """
+    if partitions is None:  # every partition trains on a share of the text; more of them are faster and average more
+        partitions = max(1, min(docs.sparkSession.sparkContext.defaultParallelism, docs.count() // 1000))
     vocab = docs.select(F.explode(tokens).alias("t")).groupBy("t").count().where(F.col("count") >= min_count).count()
     if vocab * size >= 2**31:
         raise ValueError(f"{vocab} words of size {size} exceed one array: raise min_count")

@@ -94,13 +94,12 @@ def nb_scored(spark: SparkSession, folder: str) -> DataFrame:
 
 def nb_test_scores(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id, label, prediction, score`` of the test rows under a model of the training rows."""
-    docs = split_terms(spark, folder)
+    docs = materialize(split_terms(spark, folder), "split-terms")
     model = nb_tokens(docs.where(~F.col("is_test")))
     test = features.doc_terms(docs.where("is_test"), "doc_id", "label", outer=True)
-    scored = model.score(test, "doc_id", "label")
-    return scored.select(
-        "doc_id", "label", "prediction", F.round(F.col("probabilities")[CLASSES[1]], 6).alias("score")
-    )
+    # the margin: probabilities are 0 or 1 for all but a few. Nine places hide only the order in which terms were summed.
+    margin = F.col("scores")[CLASSES[1]] - F.col("scores")[CLASSES[0]]
+    return model.score(test, "doc_id", "label").select("doc_id", "label", "prediction", F.round(margin, 9).alias("score"))
 
 
 # ---------------------------------------------------------------- text
@@ -282,21 +281,21 @@ def top_vocab(spark, folder):
 
 @query
 def bow_counts(spark, folder):
-    docs = document_terms(spark, folder)
+    docs = materialize(document_terms(spark, folder), "terms")
     return features.fit_terms(docs).counts(docs, "doc_id").select("doc_id", "term", "tf")
 
 
 @query
 def bow_sparsity(spark, folder):
-    docs = document_terms(spark, folder)
+    docs = materialize(document_terms(spark, folder), "terms")
     model = features.fit_terms(docs)
     out = features.sparsity(model.counts(docs, "doc_id"), docs, model.vocabulary)
     return out.withColumn("sparsity_percentage", F.round("sparsity_percentage", 6))
 
 
-def _tfidf(spark, folder, variant, max_features=features.MAX_FEATURES):
-    docs = document_terms(spark, folder)
-    model = features.fit_terms(docs, max_features, variant)
+def _tfidf(spark, folder, variant):
+    docs = materialize(document_terms(spark, folder), "terms")
+    model = features.fit_terms(docs, variant=variant)
     return model.weights(docs, "doc_id").select("doc_id", "term", r6("weight"))
 
 
@@ -307,25 +306,25 @@ def tfidf_smooth(spark, folder):
 
 @query
 def tfidf_sublinear(spark, folder):
-    return _tfidf(spark, folder, "sublinear", 1000)
+    return _tfidf(spark, folder, "sublinear")
 
 
 @query
 def tfidf_standard(spark, folder):
-    return _tfidf(spark, folder, "standard", 1000)
+    return _tfidf(spark, folder, "standard")
 
 
 @query
 def tfidf_stats(spark, folder):
-    docs = document_terms(spark, folder)
-    model = features.fit_terms(docs, 1000)
+    docs = materialize(document_terms(spark, folder), "terms")
+    model = features.fit_terms(docs)
     out = features.weight_stats(model.weights(docs, "doc_id"), docs, model.vocabulary)
     return out.select(r6("max_tfidf_value"), F.round("mean_tfidf_value", 9).alias("mean_tfidf_value"))
 
 
 @query
 def discriminative_terms(spark, folder):
-    docs = labelled_terms(spark, folder)
+    docs = materialize(labelled_terms(spark, folder), "terms")
     weights = features.fit_terms(docs).weights(docs, "doc_id")
     out = features.discriminative_terms(weights, docs, "doc_id", "label")
     return out.select("label", F.col("rank").cast("long").alias("rank"), "term", "mean_weight")
@@ -398,7 +397,7 @@ def kn_perplexity(spark, folder):
 
 @query
 def kn_perplexity_by_text(spark, folder):
-    model = ngram_lm.fit(_lm_docs(spark, folder), 2).materialized()
+    model = ngram_lm.fit(_lm_docs(spark, folder), 3).materialized()
     out = ngram_lm.perplexity_by(model, _turn_tokens(spark, folder), "request_id")
     return out.select("request_id", "positions", F.round("perplexity", 4).alias("perplexity"))
 
@@ -425,7 +424,7 @@ def kn_sample_word(spark, folder):
 def lm_classify(spark, folder):
     """Held-out documents classified by the class model that is least surprised."""
     docs = split_terms(spark, folder).withColumnRenamed("terms", "tokens")
-    model = ngram_lm.fit(docs.where(~F.col("is_test")), 2, by=["label"]).materialized()
+    model = ngram_lm.fit(docs.where(~F.col("is_test")), 3, by=["label"]).materialized()
     test = docs.where("is_test").select("doc_id", "tokens")
     out = ngram_lm.classify_by_perplexity(model, test, "doc_id", "label")
     return out.select("doc_id", "prediction", F.round("perplexity", 4).alias("perplexity"))
@@ -616,25 +615,16 @@ def accuracy(spark, folder):
     return nb_test_scores(spark, folder).agg(r6(evaluate.accuracy(None, "label"), "accuracy"))
 
 
-def _all_scores(spark, folder):
-    """Labelled documents with the probability of ``real`` from a model of all labelled rows."""
-    docs = labelled_terms(spark, folder)
-    scored = nb_tokens(docs).score(features.doc_terms(docs, "doc_id", "label", outer=True), "doc_id", "label")
-    # class_priors-free margin: a spread-out score keeps the curve informative
-    margin = F.col("scores")[CLASSES[1]] - F.col("scores")[CLASSES[0]]
-    return scored.select("label", F.round(margin, 3).alias("score"))
-
-
 @query
 def roc_curve(spark, folder):
-    scores = materialize(_all_scores(spark, folder), "scores")
+    scores = materialize(nb_test_scores(spark, folder), "scores")
     out = evaluate.roc_curve(scores, F.col("label") == CLASSES[1], "score")
-    return out.select("score", r6("fpr"), r6("tpr"))
+    return out.select(r6("score"), r6("fpr"), r6("tpr"))
 
 
 @query
 def roc_auc(spark, folder):
-    scores = materialize(_all_scores(spark, folder), "scores")
+    scores = materialize(nb_test_scores(spark, folder), "scores")
     return evaluate.roc_auc(scores, F.col("label") == CLASSES[1], "score").select(r6("roc_auc"))
 
 
@@ -651,7 +641,7 @@ def misclassified_buckets(spark, folder):
 
 @query
 def dataset_profile(spark, folder):
-    docs = documents(spark, folder).join(read_table(spark, folder, "documents", "doc_id", "lang"), "doc_id")
+    docs = read_table(spark, folder, "documents", "doc_id", "text", "lang")
     out = sampling.dataset_profile(docs, "text", "lang")
     return out.select("lang", "documents", "distinct_texts", r6("share"), r6("duplicate_rate"))
 
@@ -683,6 +673,7 @@ def sweep_runs(spark, folder) -> DataFrame:
         ),
         F.create_map(*[x for m in names for x in (F.lit(m), F.round(m, 6))]),
         parent=F.lit("nb-sweep"),
+        has_model=True,  # the counts of the training rows with the run's alpha are the model
     )
 
 
@@ -790,7 +781,7 @@ def lake_roundtrip(spark, folder):
 def ingest_incremental(spark, folder):
     """Documents written as raw CSV, cleaned by the file job, and skipped when it runs again."""
     root = fresh_path(spark, "ingest")
-    docs = documents(spark, folder).join(read_table(spark, folder, "documents", "doc_id", "lang"), "doc_id")
+    docs = read_table(spark, folder, "documents", "doc_id", "text", "lang")
     docs = docs.select("doc_id", F.col("text").alias("tweet"), "lang")
     docs.repartition("lang").write.partitionBy("lang").option("header", True).option("escape", '"').csv(f"{root}/raw")
     first = files.clean_folder(spark, f"{root}/raw", f"{root}/processed").withColumn("run", F.lit(1))
@@ -870,10 +861,10 @@ def lr_weighted(spark, folder):
 
 
 def _poly_scores(spark, folder, degrees):
-    _, _, table = _linear_inputs(spark, folder, 500)
+    _, _, table = _linear_inputs(spark, folder)
     out = None
     for degree in degrees:
-        model = linear.train_polynomial(table.where(~F.col("is_test")), degree, selected=10)
+        model = linear.train_polynomial(table.where(~F.col("is_test")), degree)
         part = experiments.score_vectors(model, table.where("is_test"), "label").withColumn("degree", F.lit(degree))
         out = part if out is None else out.unionByName(part)
     return evaluate.summary_metrics(out, "label", CLASSES, ["degree"]).select("degree", r6("accuracy"), r6("f1_weighted"))
@@ -892,8 +883,7 @@ def lr_degree_compare(spark, folder):
 @query
 def w2v_vectors(spark, folder):
     docs = materialize(_lm_docs(spark, folder), "w2v-tokens")
-    model = vectors.train_word_vectors(docs, size=50)
-    return vectors.word_vectors(model).select("word", F.size("vector").alias("dims"), F.lit(True).alias("trained"))
+    return vectors.word_vectors(vectors.train_word_vectors(docs)).select("word", "vector")
 
 
 @query
@@ -914,7 +904,7 @@ def w2v_grid(spark, folder):
 @query
 def w2v_pca(spark, folder):
     docs = materialize(_lm_docs(spark, folder), "w2v-tokens")
-    model = vectors.train_word_vectors(docs, size=50)
+    model = vectors.train_word_vectors(docs)
     return vectors.project(vectors.word_vectors(model), "word", "vector")
 
 

@@ -85,7 +85,7 @@ def ablation(docs: DataFrame, key: str, configs: Sequence[Config] = CONFIGS, fit
         metrics = [c for c in row.columns if c != "config"]
         record = run_record(
             row,
-            F.md5("config"),
+            F.lit(uuid.uuid4().hex),
             F.col("config"),
             F.create_map(*[F.lit(x) for kv in sorted(params.items()) for x in kv]),
             F.create_map(
@@ -99,7 +99,7 @@ def ablation(docs: DataFrame, key: str, configs: Sequence[Config] = CONFIGS, fit
 
 def run_record(
     df: DataFrame, run_id: Column, name: Column, params: Column, metrics: Column, parent: Column | None = None,
-    step: Column | None = None, has_model: bool = True,
+    step: Column | None = None, has_model: bool = False,
 ) -> DataFrame:
     """Shape rows as run records."""
     return df.select(
@@ -195,9 +195,9 @@ def promotion(
         "run_id",
     )
     wins = new.agg(F.max(F.col("stage") == "Production")).scalar()
-    # promoting archives every other version that is in a stage
+    # promoting archives what was in production; other stages stay
     old = mine.withColumn(
-        "stage", F.when(wins & F.col("stage").isin("Production", "Staging"), "Archived").otherwise(F.col("stage"))
+        "stage", F.when(wins & (F.col("stage") == "Production"), "Archived").otherwise(F.col("stage"))
     ).select("model_name", F.col("version").cast("int").alias("version"), "stage", "run_id")
     others = registry.where(F.col("model_name") != model_name).select(*old.columns)
     return old.unionByName(new).unionByName(others)
@@ -211,11 +211,11 @@ def model_history(registry: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 def registry_from_runs(runs: DataFrame, model_name: str, production: int) -> DataFrame:
-    """Number runs as versions in id order; one of them is in production (bounded: one row per run)."""
+    """Number runs as versions in id order; one of them is in production and the next one in Staging (bounded: one row per run)."""
     version = F.row_number().over(Window.orderBy("run_id"))
     return runs.select(
         F.lit(model_name).alias("model_name"), version.alias("version"), "run_id"
     ).select(
         "model_name", "version",
-        F.when(F.col("version") == production, "Production").otherwise("Archived").alias("stage"), "run_id",
+        F.when(F.col("version") == production, "Production").when(F.col("version") == production + 1, "Staging").otherwise("Archived").alias("stage"), "run_id",
     )

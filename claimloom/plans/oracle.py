@@ -228,9 +228,9 @@ add("bow_counts", f"WITH {_DOCS}, {vocab()} SELECT doc_id, term, tf FROM tf WHER
 add("bow_sparsity", f"WITH {_DOCS}, {vocab()}, s AS (SELECT (SELECT count(*) FROM documents) AS r, (SELECT count(*) FROM vocab) AS c, "
     "(SELECT count(*) FROM tf WHERE term IN (SELECT term FROM vocab)) AS nnz) SELECT r AS matrix_rows, c AS matrix_cols, nnz AS non_zero_elements, "
     "round(100 * (1 - CAST(nnz AS DOUBLE) / (r * c)), 6) AS sparsity_percentage FROM s")
-for _variant, _k in (("smooth", 5000), ("sublinear", 1000), ("standard", 1000)):
+for _variant, _k in (("smooth", 5000), ("sublinear", 5000), ("standard", 5000)):
     add(f"tfidf_{_variant}", f"WITH {_DOCS}, {vocab(k=_k)}, {weights('tf', 'documents', _variant)} SELECT doc_id, term, round(weight, 6) AS weight FROM w")
-add("tfidf_stats", f"WITH {_DOCS}, {vocab(k=1000)}, {weights('tf', 'documents')} SELECT round(max(weight), 6) AS max_tfidf_value, "
+add("tfidf_stats", f"WITH {_DOCS}, {vocab()}, {weights('tf', 'documents')} SELECT round(max(weight), 6) AS max_tfidf_value, "
     "round(sum(weight) / ((SELECT count(*) FROM documents) * (SELECT count(*) FROM vocab)), 9) AS mean_tfidf_value FROM w")
 
 _LAB = f"{LAB}, {tf('lab')}"
@@ -298,7 +298,7 @@ add("kn_prob", f"{_LM3}, {_TURNS}, {_asked}, {kn('asked', 3)} SELECT context, wo
 _logp = "ln(CASE WHEN k.p > 0 THEN k.p ELSE 1e-10 END)"
 add("kn_perplexity", f"{_LM3}, {_TURNS}, pos AS ({grams('trn', 3)}), {_asked}, {kn('asked', 3)} "
     f"SELECT CAST(count(*) AS BIGINT) AS positions, round(exp(-avg({_logp})), 4) AS perplexity FROM pos JOIN kn k ON pos.context = k.context AND pos.word = k.word")
-add("kn_perplexity_by_text", f"WITH {_LMDOCS}, {lm('src', 2)}, {_TURNS}, pos AS ({grams('trn', 2, 'request_id, ')}), asked AS (SELECT DISTINCT context, word FROM pos), {kn('asked', 2)} "
+add("kn_perplexity_by_text", f"WITH {_LMDOCS}, {lm('src', 3)}, {_TURNS}, pos AS ({grams('trn', 3, 'request_id, ')}), asked AS (SELECT DISTINCT context, word FROM pos), {kn('asked', 3)} "
     f"SELECT request_id, CAST(count(*) AS BIGINT) AS positions, round(exp(-avg({_logp})), 4) AS perplexity FROM pos JOIN kn k ON pos.context = k.context AND pos.word = k.word GROUP BY request_id")
 add("kn_next_word", f"{_LM3}, {_TURNS}, q AS (SELECT DISTINCT array_to_string(list_slice(list_concat(['<s>', '<s>'], toks), -2, -1), ' ') AS context FROM trn), "
     "asked AS (SELECT context, '' AS word FROM q), " + kn("asked", 3) + ", "
@@ -308,8 +308,17 @@ add("kn_next_word", f"{_LM3}, {_TURNS}, q AS (SELECT DISTINCT array_to_string(li
     "m AS (SELECT a.context, a.word, round(max(greatest(a.cnt - 0.75, 0) / CAST(a.total AS DOUBLE) + 0.75 * a.followers / CAST(a.total AS DOUBLE) * pc.p_cont), 9) AS p FROM a JOIN pc ON pc.n = a.level AND pc.word = a.word GROUP BY a.context, a.word) "
     "SELECT context, CAST(row_number() OVER (PARTITION BY context ORDER BY p DESC, word) AS BIGINT) AS rank, word, p FROM m "
     "QUALIFY row_number() OVER (PARTITION BY context ORDER BY p DESC, word) <= 5")
+_unit = lambda kind: f"(CAST('0x' || substr(md5('42|{kind}|' || b.context), 1, 12) AS BIGINT) + 0.5) / CAST({16**12} AS DOUBLE)"
+add("kn_sample_word", f"{_LM3}, {_TURNS}, q AS (SELECT DISTINCT array_to_string(list_slice(list_concat(['<s>', '<s>'], toks), -2, -1), ' ') AS context FROM trn), "
+    "asked AS (SELECT context, '' AS word FROM q), " + kn("asked", 3) + ", "
+    "heavy AS (SELECT n, context, word, cnt - 0.75 AS w FROM cnt WHERE cnt > 0.75), "
+    f"b AS (SELECT b.context, level, used, {_unit('word')} AS u, {_unit('side')} < 0.75 * followers / CAST(total AS DOUBLE) OR NOT EXISTS (SELECT 1 FROM heavy h WHERE h.n = b.level AND h.context = b.used) AS other FROM lvl b), "
+    "ps AS (SELECT n, word, sum(p_cont) OVER o - p_cont AS lo, sum(p_cont) OVER o AS hi, sum(p_cont) OVER (PARTITION BY n) AS tot FROM pc WINDOW o AS (PARTITION BY n ORDER BY md5(word), word ROWS UNBOUNDED PRECEDING)), "
+    "hs AS (SELECT n, context, word, sum(w) OVER o - w AS lo, sum(w) OVER o AS hi, sum(w) OVER (PARTITION BY n, context) AS tot FROM heavy WHERE (n, context) IN (SELECT (level, used) FROM b WHERE NOT other) WINDOW o AS (PARTITION BY n, context ORDER BY md5(word), word ROWS UNBOUNDED PRECEDING)) "
+    "SELECT b.context, word FROM b JOIN ps ON other AND ps.n = b.level AND b.u * tot >= lo AND b.u * tot < hi "
+    "UNION ALL SELECT b.context, word FROM b JOIN hs ON NOT other AND hs.n = b.level AND hs.context = b.used AND b.u * tot >= lo AND b.u * tot < hi")
 add("lm_classify", f"WITH {LAB}, tok AS (SELECT doc_id, label, {words(clean('text'))} AS toks FROM lab), src AS (SELECT * FROM tok WHERE NOT {is_test('doc_id')}), tst AS (SELECT * FROM tok WHERE {is_test('doc_id')}), "
-    f"{lm('src', 2, 'label, ')}, pos AS ({grams('tst', 2, 'doc_id, ')}), asked AS (SELECT DISTINCT l.label, context, word FROM pos, (SELECT DISTINCT label FROM src) l), {kn('asked', 2, 'label, ')}, "
+    f"{lm('src', 3, 'label, ')}, pos AS ({grams('tst', 3, 'doc_id, ')}), asked AS (SELECT DISTINCT l.label, context, word FROM pos, (SELECT DISTINCT label FROM src) l), {kn('asked', 3, 'label, ')}, "
     f"s AS (SELECT doc_id, k.label, round(exp(-avg({_logp})), 6) AS pp FROM pos JOIN kn k ON pos.context = k.context AND pos.word = k.word GROUP BY doc_id, k.label) "
     "SELECT doc_id, label AS prediction, round(pp, 4) AS perplexity FROM s QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY pp, label) = 1")
 
@@ -422,11 +431,11 @@ add("class_report", f"{_TEST}, {_CLS}, {report('ev')} SELECT k AS class, round(p
     "UNION ALL SELECT 'weighted avg', round(sum(pr * sup / n), 6), round(sum(rc * sup / n), 6), round(sum(f1 * sup / n), 6), max(n) FROM rep, tot_")
 add("accuracy", f"{_TEST} SELECT round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM ev")
 
-_MARGIN = (f"{_NB}, {scored('lab', 'tf')}, mg AS (SELECT lab.doc_id, lab.label, round(r.score - f.score, 3) AS score FROM lab "
-           "JOIN s r ON r.doc_id = lab.doc_id AND r.label = 'real' JOIN s f ON f.doc_id = lab.doc_id AND f.label = 'fake'), "
+_MARGIN = (f"WITH {_SPLIT}, {scored('tst', 'tf')}, mg AS (SELECT tst.doc_id, tst.label, round(r.score - f.score, 9) AS score FROM tst "
+           "JOIN s r ON r.doc_id = tst.doc_id AND r.label = 'real' JOIN s f ON f.doc_id = tst.doc_id AND f.label = 'fake'), "
            "pt AS (SELECT score, count(*) FILTER (WHERE label = 'real') AS pos, count(*) FILTER (WHERE label <> 'real') AS neg FROM mg GROUP BY score), "
            "rc AS (SELECT score, CAST(sum(neg) OVER o AS DOUBLE) / sum(neg) OVER () AS fpr, CAST(sum(pos) OVER o AS DOUBLE) / sum(pos) OVER () AS tpr FROM pt WINDOW o AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING))")
-add("roc_curve", f"{_MARGIN} SELECT score, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM rc")
+add("roc_curve", f"{_MARGIN} SELECT round(score, 6) AS score, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM rc")
 add("roc_auc", f"{_MARGIN} SELECT round(sum((fpr - lf) * (tpr + lt) / 2), 6) AS roc_auc FROM (SELECT fpr, tpr, lag(fpr, 1, 0) OVER (ORDER BY score DESC) AS lf, lag(tpr, 1, 0) OVER (ORDER BY score DESC) AS lt FROM rc)")
 add("misclassified_buckets", f"{_TEST}, ov AS (SELECT tf.doc_id, round(CAST(sum(CASE WHEN term IN (SELECT term FROM c) THEN 0 ELSE tf END) AS DOUBLE) / sum(tf), 6) AS oov_rate FROM tf GROUP BY tf.doc_id), "
     "x AS (SELECT ev.doc_id, ev.label, prediction, coalesce(oov_rate, 0) AS oov_rate, text FROM ev LEFT JOIN ov ON ov.doc_id = ev.doc_id JOIN documents d ON d.doc_id = ev.doc_id WHERE ev.label <> prediction) "
@@ -444,9 +453,9 @@ add("run_flatten", f"{_RUNS} SELECT run_id, CAST(0 AS BIGINT) AS remove_stopword
 add("best_run", f"{_RUNS} SELECT run_id, f1_weighted FROM runs ORDER BY f1_weighted DESC, run_id LIMIT 1")
 add("promotion", f"{_RUNS}, top1 AS (SELECT run_id, f1_weighted FROM runs ORDER BY f1_weighted DESC, run_id LIMIT 1), "
     "win AS (SELECT round((SELECT f1_weighted FROM top1), 9) >= round((SELECT f1_weighted FROM reg WHERE version = 2), 9) + 0.01 AS w) "
-    "SELECT 'claims-nb' AS model_name, CAST(version AS BIGINT) AS version, CASE WHEN version = 2 AND NOT (SELECT w FROM win) THEN 'Production' ELSE 'Archived' END AS stage, run_id FROM reg "
+    "SELECT 'claims-nb' AS model_name, CAST(version AS BIGINT) AS version, CASE WHEN version = 2 AND NOT (SELECT w FROM win) THEN 'Production' WHEN version = 3 THEN 'Staging' ELSE 'Archived' END AS stage, run_id FROM reg "
     "UNION ALL SELECT 'claims-nb', CAST((SELECT max(version) + 1 FROM reg) AS BIGINT), CASE WHEN (SELECT w FROM win) THEN 'Production' ELSE 'Staging' END, run_id FROM top1")
-add("model_history", f"{_RUNS} SELECT 'claims-nb' AS model_name, CAST(version AS BIGINT) AS version, CASE WHEN version = 2 THEN 'Production' ELSE 'Archived' END AS stage, f1_weighted, accuracy FROM reg")
+add("model_history", f"{_RUNS} SELECT 'claims-nb' AS model_name, CAST(version AS BIGINT) AS version, CASE WHEN version = 2 THEN 'Production' WHEN version = 3 THEN 'Staging' ELSE 'Archived' END AS stage, f1_weighted, accuracy FROM reg")
 add("run_log", f"{_RUNS} " + " UNION ALL ".join(f"SELECT run_id, '{m}' AS metric, {m} AS value FROM runs" for m in
     ("accuracy", "f1_weighted", "precision_fake", "recall_fake", "f1_fake", "precision_real", "recall_real", "f1_real")))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,7 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # local-cluster has executors of their own
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="claimloom-")
         spark.conf.set("spark.checkpoint.dir", folder)

@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# At the default split size, 16 splits are 2 GB.
+SPLITS = 16
+
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash a scan over the cluster by key, only when it has fewer splits than there are cores.
+    """Hash a scan of a few splits by key, so that a one-file table isn't worked on by one core.
 
-    A large table already has many splits and is returned untouched. A one-file table
-    would otherwise do all its text work on one core; hashing by the document key
-    also spares later per-document aggregates their own shuffle.
+    Only a scan of fewer than SPLITS splits is moved, so a table of any size never has its
+    texts shuffled by this, however many cores there are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() >= min(cores, SPLITS):
         return df
     return df.repartition(cores, *keys)
 

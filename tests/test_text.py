@@ -45,8 +45,8 @@ def test_tokenizers(spark):
 @pytest.mark.parametrize(
     "text, expected",
     [
-        ("i'll be scraping dawn.com for news! it's urgent.", "i 'll be scraping dawn.com for news ! it 's urgent ."),
-        ("ye fake news, don't believe it.", "ye fake news , do n't believe it ."),
+        ("we'll meet at noon.org by ten! that's late.", "we 'll meet at noon.org by ten ! that 's late ."),
+        ("an odd claim, they couldn't prove it.", "an odd claim , they could n't prove it ."),
         ("cannot gonna wanna gimme", "can not gon na wan na gim me"),
         ('he said "hi there."', "he said `` hi there . ''"),
         ("a: b, 3,000 wait...", "a : b , 3,000 wait ..."),
