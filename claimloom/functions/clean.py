@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from html.entities import name2codepoint
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,15 +21,27 @@ ASCII_SPACE = r"[\t-\r\x1c-\x20]+"
 URL = rf"http[^{SPACE}]+|www[^{SPACE}]+"
 HANDLE = rf"[@#][^{SPACE}]+"
 
-# Markup that holds no text, in the order it is removed.
+# The inside of a tag: a quoted value may hold the closing sign.
+INSIDE = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
+# Markup that holds no text, in the order it is removed. Scripts and styles without an end reach to the end of the text.
 MARKUP = (
-    r"(?is)<script\b[^>]*>.*?</script\s*>",
-    r"(?is)<style\b[^>]*>.*?</style\s*>",
-    r"(?s)<!--.*?-->",
+    rf"(?is)<script\b{INSIDE}>.*?(?:</script\s*>|\z)",
+    rf"(?is)<style\b{INSIDE}>.*?(?:</style\s*>|\z)",
+    r"(?s)<!--.*?(?:-->|\z)",
+    r"<\?[^>]*>",
     r"<![^>]*>",
+    rf"</?[A-Za-z]{INSIDE}>",
     r"</?[A-Za-z][^>]*>",
 )
-ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});"
+ENTITY = r"&(#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|[A-Za-z][A-Za-z0-9]{1,30};|(?:LEGACY)(?![A-Za-z0-9;=]))"
+# Named references that are read without a semicolon as well.
+LEGACY = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+ENTITY = ENTITY.replace("LEGACY", "|".join(LEGACY))
+# What the numbers 128 to 159 stand for, from windows-1252; 0 where it has nothing.
+WINDOWS = (
+    8364, 0, 8218, 402, 8222, 8230, 8224, 8225, 710, 8240, 352, 8249, 338, 0, 381, 0,
+    0, 8216, 8217, 8220, 8221, 8226, 8211, 8212, 732, 8482, 353, 8250, 339, 0, 382, 376,
+)
 
 
 def let(value: Column, body) -> Column:
@@ -38,19 +50,26 @@ def let(value: Column, body) -> Column:
 
 
 def _code_point(digits: Column, base: int) -> Column:
-    return F.decode(F.unhex(F.lpad(F.conv(digits, base, 16), 8, "0")), "UTF-32")
+    """The character of a number; what is no character (0, surrogates, too large) becomes U+FFFD, as HTML defines."""
+    number = F.conv(F.replace(digits, F.lit(";"), F.lit("")), base, 10).cast("int")
+    windows = F.element_at(F.array(*map(F.lit, WINDOWS)), F.greatest(F.lit(1), F.least(F.lit(32), number - 127)))
+    mapped = F.when(number.between(128, 159) & (windows > 0), windows).otherwise(number)
+    bad = mapped.isNull() | (mapped == 0) | mapped.between(0xD800, 0xDFFF) | (mapped > 0x10FFFF)
+    safe = F.when(bad, F.lit(0xFFFD)).otherwise(mapped)
+    return F.decode(F.unhex(F.lpad(F.hex(safe.cast("long")), 8, "0")), "UTF-32")
 
 
 def _entity_text(name: Column) -> Column:
     # two literal strings fold into one constant map; no name and no character holds the separator
+    # the map is searched from its start, so the older and usual names come first
+    known = sorted(html5.items(), key=lambda item: item[0].rstrip(";") not in name2codepoint)
     named = F.map_from_arrays(
-        F.split(F.lit("|".join(name2codepoint)), r"\|"), F.split(F.lit("|".join(map(chr, name2codepoint.values()))), r"\|")
+        F.split(F.lit("\x1f".join(n for n, _ in known)), "\x1f"), F.split(F.lit("\x1f".join(c for _, c in known)), "\x1f")
     )
     return (
-        F.when(name.rlike("^#[xX]"), _code_point(F.substring(name, 3, 6), 16))
-        .when(name.startswith("#"), _code_point(F.substring(name, 2, 7), 10))
-        .when(name == "apos", F.lit("'"))
-        .otherwise(F.coalesce(F.try_element_at(named, name), F.concat(F.lit("&"), name, F.lit(";"))))
+        F.when(name.rlike("^#[xX]"), _code_point(F.substring(name, 3, 7), 16))
+        .when(name.startswith("#"), _code_point(F.substring(name, 2, 8), 10))
+        .otherwise(F.coalesce(F.try_element_at(named, name), F.concat(F.lit("&"), name)))
     )
 
 

@@ -134,3 +134,16 @@ def test_normalize_and_request_flags(spark):
     assert out[1] == ["realli", "bad", "fake", "news", "tweet"]
     assert out[2] == ["cat", "cat"]  # "the" is also a noise word of the cleaner
     assert out[3] == ["cats"]
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        ("&#9999999;", "\ufffd"), ("&#xD800;", "\ufffd"), ("a&#0;b", "a\ufffdb"), ("&#128;", "\u20ac"), ("&#65;&#x42;&#67", "ABC"),
+        ("<?xml version='1'?>hello", "hello"), ("x<script>var a=1;", "x"), ("x <style>p{}", "x "), ("<!-- x > y", ""),
+        ("<a title='x>y'>z</a>", "z"), ("<a href='x>open", "open"), ("&excl; &lpar;", "! ("), ("&amp x", "& x"), ("&amp;lt;", "&lt;"),
+        ("a & b &unknown; &x", "a & b &unknown; &x"), ("&copy2", "&copy2"), ("a < b > c", "a < b > c"),
+    ],
+)
+def test_markup_and_references(spark, html, expected):
+    assert one(spark, html, clean.strip_html) == expected
