@@ -31,11 +31,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import slices
+from claimloom.llm.common import bounded, slices
 from claimloom.llm.words import mix, word_hashes
 from claimloom.session import fresh_path
 
-ORDER, ALPHA, BLOCK_WORDS, RANGE_KEYS = 3, 0.4, 2_500_000, 2_000_000
+ORDER, ALPHA, BLOCK_WORDS, RANGE_KEYS = 3, 0.4, 1_500_000, 1_000_000
 
 
 def packed(numbers: np.ndarray) -> bytes:
@@ -96,7 +96,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
         if ids:
             yield row()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "block long, n_words long, ids array<long>, lengths binary, dictionary binary, words binary")
+    return docs.select("doc_id", "text").transform(bounded).mapInArrow(run, "block long, n_words long, ids array<long>, lengths binary, dictionary binary, words binary")
 
 
 def _open(lengths: bytes, dictionary: bytes, words: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -120,7 +120,7 @@ def _asked(blocks: DataFrame, ranges: int) -> DataFrame:
                     if b > a:
                         yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([part], pa.int32()), pa.array([packed_sorted(keys[a:b])]), pa.array([packed(counts[a:b])])], ["block", "part", "keys", "counts"])
 
-    return blocks.select("block", "lengths", "dictionary", "words").mapInArrow(run, "block long, part int, keys binary, counts binary")
+    return blocks.select("block", "lengths", "dictionary", "words").transform(bounded).mapInArrow(run, "block long, part int, keys binary, counts binary")
 
 
 def _answered(asked: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def _answered(asked: DataFrame) -> DataFrame:
         if rows:
             yield from answers(part, rows)
 
-    return asked.repartition("part").sortWithinPartitions("part", "block").mapInArrow(run, "block long, part int, totals binary")
+    return asked.repartition("part").sortWithinPartitions("part", "block").transform(bounded).mapInArrow(run, "block long, part int, totals binary")
 
 
 def scored_block(words: np.ndarray, row: np.ndarray, docs: int, totals: list[np.ndarray], all_words: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -193,4 +193,4 @@ def scores(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *map(pa.array, (n, *levels[::-1])), pa.array(np.round(sums, 4)), mean], [f.split()[0] for f in fields.split(", ")])
 
     joined = blocks.join(by_block, "block", "left")
-    return joined.select("ids", "lengths", "dictionary", "words", "answers").mapInArrow(run, fields)
+    return joined.select("ids", "lengths", "dictionary", "words", "answers").transform(bounded).mapInArrow(run, fields)

@@ -34,6 +34,14 @@ def _bytes(batch: pa.RecordBatch) -> int:
     return batch.nbytes
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, after setting what goes to a Python worker at once to a few megabytes; else it is 10,000 rows of any length."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    return df
+
+
 class Stored:
     """A table written once to the shared folder and read back; ``drop`` deletes it when nothing reads it any more."""
 
