@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import Stored, components, slices
+from claimloom.llm.common import Stored, bounded, components, slices
 from claimloom.llm.words import STEP, mix, shingles
 
 WORDS, SIMILARITY, BANDS, ROWS, BLOCK = 5, 0.8, 24, 5, 1024
@@ -115,7 +115,7 @@ def _signed(docs: DataFrame) -> DataFrame:
             bands = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(has * BANDS))).astype(np.int32), pa.array(keys[has].ravel()), mask=pa.array(~has))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(digests, pa.binary()), bands], ["doc_id", "digest", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, digest binary, bands array<long>")
+    return docs.select("doc_id", "text").transform(bounded).mapInArrow(run, "doc_id long, digest binary, bands array<long>")
 
 
 def _contents(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -140,7 +140,7 @@ def _contents(docs: DataFrame, ids: DataFrame) -> DataFrame:
     if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         names = F.broadcast(names)
     texts = docs.select("doc_id", "text").join(names, "doc_id", "left_semi")
-    return texts.mapInArrow(run, "id long, size int, data binary, marks binary").where("size > 0")
+    return texts.transform(bounded).mapInArrow(run, "id long, size int, data binary, marks binary").where("size > 0")
 
 
 def jaccard(a: tuple[np.ndarray, np.ndarray], others: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -204,7 +204,7 @@ def _links(members: DataFrame, contents: DataFrame, similarity: float) -> DataFr
         yield _pairs(bucket.links(similarity) if len(bucket.ids) > 1 else [])
 
     rows = members.join(contents.withColumnRenamed("id", "rep"), "rep").repartition("key", "part").sortWithinPartitions("key", "part", "rep")
-    return rows.select("key", "part", "side", "rep", "size", "data", "marks").mapInArrow(run, "a long, b long")
+    return rows.select("key", "part", "side", "rep", "size", "data", "marks").transform(bounded).mapInArrow(run, "a long, b long")
 
 
 def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:

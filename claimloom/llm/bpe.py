@@ -31,9 +31,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from claimloom.llm.common import slices
+from claimloom.llm.common import bounded, slices
 
-MEMO_WORDS, MEMO_LENGTH, STATES, PASSING, SETTLE, NEVER = 400_000, 32, 30_000, 200_000_000, 64, 1 << 60
+MEMO_WORDS, MEMO_LENGTH, STATES, PASSING, SETTLE, NEVER = 250_000, 32, 30_000, 200_000_000, 64, 1 << 60
 #: Code points with the Unicode property White_Space, as character ranges of a pattern.
 SPACE = "\t-\r \x85\xa0  -     　"
 #: Fixed value: how the vocabulary's pre-tokenizer splits text.
@@ -341,4 +341,4 @@ def encoded(docs: DataFrame, path: str, ids: bool = True) -> DataFrame:
             names = [*(f[0] for f in fields), "ids"]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)][: 4 + ids], names[: 4 + ids])
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").transform(bounded).mapInArrow(run, schema)

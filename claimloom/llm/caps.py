@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import Stored, components, slices
+from claimloom.llm.common import Stored, bounded, components, slices
 
 COSINE, PARTS, PASSED, LEAST_LIST, BLOCK, SEED = 0.95, 3, 24, 16, 1024, 20_250_101
 
@@ -123,7 +123,7 @@ def links(vectors: DataFrame, cosine: float = COSINE, vec_id: str = "vec_id", em
                     ["id", "length", "filters", "x"],
                 )
 
-    placed = Stored(usable.mapInArrow(spread, "id long, length int, filters array<long>, x binary"), "caps")
+    placed = Stored(usable.transform(bounded).mapInArrow(spread, "id long, length int, filters array<long>, x binary"), "caps")
     each = placed.df.select("length", F.explode("filters").alias("filter"), "id")
     busy = each.groupBy("length", "filter").agg(F.count("*").alias("n")).where("n > 1").select("length", "filter", F.ceil(F.col("n") / BLOCK).alias("blocks"))
     block = F.pmod(F.xxhash64("id"), F.col("blocks"))
@@ -143,7 +143,7 @@ def links(vectors: DataFrame, cosine: float = COSINE, vec_id: str = "vec_id", em
             yield _counts(out)
         yield _counts(_group(key, held, cosine))
 
-    counted = Stored(full.select("length", "filter", "part", "id", "side", "filters", "x").mapInArrow(match, "id long, n long, root long"), "links")
+    counted = Stored(full.select("length", "filter", "part", "id", "side", "filters", "x").transform(bounded).mapInArrow(match, "id long, n long, root long"), "links")
     placed.drop()
     sums = counted.df.groupBy("id").agg(F.sum("n").alias("n"))
     groups = components(counted.df.select(F.col("id").alias("a"), F.col("root").alias("b")))

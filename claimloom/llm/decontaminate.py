@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import slices
+from claimloom.llm.common import bounded, slices
 from claimloom.llm.words import runs, word_hashes
 
 K1, B, THRESHOLD, OVERLAP, WORDS = 1.2, 0.75, 0.6, 0.8, 5
@@ -174,7 +174,7 @@ def indexes(items: DataFrame) -> Iterator[list[Index]]:
             yield pa.RecordBatch.from_arrays([pa.array(np.diff(begins)), pa.array(distinct, pa.list_(pa.int64()))], ["n", "words"])
 
     numbered, chunks = _numbered(items)
-    parsed = items.mapInArrow(run, "n long, words array<long>")
+    parsed = items.transform(bounded).mapInArrow(run, "n long, words array<long>")
     count, mean = parsed.where("n > 0").agg(F.count("*"), F.avg("n")).first()
     if not count:
         return
@@ -184,7 +184,7 @@ def indexes(items: DataFrame) -> Iterator[list[Index]]:
         rows = own.select("item_id", "text").orderBy("item_id", "text").toArrow().to_pylist()
         words, begins = word_hashes([r["text"] for r in rows])
         parts = [words[a:b] for a, b in zip(begins, begins[1:])]
-        mine = own.select("text").mapInArrow(run, "n long, words array<long>").select(F.explode("words").alias("word")).distinct()
+        mine = own.select("text").transform(bounded).mapInArrow(run, "n long, words array<long>").select(F.explode("words").alias("word")).distinct()
         table = frequency.join(mine, "word").toArrow()
         df = dict(zip(table["word"].to_numpy().view(np.uint64).tolist(), table["df"].to_pylist()))
         classes: dict[int, list[int]] = {}
@@ -223,7 +223,7 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [f.split()[0] for f in schema.split(", ")])
 
-        one = docs.select("doc_id", "text").mapInArrow(run, schema)
+        one = docs.select("doc_id", "text").transform(bounded).mapInArrow(run, schema)
         out = one if out is None else out.union(one)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
@@ -240,5 +240,5 @@ def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
                 bad = {row for row, _ in found}
                 yield batch.filter(pa.array([k not in bad for k in range(batch.num_rows)], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.transform(bounded).mapInArrow(run, docs.schema)
     return docs

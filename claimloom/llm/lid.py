@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import slices
+from claimloom.llm.common import bounded, slices
 
 BUCKETS, ALPHA, SCALE, PIECE = 1 << 16, 0.5, 1 << 12, 1 << 19
 UNKNOWN = "und"
@@ -116,7 +116,7 @@ def counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
         yield from out()
 
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
-    return rows.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    return rows.transform(bounded).mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
 class Model:
@@ -165,7 +165,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             best, score = scored([t or "" for t in batch["text"].to_pylist()], shared.value)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(best, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return docs.select("doc_id", "text").transform(bounded).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
 def identified(docs: DataFrame, model: Model, least: float) -> DataFrame:
@@ -181,7 +181,7 @@ def identified(docs: DataFrame, model: Model, least: float) -> DataFrame:
             kept = pa.array([b != UNKNOWN and s >= least for b, s in zip(best, score)], pa.bool_())
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names).filter(kept)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(bounded).mapInArrow(run, docs.schema)
 
 
 def held_out(doc_id: Column) -> Column:

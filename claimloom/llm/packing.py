@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from claimloom.llm.bpe import BEYOND, FAST, GENERAL
-from claimloom.llm.common import slices
+from claimloom.llm.common import bounded, slices
 
 LENGTH, BLOCK_TOKENS, MEMO_WORDS, MEMO_LENGTH = 2048, 2_000_000, 400_000, 32
 SEGMENT = "struct<doc_id:long,piece:int,start:long,length:int>"
@@ -152,7 +152,7 @@ def packed(docs: DataFrame, path: str, pattern: str, length: int = LENGTH) -> Da
         if pieces:
             yield from rows(number)
 
-    return docs.select("doc_id", "text").mapInArrow(run, FIELDS)
+    return docs.select("doc_id", "text").transform(bounded).mapInArrow(run, FIELDS)
 
 
 def unpacked(rows: list[dict], kind: str = "<u2") -> dict[int, np.ndarray]:
@@ -183,7 +183,7 @@ def matrices(rows: DataFrame, width: int = 2, most: int = 512) -> DataFrame:
             kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], ["first_row_id", "n_rows", "ids", "cu_seqlens", "cu_begin", "resets"])
 
-    return rows.mapInArrow(run, "first_row_id long, n_rows int, ids binary, cu_seqlens binary, cu_begin binary, resets binary")
+    return rows.transform(bounded).mapInArrow(run, "first_row_id long, n_rows int, ids binary, cu_seqlens binary, cu_begin binary, resets binary")
 
 
 def write(rows: DataFrame, folder: str) -> None:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import slices
+from claimloom.llm.common import bounded, slices
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
@@ -241,7 +241,7 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS) -> Field:
         names, labels = zip(*counts) if counts else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(labels, pa.string()), pa.array(counts.values(), pa.int64())], ["name", "label", "n"])
 
-    sums = sample.mapInArrow(run, "name string, label string, n long").groupBy("name", "label").agg(F.sum("n").alias("n")).toArrow()
+    sums = sample.transform(bounded).mapInArrow(run, "name string, label string, n long").groupBy("name", "label").agg(F.sum("n").alias("n")).toArrow()
     return Field({(r["name"], r["label"]): r["n"] for r in sums.to_pylist()})
 
 
@@ -277,7 +277,7 @@ def found(docs: DataFrame, field: Field) -> DataFrame:
             columns = np.array(numbers, np.int64).reshape(-1, len(KINDS)).T
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *map(pa.array, columns), pa.array(digests, pa.string()), pa.array(spans, pa.string())], ["doc_id", *counted, "base_sha256", "spans"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, {', '.join(f'{c} long' for c in counted)}, base_sha256 string, spans string")
+    return docs.select("doc_id", "text").transform(bounded).mapInArrow(run, f"doc_id long, {', '.join(f'{c} long' for c in counted)}, base_sha256 string, spans string")
 
 
 def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
@@ -314,4 +314,4 @@ def redacted(docs: DataFrame, field: Field) -> DataFrame:
                 columns[size] = pa.array([None if t is None else len(t) for t in texts], columns[size].type)
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return docs.mapInArrow(run, kinds)
+    return docs.transform(bounded).mapInArrow(run, kinds)
