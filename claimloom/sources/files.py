@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import csv
 import hashlib
+import itertools
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ SEPARATORS = {".csv": ",", ".tsv": "\t"}
 TEXT_NAMES = ("text", "tweet", "statement", "title", "1", "2")
 CORRUPT = "_corrupt_record"
 GLOB = "*.{csv,tsv}"
+FILES_AT_ONCE = 1000
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -25,16 +28,27 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     return scan.load(folder).select("path", F.regexp_extract("path", r"(\.[a-z]+)$", 1).alias("suffix"))
 
 
-def headers(spark: SparkSession, folder: str) -> DataFrame:
-    """``path, header``: the first line of every file, found by a partial aggregate over line positions."""
-    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", GLOB).text(folder)
+def plain_name(path: Column) -> Column:
+    """A file path as it is, from the percent-encoded form that file metadata has."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def literal(path: str) -> str:
+    """A path that the readers take as it is, not as a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def headers(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """The first line of each of a bounded number of files, found by a partial aggregate over line positions. No other file is read."""
+    lines = spark.read.text([literal(p) for p in paths])
     at_start = lines.select(
-        F.col("_metadata.file_path").alias("path"),
+        plain_name(F.col("_metadata.file_path")).alias("path"),
         "value",
         F.monotonically_increasing_id().alias("line"),
         F.col("_metadata.file_block_start").alias("block"),
     ).where("block = 0")
-    return at_start.groupBy("path").agg(F.min_by("value", "line").alias("header"))
+    rows = at_start.groupBy("path").agg(F.min_by("value", "line").alias("header")).collect()
+    return {plain_path(r["path"]): r["header"] for r in rows}
 
 
 def header_names(header: str, sep: str) -> list[str]:
@@ -52,10 +66,10 @@ def read_raw(
     schema = StructType([StructField(c, StringType()) for c in [*names, CORRUPT]])
     reader = spark.read.schema(schema).option("header", True).option("sep", sep).option("escape", '"')
     reader = reader.option("multiLine", multi_line).option("mode", "PERMISSIVE")
-    df = reader.option("columnNameOfCorruptRecord", CORRUPT).csv(paths)
+    df = reader.option("columnNameOfCorruptRecord", CORRUPT).csv([literal(p) for p in ([paths] if isinstance(paths, str) else paths)])
     too_long = F.col(CORRUPT).isNotNull() & (field_count(F.col(CORRUPT), sep) > len(names))
     return df.where(~F.coalesce(too_long, F.lit(False))).select(
-        *[F.col(f"`{c}`") for c in names], F.col("_metadata.file_path").alias("source_file")
+        *[F.col(f"`{c}`") for c in names], plain_name(F.col("_metadata.file_path")).alias("source_file")
     )
 
 
@@ -115,9 +129,11 @@ def plain_path(path: str) -> str:
     return re.sub(r"^file:/*", "/", path).rstrip("/")
 
 
-def clean_group(spark: SparkSession, paths: list[str], sep: str, names: list[str], raw: str) -> DataFrame:
+def clean_group(
+    spark: SparkSession, paths: list[str], sep: str, names: list[str], raw: str, multi_line: bool = True
+) -> DataFrame:
     """Files of one header cleaned together: input columns, ``cleaned_text``, and the mirrored place."""
-    df = text_of(read_raw(spark, paths, sep, names), names)
+    df = text_of(read_raw(spark, paths, sep, names, multi_line), names)
     df = df.withColumn("cleaned_text", clean(F.coalesce("_text", F.lit("nan"))))
     relative = F.regexp_replace(
         F.regexp_replace("source_file", "^file:/*", "/"), f"^{re.escape(plain_path(raw))}/?", ""
@@ -140,37 +156,62 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
-def clean_folder(spark: SparkSession, raw: str, processed: str) -> DataFrame:
+def clean_folder(
+    spark: SparkSession, raw: str, processed: str, multi_line: bool = True, files_at_once: int = FILES_AT_ONCE
+) -> DataFrame:
     """Clean every file not cleaned before and return ``path, status, detail``.
 
-    Files with the same header are one job, however many they are; a group that fails
-    does not stop the others. Output is CSV under ``schema=<hash of the header>``, in
-    one folder per source file; rewriting a file replaces only its own folder.
+    Files go in lots of at most ``files_at_once``; of a lot, those with the same header are
+    one job. If that job fails, its files are tried one by one, so that a bad file fails alone.
+    Output is CSV under ``schema=<hash of the header>``, in one folder per source file;
+    rewriting a file replaces only its own folder. What was done is in tables under
+    ``processed``, not on the driver. With ``multi_line`` off, quoted line breaks are not
+    kept together, and large files are split among tasks.
     """
-    log = f"{processed.rstrip('/')}/_cleaned"
-    files = list_files(spark, raw)
-    todo = pending(files, spark.read.schema("path string").parquet(log)) if path_exists(spark, log) else files
-    found = todo.join(headers(spark, raw), "path", "left")
-    groups = found.groupBy("suffix", "header").agg(F.collect_list("path").alias("paths")).collect()
-    started = [p for g in groups for p in g["paths"]]
-    rows = []
-    for group in groups:
-        sep, paths, header = SEPARATORS[group["suffix"]], group["paths"], group["header"] or ""
-        target = f"{processed.rstrip('/')}/schema={hashlib.md5((sep + header).encode()).hexdigest()}"
-        try:
-            out = clean_group(spark, paths, sep, header_names(header, sep), raw)
-            writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            writer.option("header", True).option("escape", '"').partitionBy("source_dir", "source_name").csv(target)
-            spark.createDataFrame([(p,) for p in paths], "path string").write.mode("append").parquet(log)
-            rows += [(p, "cleaned", target) for p in paths]
-        except Exception as error:  # noqa: BLE001
-            rows += [(p, "failed", str(error).splitlines()[0]) for p in paths]
+    processed = processed.rstrip("/")
+    log, run = f"{processed}/_cleaned", f"{processed}/_runs/{uuid.uuid4().hex}"
     schema = "path string, status string, detail string"
-    worked = spark.createDataFrame(rows, schema)
-    skipped = files.join(spark.createDataFrame([(p,) for p in started], "path string"), "path", "left_anti")
-    return worked.unionByName(
-        skipped.select("path", F.lit("skipped").alias("status"), F.lit("cleaned before").alias("detail"))
-    )
+    files = list_files(spark, raw)
+    todo = files
+    if path_exists(spark, log):
+        done = spark.read.schema("path string").parquet(log)
+        todo = pending(files, done)
+        skipped = files.join(done, "path", "left_semi")
+        skipped.select("path", F.lit("skipped").alias("status"), F.lit("cleaned before").alias("detail")).write.parquet(run)
+    # the list is kept in a table, because the log it depends on changes while the job runs
+    todo.write.parquet(f"{run}-todo")
+    waiting = spark.read.schema("path string, suffix string").parquet(f"{run}-todo").toLocalIterator()
+    while lot := list(itertools.islice(waiting, files_at_once)):
+        rows = []
+        for (sep, header), paths in _by_header(spark, lot).items():
+            target = f"{processed}/schema={hashlib.md5((sep + header).encode()).hexdigest()}"
+            trials = [paths]
+            while trials:
+                trial = trials.pop()
+                try:
+                    out = clean_group(spark, trial, sep, header_names(header, sep), raw, multi_line)
+                    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                    writer.option("header", True).option("escape", '"').partitionBy("source_dir", "source_name").csv(target)
+                    spark.createDataFrame([(p,) for p in trial], "path string").write.mode("append").parquet(log)
+                    rows += [(p, "cleaned", target) for p in trial]
+                except Exception as error:  # noqa: BLE001
+                    if len(trial) > 1:
+                        trials += [[p] for p in trial]
+                    else:
+                        rows.append((trial[0], "failed", str(error).splitlines()[0]))
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(run)
+    if not path_exists(spark, run):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(run)
+
+
+def _by_header(spark: SparkSession, lot: list) -> dict[tuple[str, str], list[str]]:
+    """Paths of a lot by separator and header; an empty file has an empty header."""
+    first = headers(spark, [r["path"] for r in lot])
+    out: dict[tuple[str, str], list[str]] = {}
+    for r in lot:
+        out.setdefault((SEPARATORS[r["suffix"]], first.get(plain_path(r["path"])) or ""), []).append(r["path"])
+    return out
 
 
 def pending(files: DataFrame, done: DataFrame) -> DataFrame:

@@ -16,6 +16,8 @@ from claimloom.sources.files import path_exists
 
 # The layers.
 LAYERS = ("raw", "processed", "embeddings")
+# Bytes of a raw file in one row.
+CHUNK = 16 * 1024 * 1024
 MANIFEST = "layer string, name string, version string, path string, metadata map<string,string>"
 
 
@@ -53,14 +55,21 @@ class Lake:
         return path
 
     def put_raw(self, source: str, metadata: dict | None = None, name: str | None = None, version: str | None = None) -> str:
-        """Copy an original file byte for byte (as ``path, content`` rows) into the raw layer."""
+        """Keep the original files in the raw layer, as ``path, at, content`` rows of at most CHUNK bytes each.
+
+        A file of fewer bytes than Spark's row limit is cut into chunks on the executors, so
+        that no later step holds it whole; ``content`` in the order of ``at`` is the file.
+        """
         if not path_exists(self.spark, source):
             raise FileNotFoundError(f"source path not found: {source}")
         version = version or current_version()
         name = name or source.rstrip("/").rpartition("/")[2]
         target = self.path("raw", name, version)
         files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
-        files.write.mode("errorifexists").parquet(target)
+        starts = F.explode(F.sequence(F.lit(0), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(CHUNK)))
+        chunks = files.select("path", "content", starts.alias("at"))
+        chunks = chunks.select("path", "at", F.substring("content", F.col("at").cast("int") + 1, F.lit(CHUNK)).alias("content"))
+        chunks.write.mode("errorifexists").parquet(target)
         system = {"source_path": source, "uploaded_at": _now(), "filename": name}
         return self._record("raw", name, version, target, metadata, system)
 
@@ -100,7 +109,8 @@ class Lake:
         names = sorted({r["name"] for r in self.artifacts(layer, version, pattern).select("name").distinct().collect()})
         out = None
         for name in names:
-            table = self.spark.read.parquet(f"{self.root}/{layer}/{name}")
+            # versions of one artifact may have columns of their own
+            table = self.spark.read.option("mergeSchema", True).parquet(f"{self.root}/{layer}/{name}")
             table = table.withColumn("version", F.col("version").cast("string")).withColumn("artifact", F.lit(name))
             if version is not None:
                 table = table.where(F.col("version") == version)

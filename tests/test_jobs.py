@@ -38,6 +38,22 @@ def test_file_job(spark, tmp_path):
     assert {r["id"] for r in files.drop_blank(spark.createDataFrame([(1, "x"), (2, ""), (3, None), (4, "nan")], "id int, cleaned_text string")).collect()} == {1}
 
 
+def test_file_job_isolates_files(spark, tmp_path):
+    raw, out = tmp_path / "raw data", str(tmp_path / "out")
+    (raw / "a b").mkdir(parents=True)
+    (raw / "a b" / "one two+3%.csv").write_text("id,tweet\n1,First claim\n2,too,many,fields\n")
+    (raw / "x[1].csv").write_text("id,tweet\n3,Third claim\n")
+    (raw / "t.tsv").write_text("id\ttweet\n4\tFourth, claim\n")
+    (raw / "bad.csv").write_text("id,id\n5,Fifth claim\n")
+    for at_once in (2, 100):
+        status = {r["path"].rsplit("/", 1)[1]: r["status"] for r in files.clean_folder(spark, str(raw), out, files_at_once=at_once).collect()}
+        good = "cleaned" if at_once == 2 else "skipped"
+        assert status == {"one two+3%.csv": good, "x[1].csv": good, "t.tsv": good, "bad.csv": "failed"}
+    rows = files.read_cleaned(spark, out).select("id", "cleaned_text", "source_dir", "source_name").collect()
+    assert sorted((r["id"], r["cleaned_text"]) for r in rows) == [("1", "first claim"), ("3", "third claim"), ("4", "fourth, claim")]
+    assert {r["source_name"] for r in rows} == {"cleaned_one two+3%", "cleaned_x[1]", "cleaned_t"} and {r["source_dir"] for r in rows} == {"a b", None}
+
+
 def test_text_column(spark):
     df = spark.createDataFrame([(1, "short", "a longer body"), (2, None, "x")], "id int, a string, b string")
     assert files.text_column(df) == "b"
