@@ -18,12 +18,13 @@ def text_reason(text: Column, kind: str) -> Column:
 
 
 def batch_reason(texts: Column) -> Column:
+    return F.when(texts.isNull(), "texts missing").otherwise(batch_size_reason(F.size(texts)))
+
+
+def batch_size_reason(size: Column) -> Column:
+    """The same rule for a batch that is a group of rows."""
     low, high = BATCH_LIMITS
-    return (
-        F.when(texts.isNull(), "texts missing")
-        .when(F.size(texts) < low, "batch too small")
-        .when(F.size(texts) > high, "batch too large")
-    )
+    return F.when(size < low, "batch too small").when(size > high, "batch too large")
 
 
 def top_k_reason(top_k: Column) -> Column:

@@ -541,6 +541,33 @@ def classify_batch_nb(spark, folder):
     return scoring.classify_batch(model, requests).select(F.col("doc_id").alias("request_id"), "text", "prediction")
 
 
+@query
+def classify_batch(spark, folder):
+    """Conversations as batches of 1 to 100 texts: their sizes and the predictions in order of the turns."""
+    model = _claim_model(spark, folder)
+    rows = turns(spark, folder).withColumn("doc_id", F.concat_ws("-", "conv_id", "turn"))
+    results = scoring.classify_batch(model, rows.select("doc_id", "text"))
+    out = scoring.batches(rows, results, "conv_id", "turn", "doc_id")
+    predictions = F.array_join(F.transform("results", lambda r: r["prediction"]), ",")
+    return out.select("conv_id", "batch_size", F.coalesce(predictions, F.lit("")).alias("predictions"), F.coalesce("reject_reason", F.lit("")).alias("reason"))
+
+
+@query
+def classify_lr(spark, folder):
+    """Valid conversation turns as requests to a logistic regression on TF-IDF weights, with the five terms that count most."""
+    train = materialize(labelled_terms(spark, folder), "lr-train")
+    term_model = features.fit_terms(train).materialized()
+    pipeline = scoring.linear_pipeline(train, term_model=term_model)
+    requests = turns(spark, folder).select(F.concat_ws("-", "conv_id", "turn").alias("request_id"), "text")
+    valid, _ = validate.split_valid(validate.with_reason(requests, validate.text_reason(F.col("text"), "classify")))
+    out = scoring.classify_linear(pipeline, term_model.vocabulary, materialize(with_terms(valid), "lr-requests"), "request_id")
+    features_of = F.transform("top_contributing_features", lambda t: F.concat_ws(":", t["term"], F.round(t["weight"], 6)))
+    return out.select(
+        "request_id", "prediction", r6("confidence"), r6(F.col("class_probabilities")["fake"], "p_fake"), r6(F.col("class_probabilities")["real"], "p_real"),
+        F.coalesce(joined(features_of), F.lit("")).alias("top_features"),
+    )
+
+
 # ---------------------------------------------------------------- retrieval
 
 
@@ -596,7 +623,9 @@ def validate_requests(spark, folder):
             )
         ),
     )
-    return single.select("request_id", "kind", F.coalesce("reason", F.lit("")).alias("reason"))
+    sizes = rows.groupBy(F.col("conv_id").cast("string").alias("request_id")).agg(F.count("*").alias("n"))
+    batch = sizes.select("request_id", F.lit("batch").alias("kind"), validate.batch_size_reason(F.col("n")).alias("reason"))
+    return single.unionByName(batch).select("request_id", "kind", F.coalesce("reason", F.lit("")).alias("reason"))
 
 
 @query

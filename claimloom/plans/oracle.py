@@ -372,6 +372,9 @@ _CLAIMS = (f"WITH {LAB}, {serving('lab', 'sv')}, {tf('sv', 'tf', tokens=words('p
            f"tr AS (SELECT w.doc_id, label, term, weight FROM w JOIN lab ON w.doc_id = lab.doc_id), {nb('lab', 'weight', '(SELECT count(*) FROM vocab)')}, "
            f"req AS (SELECT {TURN} AS doc_id, text FROM conversations), {serving('req', 'rq', 'sv_v')}, {tf('rq', 'rtf', tokens=words('processed'))}, "
            f"{weights('rtf', 'lab', name='rw')}, {scored('req', 'rw', 'weight')}, {_PROBA}")
+add("classify_batch", f"{_CLAIMS}, b AS (SELECT doc_id, label AS prediction FROM pb {_FIRST.format(key='doc_id')}) "
+    f"SELECT conv_id, CAST(count(*) AS BIGINT) AS batch_size, CASE WHEN count(*) > 100 THEN '' ELSE string_agg(prediction, ',' ORDER BY turn) END AS predictions, "
+    f"CASE WHEN count(*) > 100 THEN 'batch too large' ELSE '' END AS reason FROM conversations c JOIN b ON b.doc_id = {TURN.replace('conv_id', 'c.conv_id').replace('turn AS', 'c.turn AS')} GROUP BY conv_id")
 add("classify_nb", f"{_CLAIMS}, b AS (SELECT doc_id, label AS prediction, p FROM pb {_FIRST.format(key='doc_id')}) "
     "SELECT b.doc_id AS request_id, prediction, round(p, 6) AS confidence, (SELECT round(p, 6) FROM pb x WHERE x.doc_id = b.doc_id AND label = 'fake') AS p_fake, "
     "(SELECT round(p, 6) FROM pb x WHERE x.doc_id = b.doc_id AND label = 'real') AS p_real FROM b JOIN req ON req.doc_id = b.doc_id WHERE length(text) BETWEEN 10 AND 10000")
@@ -406,7 +409,8 @@ def _reason(low: int, high: int | None) -> str:
 add("validate_requests", " UNION ALL ".join(
     f"SELECT {TURN} AS request_id, '{k}' AS kind, {_reason(*lim)} AS reason FROM conversations"
     for k, lim in (("preprocess", (1, 10000)), ("classify", (10, 10000)), ("retrieve", (1, None)))
-) + f" UNION ALL SELECT {TURN}, 'top_k', CASE WHEN (turn + 1) * 4 < 1 OR (turn + 1) * 4 > 20 THEN 'top_k out of range' ELSE '' END FROM conversations")
+) + f" UNION ALL SELECT {TURN}, 'top_k', CASE WHEN (turn + 1) * 4 < 1 OR (turn + 1) * 4 > 20 THEN 'top_k out of range' ELSE '' END FROM conversations"
+    " UNION ALL SELECT CAST(conv_id AS VARCHAR), 'batch', CASE WHEN count(*) > 100 THEN 'batch too large' ELSE '' END FROM conversations GROUP BY conv_id")
 
 _CLS = "cl(k) AS (VALUES ('fake'), ('real'))"
 add("confusion", f"{_TEST}, {_CLS} SELECT a.k AS label, b.k AS prediction, CAST((SELECT count(*) FROM ev WHERE ev.label = a.k AND ev.prediction = b.k) AS BIGINT) AS n FROM cl a CROSS JOIN cl b")

@@ -18,6 +18,7 @@ from claimloom.functions.clean import clean, preview
 from claimloom.operators import features, linear, naive_bayes
 from claimloom.operators.retrieve import similar
 from claimloom.operators.sampling import encode_labels
+from claimloom.operators.validate import batch_size_reason
 from claimloom.plans.preprocess import SERVING, Preprocessing, analyzer_terms, fit_tokens, preprocess_tokens
 from claimloom.session import materialize
 
@@ -104,8 +105,48 @@ def classify(model: ClaimModel, requests: DataFrame, k: int = 5) -> DataFrame:
 
 
 def classify_batch(model: ClaimModel, requests: DataFrame) -> DataFrame:
-    """``key, text (preview), prediction``."""
-    return classify(model, requests).select(model.key, preview(F.col("text")).alias("text"), "prediction")
+    """``key, text (preview), prediction``: the joint scores and their greatest, without the report of features."""
+    key = model.key
+    docs = model.terms(requests).select(key, "text", "terms")
+    weights = model.term_model.weights(docs, key)
+    scored = model.nb.joint_scores(weights.select(key, "term", F.col("weight").alias("tf")), key)
+    classes = model.nb.classes
+    scores = [F.coalesce(F.col(f"s_0_{i}"), model.nb.log_prior(i)) for i in range(len(classes))]
+    return docs.join(scored, key, "left").select(key, preview(F.col("text")).alias("text"), naive_bayes.argmax(scores, classes).alias("prediction"))
+
+
+def batches(requests: DataFrame, results: DataFrame, batch: str, order: str, key: str) -> DataFrame:
+    """``batch, batch_size, results, reject_reason``: results (an array of text and prediction, in request order) of each valid batch.
+
+    Batches are counted first; only those within the limits are gathered, so a gathered row is bounded.
+    """
+    sizes = requests.groupBy(batch).agg(F.count("*").alias("batch_size"))
+    sizes = sizes.withColumn("reject_reason", batch_size_reason(F.col("batch_size")))
+    valid = requests.select(batch, order, key).join(sizes.where("reject_reason is null").select(batch), batch)
+    gathered = valid.join(results, key).groupBy(batch).agg(F.sort_array(F.collect_list(F.struct(order, "text", "prediction"))).alias("_r"))
+    return sizes.join(gathered, batch, "left").select(
+        batch, "batch_size", F.transform("_r", lambda r: F.struct(r["text"].alias("text"), r["prediction"].alias("prediction"))).alias("results"),
+        "reject_reason",
+    )
+
+
+def classify_linear(pipeline: PipelineModel, vocabulary: DataFrame, requests: DataFrame, key: str, k: int = 5, classes: Sequence[str] = CLASSES) -> DataFrame:
+    """``key, text, prediction, confidence, class_probabilities, top_contributing_features`` by logistic regression.
+
+    ``requests`` holds ``key, text, terms``. Features are the request's terms with the
+    greatest absolute coefficient; coefficients are bounded by the vocabulary.
+    """
+    names = sorted(classes)
+    scored = pipeline.transform(requests).withColumn("_p", vector_to_array("probability"))
+    table = linear.coefficients(pipeline.stages[-1], vocabulary)
+    best = linear.top_features(features.doc_terms(requests.select(key, "terms"), key), table, key, k)
+    top = best.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("rank", "term", F.col("coefficient").alias("weight")))).alias("_top"))
+    out = scored.select(key, "text", "prediction", "_p").join(top, key, "left")
+    return out.select(
+        key, "text", F.get(F.array(*map(F.lit, names)), F.col("prediction").cast("int")).alias("prediction"), F.array_max("_p").alias("confidence"),
+        F.map_from_arrays(F.array(*map(F.lit, names)), "_p").alias("class_probabilities"),
+        F.transform("_top", lambda t: F.struct(t["term"].alias("term"), t["weight"].alias("weight"))).alias("top_contributing_features"),
+    )
 
 
 def retrieve(
@@ -131,13 +172,14 @@ def vector_table(docs: DataFrame, term_model: features.TermModel, label: str | N
 
 def linear_pipeline(
     labelled: DataFrame, label: str = "label", variant: str = "l2", max_features: int = features.MAX_FEATURES,
-    terms: str = "terms",
+    terms: str = "terms", term_model: features.TermModel | None = None,
 ) -> PipelineModel:
     """Vocabulary, idf weights and model in one persistable pipeline over a ``terms`` column.
 
     All stages are narrow, so the same object scores tables and streams.
     """
-    term_model = features.fit_terms(labelled, max_features, terms=terms).materialized()
+    if term_model is None:
+        term_model = features.fit_terms(labelled, max_features, terms=terms).materialized()
     train, vectorizer = vector_table(labelled, term_model, label)
     train = train.select("features", "target").persist()
     model = linear.train_variants(train, variants=(variant,))[variant]
