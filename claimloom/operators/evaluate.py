@@ -90,7 +90,7 @@ def summary_metrics(df: DataFrame, label: str, classes: Sequence[str], by: Seque
     return report.groupBy(*by).agg(*metrics)
 
 
-def roc_curve(df: DataFrame, positive: Column, score: str, buckets: int = 64) -> DataFrame:
+def roc_curve(df: DataFrame, positive: Column, score: str, buckets: int | None = None) -> DataFrame:
     """``score, fpr, tpr`` at every distinct score, greatest first.
 
     Rows collapse to distinct scores, then running totals are taken in two levels:
@@ -101,6 +101,8 @@ def roc_curve(df: DataFrame, positive: Column, score: str, buckets: int = 64) ->
     points = df.groupBy(F.col(score).alias("score")).agg(
         F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
     )
+    if buckets is None:  # about a million points each, so a window's task stays small
+        buckets = min(4096, max(64, points.count() // 1_000_000))
     shares = [i / buckets for i in range(1, buckets)]
     cuts = points.approxQuantile("score", shares, 0.001) if shares else []
     cuts = sorted(set(cuts))
@@ -127,7 +129,7 @@ def roc_curve(df: DataFrame, positive: Column, score: str, buckets: int = 64) ->
     )
 
 
-def roc_auc(df: DataFrame, positive: Column, score: str, buckets: int = 64) -> DataFrame:
+def roc_auc(df: DataFrame, positive: Column, score: str, buckets: int | None = None) -> DataFrame:
     """Trapezoid area: each point adds its negatives times the mean true-positive rate across it."""
     curve = roc_curve(df, positive, score, buckets)
     positives = F.sum("pos")

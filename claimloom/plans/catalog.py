@@ -25,9 +25,9 @@ from claimloom.operators import (
 )
 from claimloom.plans import experiments, scoring
 from claimloom.plans.preprocess import SERVING, Preprocessing, preprocess_requests, preprocess_tokens
-from claimloom.session import fresh_path, materialize
+from claimloom.session import broadcast_if_small, fresh_path, materialize
 from claimloom.sources import files
-from claimloom.sources.lake import Lake, versions_by_layer
+from claimloom.sources.lake import Lake
 from claimloom.sources.tables import documents, documents_with_labels, labelled_documents, read_table, spread
 from claimloom.streaming import jobs
 
@@ -423,7 +423,7 @@ def kn_sample_word(spark, folder):
 @query
 def lm_classify(spark, folder):
     """Held-out documents classified by the class model that is least surprised."""
-    docs = split_terms(spark, folder).withColumnRenamed("terms", "tokens")
+    docs = materialize(split_terms(spark, folder).withColumnRenamed("terms", "tokens"), "split-tokens")
     model = ngram_lm.fit(docs.where(~F.col("is_test")), 3, by=["label"]).materialized()
     test = docs.where("is_test").select("doc_id", "tokens")
     out = ngram_lm.classify_by_perplexity(model, test, "doc_id", "label")
@@ -488,7 +488,7 @@ def nb_predict(spark, folder):
 
 
 def _alpha_rows(spark, folder):
-    docs = split_terms(spark, folder)
+    docs = materialize(split_terms(spark, folder), "split-terms")
     model = nb_tokens(docs.where(~F.col("is_test")))
     test = features.doc_terms(docs.where("is_test"), "doc_id", "label", outer=True)
     return naive_bayes.alpha_sweep(model, test, "doc_id", "label")
@@ -575,9 +575,10 @@ def classify_lr(spark, folder):
 def similar_claims(spark, folder):
     """The five documents most similar to every benchmark text."""
     queries = read_table(spark, folder, "benchmark", "item_id", "text")
-    out = scoring.retrieve(documents(spark, folder), queries, "doc_id", "item_id")
+    out = materialize(scoring.retrieve(documents(spark, folder), queries, "doc_id", "item_id"), "similar")
+    out = broadcast_if_small(out)  # five rows a query; the texts stay where they are
     labels = documents_with_labels(spark, folder).select("doc_id", "label", cleaning.preview(F.col("text")).alias("text"))
-    return out.join(labels, "doc_id").select(
+    return labels.join(out, "doc_id").select(
         "item_id", F.col("rank").cast("long").alias("rank"), "doc_id", "text", F.coalesce("label", F.lit("")).alias("label"), "similarity"
     )
 
@@ -659,7 +660,7 @@ def roc_auc(spark, folder):
 
 @query
 def misclassified_buckets(spark, folder):
-    docs = split_terms(spark, folder)
+    docs = materialize(split_terms(spark, folder), "split-terms")
     train, test = docs.where(~F.col("is_test")), docs.where("is_test")
     scored = nb_tokens(train).score(features.doc_terms(test, "doc_id", "label", outer=True), "doc_id", "label")
     rates = audit.oov_rate(test, lexicon.vocabulary(train, "terms"), "doc_id", "terms")
@@ -770,27 +771,29 @@ def detect_text_column(spark, folder):
     return out.select("column", r6("mean_length"), (F.col("column") == chosen).alias("chosen"))
 
 
-def _manifest(spark, folder):
-    """Artifacts implied by the tables: a raw one per source, a processed one per language, vectors per label."""
-    docs = read_table(spark, folder, "documents", "doc_id", "lang", "source")
-    stamp = lambda c: F.concat(F.lit("2024"), F.lpad(F.col(c).cast("string"), 10, "0"))
-    raw = docs.groupBy("source").agg(F.min("doc_id").alias("v")).select(F.lit("raw").alias("layer"), F.col("source").alias("name"), stamp("v").alias("version"))
-    processed = docs.groupBy("lang").agg(F.max("doc_id").alias("v")).select(F.lit("processed").alias("layer"), F.col("lang").alias("name"), stamp("v").alias("version"))
-    vecs = read_table(spark, folder, "embeddings", "vec_id", "label").groupBy("label").agg(F.max("vec_id").alias("v"))
-    vecs = vecs.select(F.lit("embeddings").alias("layer"), F.col("label").cast("string").alias("name"), stamp("v").alias("version"))
-    return raw.unionByName(processed).unionByName(vecs)
+def _written_lake(spark, folder) -> Lake:
+    """A lake with two processed tables and one of vectors, each with a version made from its greatest id."""
+    lake = Lake(spark, fresh_path(spark, "lake"))
+    for table, key, columns in (("documents", "doc_id", ("lang", "source")), ("pages", "page_id", ("url",)), ("embeddings", "vec_id", ("embedding",))):
+        rows = read_table(spark, folder, table, key, *columns)
+        version = f"2024{rows.agg(F.max(key)).first()[0] or 0:010d}"
+        put = lake.put_vectors if table == "embeddings" else lake.put_table
+        put(rows, table, {"key": key, "rows": -1}, version)
+    return lake
 
 
 @query
 def list_versions(spark, folder):
-    out = versions_by_layer(_manifest(spark, folder))
+    out = _written_lake(spark, folder).list_versions()
     return out.select("layer", F.size("versions").cast("long").alias("n"), F.array_join("versions", ",").alias("versions"))
 
 
 @query
 def metadata_json(spark, folder):
-    out = _manifest(spark, folder)
-    return out.select("layer", "name", F.to_json(F.create_map(F.lit("layer"), "layer", F.lit("version"), "version")).alias("metadata"))
+    """Metadata as JSON texts, read back field by field; the lake's own keys win over the caller's."""
+    out = _written_lake(spark, folder).metadata_json()
+    fields = [F.get_json_object("metadata", f"$.{k}").alias(k) for k in ("layer", "name", "version", "key", "rows", "columns")]
+    return out.select(*fields)
 
 
 @query

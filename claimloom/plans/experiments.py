@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from claimloom.functions.clean import clean
 from claimloom.operators import evaluate, features, linear
 from claimloom.operators.sampling import with_split
 from claimloom.plans.preprocess import Preprocessing
@@ -46,8 +47,17 @@ def run_config(docs: DataFrame, key: str, config: Config, label: str = "label",
 
     The vocabulary is fitted on the training rows; ``fit_on="all"`` fits it on all.
     """
-    terms, _ = prepared(docs, key, config.options, (label,))
-    terms = materialize(with_split(terms, key), "ablation-terms")
+    return run_terms(config_terms(docs, key, config.options, label), key, config, label, fit_on)
+
+
+def config_terms(docs: DataFrame, key: str, options: Preprocessing, label: str = "label") -> DataFrame:
+    """The stored ``terms`` of one way of preprocessing, with the split."""
+    terms, _ = prepared(docs, key, options, (label,))
+    return materialize(with_split(terms, key), "ablation-terms")
+
+
+def run_terms(terms: DataFrame, key: str, config: Config, label: str = "label", fit_on: str = "train") -> DataFrame:
+    """The same from stored terms."""
     fit_rows = terms if fit_on == "all" else terms.where(~F.col("is_test"))
     term_model = features.fit_terms(fit_rows, config.max_features).materialized()
     vectors, _ = vector_table(terms, term_model, label)
@@ -74,11 +84,18 @@ def score_vectors(model, vectors: DataFrame, *keep: str) -> DataFrame:
 
 
 def ablation(docs: DataFrame, key: str, configs: Sequence[Config] = CONFIGS, fit_on: str = "train") -> DataFrame:
-    """One row per configuration, in the shape of the run log. Each fit is its own distributed job."""
+    """One row per configuration, in the shape of the run log. Each fit is its own distributed job.
+
+    Texts are cleaned once, and configurations that preprocess alike share their terms.
+    """
+    cleaned = materialize(docs.select(key, "label", clean(F.col("text")).alias("cleaned_text")), "ablation-texts")
+    stored: dict[Preprocessing, DataFrame] = {}
     out = None
     for config in configs:
         started = time.monotonic()
-        row = run_config(docs, key, config, fit_on=fit_on)
+        if config.options not in stored:
+            stored[config.options] = config_terms(cleaned, key, config.options)
+        row = run_terms(stored[config.options], key, config, fit_on=fit_on)
         params = {
             **config.options.params(), "max_features": str(config.max_features), "test_size": "0.2", "model": "lr-l2",
         }

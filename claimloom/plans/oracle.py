@@ -468,11 +468,11 @@ add("run_log", f"{_RUNS} " + " UNION ALL ".join(f"SELECT run_id, '{m}' AS metric
 add("detect_text_column", "WITH m AS (SELECT avg(length(CAST(page_id AS VARCHAR))) AS a, avg(length(coalesce(url, 'nan'))) AS b, avg(length(coalesce(html, 'nan'))) AS c FROM pages) "
     + " UNION ALL ".join(f"SELECT '{n}' AS column, round({x}, 6) AS mean_length, {w} AS chosen FROM m" for n, x, w in
                          (("page_id", "a", "a >= b AND a >= c"), ("url", "b", "b > a AND b >= c"), ("html", "c", "c > a AND c > b"))))
-_MANIFEST = ("m AS (SELECT 'raw' AS layer, source AS name, '2024' || lpad(CAST(min(doc_id) AS VARCHAR), 10, '0') AS version FROM documents GROUP BY source "
-             "UNION ALL SELECT 'processed', lang, '2024' || lpad(CAST(max(doc_id) AS VARCHAR), 10, '0') FROM documents GROUP BY lang "
-             "UNION ALL SELECT 'embeddings', CAST(label AS VARCHAR), '2024' || lpad(CAST(max(vec_id) AS VARCHAR), 10, '0') FROM embeddings GROUP BY label)")
-add("list_versions", f"WITH {_MANIFEST} SELECT layer, CAST(count(DISTINCT version) AS BIGINT) AS n, string_agg(DISTINCT version, ',' ORDER BY version) AS versions FROM m GROUP BY layer")
-add("metadata_json", f"WITH {_MANIFEST} SELECT layer, name, '{{\"layer\":\"' || layer || '\",\"version\":\"' || version || '\"}}' AS metadata FROM m")
+_MANIFEST = "m AS (" + " UNION ALL ".join(
+    f"SELECT '{layer}' AS layer, '{t}' AS name, '2024' || lpad(CAST(coalesce(max({k}), 0) AS VARCHAR), 10, '0') AS version, '{k}' AS key, CAST(count(*) AS VARCHAR) AS rows, '{n}' AS columns FROM {t}"
+    for layer, t, k, n in (("processed", "documents", "doc_id", 3), ("processed", "pages", "page_id", 2), ("embeddings", "embeddings", "vec_id", 2))) + ")"
+add("list_versions", f"WITH {_MANIFEST} SELECT layer, CAST(count(DISTINCT version) AS BIGINT) AS n, string_agg(DISTINCT version, ',' ORDER BY version) AS versions FROM m GROUP BY layer UNION ALL SELECT 'raw', 0, ''")
+add("metadata_json", f"WITH {_MANIFEST} SELECT * FROM m")
 _FULL = f"(SELECT doc_id, {clean('text')} AS c FROM documents)"
 add("lake_roundtrip", f"SELECT 'claims' AS artifact, '20240101000000' AS version, CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT c) AS BIGINT) AS texts, CAST(0 AS BIGINT) AS chars FROM {_FULL} "
     f"UNION ALL SELECT 'claims_sized', '20240102000000', CAST(count(*) AS BIGINT), CAST(count(DISTINCT c) AS BIGINT), CAST(sum(length(c)) AS BIGINT) FROM {_FULL}")

@@ -44,8 +44,9 @@ class ClaimModel:
 
 
 def prepared(docs: DataFrame, key: str, options: Preprocessing, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame | None]:
-    """``key, keep..., terms`` of a text table, and its lexicon."""
-    cleaned = docs.select(key, *keep, clean(F.col("text")).alias("cleaned_text"))
+    """``key, keep..., terms`` of a text table, and its lexicon. A table that has ``cleaned_text`` isn't cleaned again."""
+    text = F.col("cleaned_text") if "cleaned_text" in docs.columns else clean(F.col("text"))
+    cleaned = docs.select(key, *keep, text.alias("cleaned_text"))
     out, words = fit_tokens(cleaned, key, options)
     return analyzer_terms(out).select(key, *keep, "terms"), words
 
