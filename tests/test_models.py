@@ -142,10 +142,15 @@ def test_next_word_sampling_follows_the_distribution(spark):
     docs = spark.createDataFrame([(i, s) for i, s in enumerate(SENTENCES)], "id int, tokens array<string>")
     model = ngram_lm.fit(docs, 2).materialized()
     p = brute_kn(SENTENCES, 2)
-    asked = spark.createDataFrame([("a",)], "context string")
-    seen = Counter(ngram_lm.sample_next(model, asked, seed, draws=2).first()["word"] for seed in range(40))
-    assert set(seen) <= {"a", "b", "c", "d", "</s>"}
-    assert abs(seen["b"] / 40 - p("b", ["a"])) < 0.25
+    # contexts never seen all stand on the same level, and each draws for itself
+    asked = spark.createDataFrame([(f"unseen{i}",) for i in range(1500)], "context string")
+    seen = Counter(r["word"] for r in ngram_lm.sample_next(model, asked).collect())
+    words = {"a", "b", "c", "d", "</s>"}
+    assert set(seen) <= words and sum(seen.values()) == 1500
+    assert all(abs(seen[w] / 1500 - p(w, ["unseen"])) < 0.05 for w in words)
+    one = spark.createDataFrame([("a",)], "context string")
+    after = Counter(ngram_lm.sample_next(model, one, seed).first()["word"] for seed in range(8))
+    assert set(after) <= words and ngram_lm.sample_next(model, one, 3).collect() == ngram_lm.sample_next(model, one, 3).collect()
     padded = spark.createDataFrame([(["x"],), (["x", "y", "z"],)], "t array<string>").select(ngram_lm.fit_context(F.col("t"), 3))
     assert [r[0] for r in padded.collect()] == ["<s> x", "y z"]
 
@@ -159,6 +164,14 @@ def test_lm_classifier(spark):
     assert out == {9: "fake", 10: "real"}
 
 
+def test_lm_of_two_keys(spark):
+    rows = [("fake", "x", ["a", "b"]), ("fake", "y", ["b", "a"]), ("real", "x", ["b", "b"])]
+    model = ngram_lm.fit(spark.createDataFrame(rows, "label string, lang string, tokens array<string>"), 2, by=["label", "lang"])
+    asked = spark.createDataFrame([("fake", "x", "unseen", "a"), ("real", "x", "unseen", "a")], "label string, lang string, context string, word string")
+    out = {(r["label"], r["lang"]): r["p"] for r in ngram_lm.probabilities(model, asked).collect()}
+    assert out["fake", "x"] > out["real", "x"]
+
+
 @pytest.mark.parametrize("max_broadcast", [1_000_000, 0])
 def test_similar_against_brute_force(spark, corpus, max_broadcast):
     model = features.fit_terms(corpus).materialized()
