@@ -24,7 +24,7 @@ from claimloom.operators import (
     vectors,
 )
 from claimloom.plans import experiments, scoring
-from claimloom.plans.preprocess import SERVING, Preprocessing, preprocess_requests, preprocess_tokens
+from claimloom.plans.preprocess import SERVING, Preprocessing, normalize_tokens, preprocess_requests, preprocess_tokens
 from claimloom.session import broadcast_if_small, fresh_path, materialize
 from claimloom.sources import files
 from claimloom.sources.lake import Lake
@@ -832,6 +832,74 @@ def ingest_cleaned(spark, folder):
     return out.select(F.col("doc_id").cast("long").alias("doc_id"), "cleaned_text")
 
 
+@query
+def ingest_malformed(spark, folder):
+    """Raw files in which every tenth row has too many fields: those rows are skipped, the others are cleaned."""
+    root = fresh_path(spark, "ingest")
+    docs = read_table(spark, folder, "documents", "doc_id", "lang", "source")
+    body = F.concat_ws(" ", F.lit("Claim"), "lang", "source")
+    rows = docs.select("doc_id", F.when(F.col("doc_id") % 10 == 0, F.concat(body, F.lit(",more,fields"))).otherwise(body).alias("tweet"))
+    rows.write.option("header", True).option("quote", "").csv(f"{root}/raw")
+    files.clean_folder(spark, f"{root}/raw", f"{root}/processed").count()
+    out = files.read_cleaned(spark, f"{root}/processed")
+    return out.select(F.col("doc_id").cast("long").alias("doc_id"), "cleaned_text")
+
+
+@query
+def lake_raw(spark, folder):
+    """Addresses of the pages as text files, kept in the raw layer byte for byte."""
+    root = fresh_path(spark, "lake")
+    read_table(spark, folder, "pages", "url").write.text(f"{root}/in/urls")
+    lake = Lake(spark, f"{root}/lake")
+    lake.put_raw(f"{root}/in/urls", {"from": "pages"}, "urls", "20240101000000")
+    rows = lake.fetch("raw").where(F.col("path").contains("/part-"))
+    return rows.agg(F.sum(F.octet_length("content")).cast("long").alias("bytes"))
+
+
+@query
+def lake_vectors(spark, folder):
+    """Vectors stored in the embeddings layer and read back."""
+    lake = Lake(spark, fresh_path(spark, "lake"))
+    lake.put_vectors(read_table(spark, folder, "embeddings", "vec_id", "embedding"), "vectors", None, "20240101000000")
+    return lake.fetch("embeddings").select("vec_id", F.size("embedding").cast("long").alias("size"), "artifact", "version")
+
+
+@query
+def vocabulary_export(spark, folder):
+    """The vocabulary written as CSV and read back, as the words and their places in it."""
+    path = fresh_path(spark, "vocabulary")
+    files.write_vocabulary(features.top_vocabulary(document_terms(spark, folder)), path)
+    words = spark.read.schema("word string").option("header", True).csv(path)
+    return words.select("word", F.length("word").cast("long").alias("length"))
+
+
+@query
+def report_export(spark, folder):
+    """The class report written as CSV and read back."""
+    path = fresh_path(spark, "report")
+    files.write_report(class_report(spark, folder), path)
+    return spark.read.schema("class string, precision double, recall double, f1 double, support long").option("header", True).csv(path)
+
+
+@query
+def normalized_tokens(spark, folder):
+    """Domain stop words removed, then noun lemmas, on regex tokens of the cleaned documents."""
+    docs = cleaned_documents(spark, folder).select("doc_id", tokens.word_tokens(F.col("cleaned_text")).alias("tokens"))
+    out = normalize_tokens(docs, "doc_id", "tokens")
+    return out.select("doc_id", joined("tokens").alias("tokens"))
+
+
+@query
+def stopword_sets(spark, folder):
+    """How often each word of the standard and the domain list stands in the documents; the domain list is made by set operations."""
+    table = lambda words: spark.createDataFrame([(w,) for w in sorted(words)], "word string")
+    standard = stopwords.stopword_table(spark, "standard")
+    domain = stopwords.domain_table(standard, table(stopwords.KEPT), table(stopwords.NEWSROOM))
+    lists = standard.withColumn("list", F.lit("standard")).unionByName(domain.withColumn("list", F.lit("domain")))
+    found = document_terms(spark, folder).select(F.explode("terms").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return lists.join(found, "word", "left").select("list", "word", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 # ---------------------------------------------------------------- linear models and vectors
 
 

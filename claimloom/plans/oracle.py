@@ -479,3 +479,17 @@ add("lake_roundtrip", f"SELECT 'claims' AS artifact, '20240101000000' AS version
 add("ingest_incremental", "SELECT 1 AS run, 'cleaned' AS status, CAST(count(DISTINCT lang) AS BIGINT) AS files FROM documents UNION ALL SELECT 2, 'skipped', CAST(count(DISTINCT lang) AS BIGINT) FROM documents")
 add("ingest_cleaned", f"SELECT doc_id, c AS cleaned_text FROM {_FULL} WHERE c NOT IN ('', 'nan')")
 add("stream_clean", f"SELECT page_id, {clean('html')} AS cleaned_text FROM pages")
+
+_CLAIM = clean("'Claim ' || lang || ' ' || source")
+add("ingest_malformed", f"SELECT doc_id, {_CLAIM} AS cleaned_text FROM documents WHERE doc_id % 10 <> 0")
+add("lake_raw", "SELECT CAST(sum(strlen(url) + 1) AS BIGINT) AS bytes FROM pages")
+add("lake_vectors", "SELECT vec_id, CAST(len(embedding) AS BIGINT) AS size, 'vectors' AS artifact, '20240101000000' AS version FROM embeddings")
+add("vocabulary_export", f"WITH {_DOCS}, {vocab()} SELECT term AS word, CAST(length(term) AS BIGINT) AS length FROM vocab")
+add("report_export", ORACLE["class_report"])
+add("stopword_sets", f"WITH {_DOCS}, l(list, word) AS (VALUES " + ", ".join(f"('{n}', {q(w)})" for n in ("standard", "domain") for w in sorted(LISTS[n]))
+    + ") SELECT list, word, CAST(coalesce((SELECT sum(tf) FROM tf WHERE term = word), 0) AS BIGINT) AS n FROM l")
+add("normalized_tokens", f"WITH n_l AS (SELECT doc_id, {without(words(clean('text')), 'domain')} AS toks FROM documents), "
+    "n_e AS (SELECT doc_id, unnest(toks) AS term, generate_subscripts(toks, 1) AS pos FROM n_l), n_v AS (SELECT DISTINCT term FROM n_e), "
+    + lemmas("n_v", "n_v", name="n_c")
+    + ", n_j AS (SELECT e.doc_id, string_agg(coalesce(c.lemma, e.term), ' ' ORDER BY pos) AS tokens FROM n_e e LEFT JOIN n_c c ON e.term = c.term GROUP BY e.doc_id) "
+    "SELECT d.doc_id, coalesce(tokens, '') AS tokens FROM documents d LEFT JOIN n_j j ON d.doc_id = j.doc_id")
