@@ -49,6 +49,22 @@ def test_signatures_estimate_weighted_similarity():
     assert (alone[0] == sig[3]).all()
 
 
+def test_signatures_do_not_depend_on_other_texts():
+    rng = random.Random(12)
+    few = [invented(rng, n) for n in range(5, 65)]
+    others = [invented(rng, rng.randint(5, 300)) for _ in range(2_000)]
+
+    def signed(texts):
+        row, shingle, count = bagminhash.multisets(texts)
+        return bagminhash.signatures(row, shingle, count, len(texts), bagminhash.BANDS * bagminhash.ROWS)
+
+    alone = np.concatenate([signed([t]) for t in few])
+    among = [np.concatenate([signed([t, *others[:n]])[:1] for t in few]) for n in (1, 50)] + [signed(few + others)[: len(few)]]
+    for sig in among:
+        assert (bagminhash.band_keys(sig) == bagminhash.band_keys(alone)).all()
+        assert (sig.view(np.uint64) == alone.view(np.uint64)).all()
+
+
 @pytest.mark.parametrize("block", [1024, 4])
 def test_near_copies(spark, monkeypatch, block):
     monkeypatch.setattr(bagminhash, "BLOCK", block)
