@@ -3,7 +3,8 @@
 A text is made canonical line by line: lower case; "(c)" and the sign read as the word; everything but letters and digits
 separates words; equivalent spellings become one; lines that only name a copyright holder, or reserve rights, go. The digest of the whole
 text, and the digest of each line, are joined by equality to the digests of known licences and of known one-line notices, which
-are made canonical by the same expressions. Only entire texts and entire lines match, never parts.
+are made canonical by the same expressions. Licences are known in their usual wordings, with and without title and appendix
+(``TITLES``, ``license_texts``). Only entire texts and entire lines match, never parts.
 
 All of it is column expressions: one scan, lines exploded, a join with the known digests, and sums per document.
 
@@ -14,6 +15,11 @@ each; a line that repeats counts each time; an empty table of texts or of licenc
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from itertools import product
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,8 +34,11 @@ EQUIVALENT = (
     ("wilful", "willful"), ("sublicence", "sublicense"), ("http", "https"),
 )
 
+#: Long licences in full, one file each.
+TEXTS = Path(__file__).parent / "license_texts"
+
 #: Short licences in full, and usual one-line notices, as (name, unit, text).
-KNOWN = (
+SHORT = (
     ("MIT", "text", """MIT License
 Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
@@ -54,6 +63,88 @@ Permission is granted to anyone to use this software for any purpose, including
     ("CC-BY-SA-4.0", "line", "Licensed under CC BY-SA 4.0."),
 )
 
+#: Titles that a licence text may have or lack.
+TITLES = {
+    "MIT": ("", "MIT", "MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT License (Expat)", "Expat License"),
+    "ISC": ("", "ISC", "ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)"),
+    "0BSD": ("", "0BSD", "BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "Zero-Clause BSD (0BSD)", "BSD Zero Clause License (0BSD)"),
+    "Zlib": ("", "zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License", "The zlib/libpng License (Zlib)"),
+    "BSD-2-Clause": ("", "BSD-2-Clause", "BSD License", "The BSD License", "BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License", "Simplified BSD License", "FreeBSD License", 'BSD 2-Clause "Simplified" License'),
+    "BSD-3-Clause": ("", "BSD-3-Clause", "BSD License", "The BSD License", "BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License", "New BSD License", "Modified BSD License", 'BSD 3-Clause "New" or "Revised" License'),
+    "BSL-1.0": ("", "Boost Software License", "Boost Software License 1.0", "Boost Software License - Version 1.0", "Boost Software License - Version 1.0 - August 17th, 2003"),
+    "Unlicense": ("", "Unlicense", "The Unlicense"),
+    "Apache-2.0": ("", "Apache License", "Apache License 2.0", "Apache License Version 2.0", "Apache License Version 2.0, January 2004", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    "MPL-2.0": ("", "Mozilla Public License", "Mozilla Public License 2.0", "Mozilla Public License Version 2.0"),
+    "CC0-1.0": ("", "CC0 1.0 Universal", "Creative Commons Legal Code", "Creative Commons Legal Code CC0 1.0 Universal", "Creative Commons CC0 1.0 Universal"),
+    "GPL-2.0": ("", "GNU General Public License", "GNU General Public License Version 2, June 1991"),
+    "GPL-3.0": ("", "GNU General Public License", "GNU General Public License Version 3, 29 June 2007"),
+    "LGPL-2.0": ("", "GNU Library General Public License", "GNU Library General Public License Version 2, June 1991"),
+    "LGPL-2.1": ("", "GNU Lesser General Public License", "GNU Lesser General Public License Version 2.1, February 1999"),
+    "LGPL-3.0": ("", "GNU Lesser General Public License", "GNU Lesser General Public License Version 3, 29 June 2007"),
+}
+
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+{}Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+{}Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+{}THIS SOFTWARE IS PROVIDED BY THE {} "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE {} BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+#: Who disclaims in the two places of a BSD text, and what its third clause may say.
+_BSD_WHO = (
+    ("COPYRIGHT HOLDERS AND CONTRIBUTORS", "COPYRIGHT HOLDER OR CONTRIBUTORS"), ("COPYRIGHT HOLDERS AND CONTRIBUTORS", "COPYRIGHT HOLDERS OR CONTRIBUTORS"),
+    ("COPYRIGHT HOLDERS AND CONTRIBUTORS", "COPYRIGHT OWNER OR CONTRIBUTORS"), ("REGENTS AND CONTRIBUTORS", "REGENTS OR CONTRIBUTORS"), ("AUTHOR AND CONTRIBUTORS", "AUTHOR OR CONTRIBUTORS"),
+)
+_BSD_THIRD = tuple(
+    f"{who} may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+    for who in ("Neither the name of the copyright holder nor the names of its contributors", "Neither the name of the University nor the names of its contributors", "Neither the name of the author nor the names of its contributors", "The names of its contributors")
+)
+
+#: Places of the Free Software Foundation in its licences.
+_FSF = (
+    "51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "51 Franklin St, Fifth Floor, Boston, MA 02110-1301 USA", "51 Franklin Street, Fifth Floor, Boston, MA 02110-1301, USA",
+    "59 Temple Place, Suite 330, Boston, MA 02111-1307 USA", "59 Temple Place - Suite 330, Boston, MA 02111-1307, USA", "675 Mass Ave, Cambridge, MA 02139, USA", "",
+)
+
+
+def _bodies(name: str) -> Iterator[str]:
+    """The wordings of a licence without its title; each with and without what is often left off its end."""
+    if name in ("MIT", "ISC", "0BSD", "Zlib"):
+        text = next(t for n, unit, t in SHORT if n == name and unit == "text")
+        body = text.split("\n", 1)[1] if name in ("MIT", "ISC") else text
+        yield body
+        if name == "MIT":
+            yield body.replace("this permission notice shall", "this permission notice (including the next paragraph) shall")
+        if name in ("ISC", "0BSD"):
+            yield body.replace("modify, and/or distribute", "modify, and distribute")
+    elif name in ("BSD-2-Clause", "BSD-3-Clause"):
+        for marks, who, third in product((("1. ", "2. ", "3. "), ("", "", "")), _BSD_WHO, _BSD_THIRD if name == "BSD-3-Clause" else [""]):
+            yield _BSD.format(*marks[:2], third and marks[2] + third, *who)
+    else:
+        text = (TEXTS / f"{name}.txt").read_text()
+        if "GPL" in name:
+            text = text[text.index("Everyone is permitted") :]
+            ends = [text] + [text[: m.start()] for m in re.finditer(r"END OF TERMS AND CONDITIONS|How to Apply These Terms", text)]
+            heads = [""] if name in ("GPL-3.0", "LGPL-3.0") else _FSF
+            for place, end in product(heads, ends):
+                yield f"{place}\n" + re.sub(r"51 Franklin Street, Fifth Floor, Boston,\s+MA\s+02110-1301\s+USA", place or _FSF[0], end)
+        elif name == "Apache-2.0":
+            text = text[text.index("TERMS AND CONDITIONS FOR USE") :]
+            yield text
+            yield text.replace("Copyright [yyyy] [name of copyright owner]", "")  # filled in, the line names a holder and goes
+            yield from (text[: text.index(end)] for end in ("END OF TERMS", "APPENDIX:"))
+        elif name == "MPL-2.0":
+            text = text[text.index("1. Definitions") :]
+            yield from [text] + [text[: text.rindex(end)] for end in ("Exhibit A -", "Exhibit B -")]
+        elif name == "CC0-1.0":
+            yield from (text[text.index(begin) :] for begin in ("CREATIVE COMMONS CORPORATION IS NOT", "Statement of Purpose"))
+        elif name == "Unlicense":
+            yield from (text, text[: text.index("For more information")])
+        else:
+            yield text[text.index("Permission is hereby granted") :]
+
+
+#: All known licences and notices, as (name, unit, text): every wording under every title.
+KNOWN = SHORT + tuple((name, "text", f"{title}\n{body}") for name, titles in TITLES.items() for body in _bodies(name) for title in titles)
+
 
 def with_lines(df: DataFrame) -> DataFrame:
     """``df`` with ``lines``: what is left of ``text``, canonical, in order. Words stand between two spaces each, so that neighbours are replaced alike.

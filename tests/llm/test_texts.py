@@ -225,3 +225,21 @@ def test_licenses(spark, odd, nothing):
     assert out.count() == odd.count() and {r.text_digest for r in out.where("doc_id in (1, 2, 3)").collect()} == {None}
     assert licenses.scan(nothing, licenses.known(spark)).count() == 0
     assert licenses.scan(odd, licenses.known(spark).limit(0)).where("license is not null or n_notices > 0").count() == 0
+
+
+def test_licenses_in_usual_wordings(spark):
+    file = lambda name: (licenses.TEXTS / f"{name}.txt").read_text()
+    body = next(t for n, u, t in licenses.SHORT if n == "MIT" and u == "text").split("\n", 1)[1]
+    isc = next(t for n, u, t in licenses.SHORT if n == "ISC" and u == "text").split("\n", 1)[1]
+    bsd = "Copyright (c) 2020, Jane Doe\nAll rights reserved.\n\n" + licenses._BSD.format("* ", "* ", "", *licenses._BSD_WHO[0])
+    apache = file("Apache-2.0")
+    rows = [
+        ("MIT", "Copyright (c) 2020 Jane Doe\n\n" + body), ("MIT", "The MIT License (MIT)\n\nCopyright (c) 2020 Jane Doe\n" + body), ("ISC", isc),
+        ("BSD-2-Clause", bsd), ("BSD-2-Clause", "BSD 2-Clause License\n" + bsd), ("BSD-3-Clause", licenses._BSD.format("1. ", "2. ", "3. " + licenses._BSD_THIRD[0], *licenses._BSD_WHO[2])),
+        ("Apache-2.0", apache), ("Apache-2.0", apache.replace("[yyyy] [name of copyright owner]", "2020 Jane Doe")), ("Apache-2.0", apache[: apache.index("APPENDIX")]),
+        ("GPL-2.0", file("GPL-2.0").replace("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "59 Temple Place, Suite 330, Boston, MA  02111-1307  USA")),
+        *((name, file(name)) for name in ("MPL-2.0", "Unlicense", "BSL-1.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0")),
+        (None, bsd + " too"), (None, apache.replace("perpetual", "yearly")),
+    ]
+    got = licenses.scan(table(spark, [(k, t, None) for k, (_, t) in enumerate(rows)]), licenses.known(spark)).orderBy("doc_id").collect()
+    assert [r.license for r in got] == [name for name, _ in rows]
