@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import backoff, bagminhash, bpe, caps, decontaminate, kdshards, licenses, lid, packing, pii
+from claimloom.llm import aligned, backoff, bagminhash, bpe, caps, decontaminate, kdshards, licenses, lid, packing, pii
 from claimloom.llm.common import read
 
 
@@ -63,6 +63,13 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(read(spark, sf_dir, "documents"), vocabulary(), ids=False)
 
 
+def op11_aligned_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    files = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model")
+    return aligned.aligned(read(spark, sf_dir, "documents"), *files, groups=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_language_id": op2_language_id,
@@ -74,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bagminhash": op8_bagminhash,
     "op9_packed_ids": op9_packed_ids,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_aligned_tokens": op11_aligned_tokens,
 }
 
 #: Runs of letters, digits and combining marks, lower-cased, as ``words`` has them.
