@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import aligned, backoff, bagminhash, bpe, caps, decontaminate, kdshards, licenses, lid, packing, pii
+from claimloom.llm import aligned, audited, backoff, bagminhash, bpe, caps, decontaminate, kdshards, licenses, lid, packing, pii
 from claimloom.llm.common import read
 
 
@@ -70,6 +70,10 @@ def op11_aligned_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned.aligned(read(spark, sf_dir, "documents"), *files, groups=False)
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audited.audited(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_language_id": op2_language_id,
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packed_ids": op9_packed_ids,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_aligned_tokens": op11_aligned_tokens,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 #: Runs of letters, digits and combining marks, lower-cased, as ``words`` has them.
@@ -135,4 +140,27 @@ a AS (SELECT r, count(*) FILTER (level = 3) AS n_three, count(*) FILTER (level =
 SELECT doc_id, n_words, coalesce(n_three, 0) AS n_three, coalesce(n_two, 0) AS n_two, coalesce(n_one, 0) AS n_one, coalesce(n_new, 0) AS n_new,
   round(coalesce(score, 0), 4) AS log_score, round(score / n_words, 6) AS mean_log_score
 FROM d JOIN n USING (r) LEFT JOIN a USING (r)""",
+    "op12_filter_audit": """
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+l AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id),
+b AS (SELECT part, good, toxic, CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+  + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 4 ELSE 0 END
+  + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN w.doc_id > first THEN 16 ELSE 0 END AS cell
+  FROM w LEFT JOIN l ON l.doc_id = w.doc_id),
+c AS (SELECT part, cell, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM b GROUP BY part, cell),
+f AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(name, bit)),
+o AS (SELECT p.name || q.name || r.name || s.name || t.name AS filter_order, [p.bit, q.bit, r.bit, s.bit, t.bit] AS bits
+  FROM f p, f q, f r, f s, f t WHERE p.bit + q.bit + r.bit + s.bit + t.bit = 31 AND p.bit | q.bit | r.bit | s.bit | t.bit = 31),
+k AS (SELECT filter_order, step::INT AS step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+  FROM o, range(1, 6) x(step)),
+m AS (SELECT part, filter_order, step, bit, coalesce(sum(n) FILTER (cell & (before | bit) = 0), 0)::BIGINT AS kept,
+  coalesce(sum(n) FILTER (cell & before = 0 AND cell & bit > 0), 0)::BIGINT AS removed,
+  coalesce(sum(n) FILTER (cell & before > 0 AND cell & bit > 0), 0)::BIGINT AS redundant,
+  coalesce(sum(n) FILTER (cell = bit), 0)::BIGINT AS unique_fails,
+  coalesce(sum(good) FILTER (cell & before = 0 AND cell & bit > 0), 0)::BIGINT AS good_lost,
+  coalesce(sum(toxic) FILTER (cell & before = 0 AND cell & bit > 0), 0)::BIGINT AS toxic_lost
+  FROM c, k GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM m""",
 }
