@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import aligned, audited, backoff, bagminhash, bpe, caps, decontaminate, kdshards, licenses, lid, packing, pii
-from claimloom.llm.common import read
+from claimloom.llm import aligned, audited, backoff, bagminhash, bpe, caps, decontaminate, kdshards, licenses, lid, packing, pii, warc
+from claimloom.llm.common import Stored, dropped, read
+from claimloom.session import fresh_path
 
 
 def vocabulary() -> str:
@@ -74,6 +75,13 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audited.audited(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_path(spark, "archives")
+    result = Stored(warc.pages(warc.chunks(warc.write(read(spark, sf_dir, "pages"), folder), data=False)), "pages").df
+    dropped(spark, folder)
+    return result
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_language_id": op2_language_id,
@@ -87,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_byte_bpe": op10_byte_bpe,
     "op11_aligned_tokens": op11_aligned_tokens,
     "op12_filter_audit": op12_filter_audit,
+    "op13_warc": op13_warc,
 }
 
 #: Runs of letters, digits and combining marks, lower-cased, as ``words`` has them.
@@ -163,4 +172,9 @@ m AS (SELECT part, filter_order, step, bit, coalesce(sum(n) FILTER (cell & (befo
   FROM c, k GROUP BY part, filter_order, step, bit)
 SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
   (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM m""",
+    "op13_warc": """
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha256(h) AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN first END AS refers_to
+FROM (SELECT page_id, h, first, coalesce(strlen(h) >= 100 AND first IS NOT NULL AND (page_id IS NULL OR page_id > first), false) AS again
+  FROM (SELECT page_id, h, min(page_id) OVER (PARTITION BY h) AS first FROM (SELECT page_id, coalesce(html, '') AS h FROM pages)))""",
 }

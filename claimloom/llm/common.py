@@ -42,6 +42,12 @@ def bounded(df: DataFrame) -> DataFrame:
     return df
 
 
+def dropped(spark: SparkSession, folder: str) -> None:
+    """Deletes a scratch folder in the shared folder, if it is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Stored:
     """A table written once to the shared folder and read back; ``drop`` deletes it when nothing reads it any more."""
 
@@ -52,8 +58,7 @@ class Stored:
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        dropped(self.spark, self.path)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
