@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from claimloom.llm.common import Stored, bounded, slices
 
-HEAD, MEMO, MEMO_LINKS, BLOCK, KEPT_PAIRS = 1 << 21, 250_000, 4_000_000, 1 << 18, 1 << 21
+HEAD, MEMO, MEMO_LINKS, BLOCK, KEPT_PAIRS = 1 << 21, 250_000, 4_000_000, 1 << 20, 1 << 21
 B_BITS = 15
 SPACE = "▁"
 SEGMENT = re.compile(r"(?<!\s)[ \n]\s*+\S++(?:[^\S \n]\s*+\S++)*+")
@@ -125,12 +125,14 @@ class Pair:
             return bytes([int(BYTE_PIECE.fullmatch(piece).group(1), 16)])
         return piece.replace(SPACE, " ").encode()
 
-    def aligned(self, parts: list[str], show: bool = True) -> list[tuple[np.ndarray, bytes, int, int, int]] | None:
-        """For each part of the text that ``parts`` make together, which begins with a space: codes of its links, its groups as
-        text (if ``show``), numbers of tokens of A and B and of groups. None where tokens don't give back the bytes. Borders
-        between parts are ends of tokens for both."""
+    def aligned(self, parts: list[str], show: bool = True) -> tuple[np.ndarray, list[bytes], np.ndarray] | None:
+        """For the text that ``parts`` make together, which begins with a space: codes of all links, the groups of each part as text
+        (if ``show``), and for each part the numbers of tokens of A and B, groups and links. None where tokens don't give back
+        the bytes. Borders between parts are ends of tokens for both."""
         text = "".join(parts)
-        a, b, data = np.array(self.a.encode_ordinary(text)), np.array(self.b.encode(text[1:])), text.encode()
+        data = text.encode()
+        a = np.array(self.a.encode_ordinary(text))
+        b = np.array(list(chain.from_iterable(self.b.encode([x[1:] for x in _short(parts)], num_threads=1))))
         if b"".join([self.b_bytes[i] for i in b.tolist()]) != data or b"".join([self.a_bytes[i] for i in a.tolist()]) != data:
             return None
         borders = np.fromiter(accumulate([len(p.encode()) for p in parts], initial=0), np.int64, len(parts) + 1)
@@ -140,13 +142,13 @@ class Pair:
         # where each part ends among tokens, links and groups
         in_a, in_b = np.searchsorted(a_ends, borders[1:]) + 1, np.searchsorted(b_ends, borders[1:]) + 1
         in_links, in_groups = np.searchsorted(i, in_a), np.searchsorted(i_ends, in_a) + 1
-        text, ends = self._groups(a, b, i_ends, j_ends) if show else (b"", np.zeros(len(a) + len(b) + 1, np.int64))
-        in_text = ends[in_a + in_b]
-        out, before = [], (0, 0, 0, 0, 0)
-        for now in zip(in_links.tolist(), in_groups.tolist(), in_a.tolist(), in_b.tolist(), in_text.tolist()):
-            out.append((codes[before[0] : now[0]], text[before[4] : max(0, now[4] - 1)], now[2] - before[2], now[3] - before[3], now[1] - before[1]))
-            before = now
-        return out
+        counts = np.diff(np.stack((in_a, in_b, in_groups, in_links), 1), axis=0, prepend=0)
+        groups = [b""] * len(parts)
+        if show:
+            text, begins = self._groups(a, b, i_ends, j_ends)
+            in_text = begins[in_a + in_b].tolist()
+            groups = [text[x : y - 1] for x, y in zip([0, *in_text], in_text)]
+        return codes, groups, counts
 
     def _groups(self, a: np.ndarray, b: np.ndarray, i_ends: np.ndarray, j_ends: np.ndarray) -> tuple[bytes, np.ndarray]:
         """All groups as text, each closed by a semicolon, and where each token's part of it begins, tokens of A before those of B in a group."""
@@ -157,10 +159,25 @@ class Pair:
         order[np.arange(len(b)) + i_ends[of_b]] = 2 * len(self.a_bytes) + b + len(self.b_bytes) * np.isin(np.arange(1, len(b) + 1), j_ends)
         return b"".join([self.shown[k] for k in order.tolist()]), np.concatenate(([0], np.cumsum(self.shown_size[order])))
 
-    def alone(self, part: str, show: bool = True) -> tuple[np.ndarray, bytes, int, int, int] | None:
+    def alone(self, part: str, show: bool = True) -> tuple[np.ndarray, list[bytes], np.ndarray] | None:
         """One part by itself; a word in front gives it the space that a text begins with."""
-        found = self.aligned([part] if part[0] == " " else [" a", part], show)
-        return found[-1] if found else None
+        return self.aligned([part], show) if part[0] == " " else _rest(self.aligned([" a", part], show))
+
+
+def _short(parts: list[str], size: int = 400) -> Iterator[str]:
+    """The text that ``parts`` make, in short texts that begin with a space (B is fastest on them)."""
+    begin, n = 0, 0
+    for k, part in enumerate(parts):
+        if n > size and part[0] == " ":
+            yield "".join(parts[begin:k])
+            begin, n = k, 0
+        n += len(part)
+    yield "".join(parts[begin:])
+
+
+def _rest(found: tuple[np.ndarray, list[bytes], np.ndarray] | None) -> tuple[np.ndarray, list[bytes], np.ndarray] | None:
+    """Without the first part."""
+    return found and (found[0][found[2][0, 3] :], found[1][1:], found[2][1:])
 
 
 def segments(text: str) -> list[str]:
@@ -198,7 +215,7 @@ class Memo:
         self.links = np.zeros(1, np.int64)  # where each segment's links begin, and the end
         self.counts = np.zeros((0, 4), np.int64)
         self.weights = np.zeros((0, 2), np.int64)
-        self.rare = np.zeros(0, bool)
+        self.rare, self.any_rare = np.zeros(0, bool), False
         self.lossy = np.zeros(0, bool)
 
     def numbers(self, wanted: list[str]) -> np.ndarray:
@@ -206,40 +223,41 @@ class Memo:
         if len(self.number) > MEMO or len(self.kept) > MEMO_LINKS:
             self.clear()
         out = list(map(self.number.get, wanted))
-        new = list(dict.fromkeys(s for s, k in zip(wanted, out) if k is None))
+        new = dict.fromkeys(s for s, k in zip(wanted, out) if k is None)
         if new:
-            self.number |= zip(new, range(len(self.number), len(self.number) + len(new)))
-            self._add(new)
-            out = [self.number[s] if k is None else k for s, k in zip(wanted, out)]
+            # white space at a segment's end and what follows it would be one
+            together = [s for s in new if not s[-1].isspace()]
+            self._add(together, False)
+            self._add([s for s in new if s[-1].isspace()] if len(together) < len(new) else [], True)
+            out = list(map(self.number.__getitem__, wanted))
         return np.array(out, np.int64)
 
-    def _add(self, new: list[str]) -> None:
-        found: dict[str, tuple] = {}
+    def _add(self, new: list[str], alone: bool) -> None:
+        if not new:
+            return
         show = self.weigh is not None
-        part, size = [" a"], 0
-        for segment in [s for s in new if not s[-1].isspace()]:
-            part.append(segment)
-            size += len(segment)
-            if size > BLOCK:
-                found |= zip(part[1:], (self.pair.aligned(part, show) or ())[1:])
-                part, size = [" a"], 0
-        found |= zip(part[1:], (self.pair.aligned(part, show) or ())[1:])
-        nothing = np.zeros(0, np.uint32), b"", 0, 0, 0
-        results = [found.get(s) or self.pair.alone(s, show) for s in new]
-        codes, groups, *counts = zip(*(r or nothing for r in results))
-        size = np.array([len(c) for c in codes])
-        codes = np.concatenate(codes)
+        if alone or (found := _rest(self.pair.aligned([" a", *new], show))) is None:
+            nothing = np.zeros(0, np.uint32), [b""], np.zeros((1, 4), np.int64)
+            results = [self.pair.alone(s, show) for s in new]
+            codes, groups, counts = zip(*(r or nothing for r in results))
+            found = np.concatenate(codes), list(chain.from_iterable(groups)), np.concatenate(counts)
+            lossy = np.array([r is None for r in results])
+        else:
+            lossy = np.zeros(len(new), bool)
+        codes, groups, counts = found
+        self.number |= zip(new, range(len(self.number), len(self.number) + len(new)))
         self.groups += groups
+        ends = np.cumsum(counts[:, 3])
         if self.weigh is not None:
             weights, rare = self.weigh(codes)
             sums = np.concatenate((np.zeros((1, 2), np.int64), np.cumsum(weights, 0)))
-            ends = np.cumsum(size)
-            self.weights = np.concatenate((self.weights, sums[ends] - sums[ends - size]))
+            self.weights = np.concatenate((self.weights, sums[ends] - sums[ends - counts[:, 3]]))
             self.rare = np.concatenate((self.rare, rare))
+            self.any_rare = self.any_rare or bool(rare.any())
         self.kept = np.concatenate((self.kept, codes))
-        self.links = np.concatenate((self.links, self.links[-1] + np.cumsum(size)))
-        self.counts = np.concatenate((self.counts, np.array([*counts, size], np.int64).T))
-        self.lossy = np.concatenate((self.lossy, [r is None for r in results]))
+        self.links = np.concatenate((self.links, self.links[-1] + ends))
+        self.counts = np.concatenate((self.counts, counts))
+        self.lossy = np.concatenate((self.lossy, lossy))
 
     def places(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the links of these segments lie in ``kept``, and how many each has."""
@@ -399,10 +417,11 @@ def aligned(docs: DataFrame, ranks: str, pattern: str, pieces: str, groups: bool
             for rows, numbers, begins in tool.texts(batch["text"].to_pylist()):
                 lossy[rows] |= np.logical_or.reduceat(tool.lossy[numbers], begins)
                 np.add.at(sums, rows, np.add.reduceat(np.hstack((tool.counts[numbers], tool.weights[numbers])), begins))
-                places, size = tool.places(numbers)
-                of_row = np.repeat(np.repeat(rows, np.diff(np.append(begins, len(numbers)))), size)
-                at = tool.rare[places]
-                rare.add(keyed(of_row[at], tool.kept[places[at]]))
+                if tool.any_rare:
+                    places, size = tool.places(numbers)
+                    of_row = np.repeat(np.repeat(rows, np.diff(np.append(begins, len(numbers)))), size)
+                    at = tool.rare[places]
+                    rare.add(keyed(of_row[at], tool.kept[places[at]]))
                 ends = [*begins[1:].tolist(), len(numbers)]
                 for row, i, j in zip(rows.tolist(), begins.tolist(), ends):
                     part = b";".join([tool.groups[k] for k in numbers[i:j].tolist()])
