@@ -32,14 +32,20 @@ def local_session(cores: int | str = 8, memory: str = "8g", app: str = "claimloo
     return spark
 
 
+#: Scratch folders of local sessions without ``spark.checkpoint.dir`` (a running session can't be given that setting); gone at exit.
+_SCRATCH: dict[str, tempfile.TemporaryDirectory] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by ``spark.checkpoint.dir``."""
+    """The folder every executor can reach, named by ``spark.checkpoint.dir``; a folder of its own for a local session without it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # local-cluster has executors of their own
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="claimloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        if app not in _SCRATCH:
+            _SCRATCH[app] = tempfile.TemporaryDirectory(prefix="claimloom-")
+        folder = _SCRATCH[app].name
     return folder
 
 

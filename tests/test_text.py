@@ -45,8 +45,8 @@ def test_tokenizers(spark):
 @pytest.mark.parametrize(
     "text, expected",
     [
-        ("we'll meet at noon.org by ten! that's late.", "we 'll meet at noon.org by ten ! that 's late ."),
-        ("an odd claim, they couldn't prove it.", "an odd claim , they could n't prove it ."),
+        ("Dr. Orlov's 'own' figures (p. 7) aren't theirs; I'd ask.", "Dr. Orlov 's 'own ' figures ( p. 7 ) are n't theirs ; I 'd ask ."),
+        ('"Rain?" asked Ana, "at 5 p.m.?"', "`` Rain ? '' asked Ana , `` at 5 p.m. ? ''"),
         ("cannot gonna wanna gimme", "can not gon na wan na gim me"),
         ('he said "hi there."', "he said `` hi there . ''"),
         ("a: b, 3,000 wait...", "a : b , 3,000 wait ..."),
