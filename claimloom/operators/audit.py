@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions.clean import clean, preview
 from claimloom.functions.tokens import regex_tokens, treebank_tokens, whitespace_tokens
+from claimloom.operators.keyed import lookup
 from claimloom.operators.sampling import hash_sample
 
 
@@ -45,14 +46,14 @@ def tokenizer_summary(counts: DataFrame) -> DataFrame:
 def oov_rate(docs: DataFrame, vocab: DataFrame, key: str, tokens: str = "tokens") -> DataFrame:
     """``key, tokens, oov, oov_rate``: token occurrences, not distinct words, missing from the vocabulary.
 
-    Occurrences of a term collapse inside each document before the lookup. A document
-    without tokens has rate 0.
+    Occurrences of a term collapse inside each document before the lookup, and a term that many
+    documents hold is split over tasks. A document without tokens has rate 0. ``vocab`` should be a stored table.
     """
     from claimloom.operators.features import doc_terms
 
     lower = docs.select(key, F.transform(tokens, lambda t: F.lower(t)).alias("terms"))
     known = vocab.select("term", F.lit(True).alias("known"))
-    joined = doc_terms(lower, key, outer=True).join(known, "term", "left")
+    joined = lookup(doc_terms(lower, key, outer=True), known, "term", [key], "left")
     tf = F.coalesce("tf", F.lit(0))
     return joined.groupBy(key).agg(
         F.sum(tf).alias("tokens"), F.sum(F.when(F.col("known").isNull(), tf).otherwise(0)).alias("oov")

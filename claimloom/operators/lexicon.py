@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions.stem import stem_term
+from claimloom.operators.keyed import lookup
+from claimloom.session import materialize
 
 # Published suffix detachments per part of speech.
 DETACH = {
@@ -96,9 +98,9 @@ def lemmatize(
         open_tokens = F.filter(F.array_distinct(token), lambda t: t.rlike(may_change))
     else:
         open_tokens = F.array_distinct(token)
+    changes = materialize(changes, "lemmas")
     per_doc = (
-        docs.select(key, F.explode(open_tokens).alias("term"))
-        .join(changes, "term")
+        lookup(docs.select(key, F.explode(open_tokens).alias("term")), changes, "term", [key])
         .groupBy(key)
         .agg(F.map_from_entries(F.collect_list(F.struct("term", "lemma"))).alias("_lemmas"))
     )

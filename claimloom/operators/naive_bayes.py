@@ -16,6 +16,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.operators.keyed import lookup
 from claimloom.session import materialize
 
 # Smoothing constants of the sensitivity sweep.
@@ -80,9 +81,11 @@ class NaiveBayes:
 
         ``terms`` holds one row per document and term (``term`` null for an empty
         document). One left join on the term and one aggregate per document; all
-        classes and all alphas are summed in the same pass.
+        classes and all alphas are summed in the same pass. A model of few terms is
+        broadcast; beyond that, terms that many documents hold are split over tasks.
+        The model should be a stored one.
         """
-        joined = terms.join(self.counts, "term", "left")
+        joined = lookup(terms, self.counts, "term", list(keys), "left")
         weight = F.when(F.col("term").isNull(), 0.0).otherwise(F.col("tf").cast("double"))
         sums = [
             F.sum(weight * self.likelihood(i, a)).alias(f"s_{j}_{i}")

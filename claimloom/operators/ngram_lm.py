@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.functions.tokens import ngrams
+from claimloom.operators.keyed import lookup
 from claimloom.session import materialize
 
 FLOOR = 1e-10  # probability used where the model gives none
@@ -125,8 +126,9 @@ def probabilities(model: NgramModel, grams: DataFrame) -> DataFrame:
         grams.select(*by, F.col("context").alias("full"), "word")
         .join(levels, [*by, "full"])
         .join(model.counts, [*by, "n", "context", "word"], "left")
-        .join(model.words, [*by, "n", "word"], "left")
     )
+    # a frequent word follows many contexts
+    scored = lookup(scored, model.words, [*by, "n", "word"], ["full"], "left")
     d = F.lit(model.discount)
     p = F.greatest(F.coalesce("cnt", F.lit(0)) - d, F.lit(0.0)) / F.col("total") + d * F.col("followers") / F.col(
         "total"

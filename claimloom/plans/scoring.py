@@ -151,17 +151,21 @@ def classify_linear(pipeline: PipelineModel, vocabulary: DataFrame, requests: Da
 
 
 def retrieve(
-    corpus: DataFrame, queries: DataFrame, key: str, query_key: str, top_k: int = 5, options: Preprocessing = SERVING,
-    max_features: int = features.MAX_FEATURES,
+    corpus: DataFrame, queries: DataFrame, key: str, query_key: str, top_k: int | str = 5, options: Preprocessing = SERVING,
+    max_features: int = features.MAX_FEATURES, prune: bool = True,
 ) -> DataFrame:
-    """``query_key, key, similarity, rank``: the claims of the corpus most similar to each query."""
+    """``query_key, key, similarity, rank``: the claims of the corpus most similar to each query.
+
+    ``top_k`` is a number, or the column of ``queries`` that holds each request's own.
+    """
     docs, words = prepared(corpus, key, options)
     docs = materialize(docs, "corpus-terms")
     term_model = features.fit_terms(docs, max_features).materialized()
     cleaned = queries.select(query_key, clean(F.col("text")).alias("cleaned_text"))
     asked = analyzer_terms(preprocess_tokens(cleaned, query_key, options, lexicon_table=words))
     asked = materialize(term_model.weights(asked, query_key), "queries")
-    return similar(asked, term_model.weights(docs, key), queries, docs, query_key, key, top_k)
+    weights = materialize(term_model.weights(docs, key).select(key, "term_id", "weight"), "corpus-weights")
+    return similar(asked, weights, queries, docs, query_key, key, top_k, prune)
 
 
 def vector_table(docs: DataFrame, term_model: features.TermModel, label: str | None = None, classes=CLASSES):
