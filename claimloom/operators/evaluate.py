@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.operators.sampling import hash_sample
+from claimloom.session import broadcast_bounded, materialize
 
 
 def accuracy(df: DataFrame, label: str, prediction: str = "prediction") -> Column:
@@ -90,37 +91,33 @@ def summary_metrics(df: DataFrame, label: str, classes: Sequence[str], by: Seque
     return report.groupBy(*by).agg(*metrics)
 
 
-def roc_curve(df: DataFrame, positive: Column, score: str, buckets: int | None = None) -> DataFrame:
-    """``score, fpr, tpr`` at every distinct score, greatest first.
+#: Points of a curve that one task sums.
+POINTS = 1_000_000
 
-    Rows collapse to distinct scores, then running totals are taken in two levels:
-    quantile buckets of the score hold about equal numbers of points, each bucket is
-    summed in its own window, and the bucket offsets come from a table of at most
-    ``buckets`` rows. No window ever runs over all scores in one task.
+
+def roc_curve(df: DataFrame, positive: Column, score: str, points: int = POINTS) -> DataFrame:
+    """``score, pos, neg, fpr, tpr`` at every distinct score, greatest first.
+
+    Rows collapse to distinct scores, which are dealt by range over partitions of about ``points`` scores and stored with
+    the number of their partition. Sums of the partitions before it (a row per partition) are added to the running sums
+    inside each. No window runs over all scores in one task, whatever their number.
     """
-    points = df.groupBy(F.col(score).alias("score")).agg(
-        F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
+    distinct = materialize(
+        df.groupBy(F.col(score).alias("score")).agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")), "roc-scores"
     )
-    if buckets is None:  # about a million points each, so a window's task stays small
-        buckets = min(4096, max(64, points.count() // 1_000_000))
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = points.approxQuantile("score", shares, 0.001) if shares else []
-    cuts = sorted(set(cuts))
-    bucket = F.lit(0)
-    if cuts:
-        # number of cut points below the score, found in a sorted literal array
-        bucket = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("score")))
-    points = points.withColumn("bucket", bucket)
-    sizes = points.groupBy("bucket").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
-    above = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    parts = max(1, -(-distinct.count() // points))
+    dealt = distinct.repartitionByRange(parts, F.desc("score")).withColumn("part", F.spark_partition_id())
+    dealt = materialize(dealt, "roc-ranges")
+    sizes = dealt.groupBy("part").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
+    above = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        "bucket",
+        "part",
         F.coalesce(F.sum("bp").over(above), F.lit(0)).alias("op"),
         F.coalesce(F.sum("bn").over(above), F.lit(0)).alias("on"),
     )
     totals = sizes.agg(F.struct(F.sum("bp").alias("p"), F.sum("bn").alias("n"))).scalar()
-    inside = Window.partitionBy("bucket").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    return points.join(F.broadcast(offsets), "bucket").select(
+    inside = Window.partitionBy("part").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    return dealt.join(broadcast_bounded(offsets, parts), "part").select(
         "score",
         "pos",
         "neg",
@@ -129,9 +126,9 @@ def roc_curve(df: DataFrame, positive: Column, score: str, buckets: int | None =
     )
 
 
-def roc_auc(df: DataFrame, positive: Column, score: str, buckets: int | None = None) -> DataFrame:
+def roc_auc(df: DataFrame, positive: Column, score: str, points: int = POINTS) -> DataFrame:
     """Trapezoid area: each point adds its negatives times the mean true-positive rate across it."""
-    curve = roc_curve(df, positive, score, buckets)
+    curve = roc_curve(df, positive, score, points)
     positives = F.sum("pos")
     negatives = F.sum("neg")
     area = F.sum(F.col("neg") * F.col("tpr")) - F.sum(F.col("neg") * F.col("pos")) / (2 * positives)

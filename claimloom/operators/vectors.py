@@ -9,6 +9,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.operators.neighbours import neighbours
+
 # Vector size and window of the parameter grid.
 GRID = ((100, 3), (200, 5), (300, 7))
 
@@ -22,8 +24,8 @@ def train_word_vectors(
     counted first and refused when it cannot fit; a greater ``min_count`` bounds it. That
     array lives on the driver: it is this trainer's limit, whatever the size of the text.
     """
-    if partitions is None:  # every partition trains on a share of the text; more of them are faster and average more
-        partitions = max(1, min(docs.sparkSession.sparkContext.defaultParallelism, docs.count() // 1000))
+    if partitions is None:  # every partition trains on a share of the text and the shares are averaged: by the data alone, not by the cluster
+        partitions = max(1, min(256, docs.count() // 5000))
     vocab = docs.select(F.explode(tokens).alias("t")).groupBy("t").count().where(F.col("count") >= min_count).count()
     if vocab * size >= 2**31:
         raise ValueError(f"{vocab} words of size {size} exceed one array: raise min_count")
@@ -39,6 +41,12 @@ def word_vectors(model: Word2VecModel) -> DataFrame:
     return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
 
 
+def similar_words(words: DataFrame, asked: DataFrame, k: int = 10) -> DataFrame:
+    """``query, word, similarity, rank``: the ``k`` words nearest to each word of ``asked(word)`` that has a vector, by cosine."""
+    found = neighbours(words, words.join(asked.select("word").distinct(), "word", "left_semi"), "word", "vector", k)
+    return found.withColumnRenamed("key", "word")
+
+
 def project(table: DataFrame, key: str, vector: str, k: int = 2) -> DataFrame:
     """``key, x1..xk``: principal components of an array column (a size x size matrix on the driver)."""
     dense = table.select(key, array_to_vector(F.col(vector).cast("array<double>")).alias("_v"))

@@ -6,6 +6,8 @@ taken in another order compare equal.
 
 from __future__ import annotations
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from claimloom.operators import (
     lexicon,
     linear,
     naive_bayes,
+    neighbours,
     ngram_lm,
     sampling,
     validate,
@@ -29,6 +32,7 @@ from claimloom.session import broadcast_if_small, fresh_path, materialize
 from claimloom.sources import files
 from claimloom.sources.lake import Lake
 from claimloom.sources.tables import documents, documents_with_labels, labelled_documents, read_table, spread
+from claimloom.sources.uris import opened
 from claimloom.streaming import jobs
 
 CLASSES = scoring.CLASSES
@@ -87,15 +91,16 @@ def nb_tokens(docs: DataFrame) -> naive_bayes.NaiveBayes:
 
 
 def nb_scored(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document scored by a model trained on the labelled ones."""
-    model = nb_tokens(labelled_terms(spark, folder))
-    return model.score(features.doc_terms(document_terms(spark, folder), "doc_id", outer=True), "doc_id")
+    """Every document scored by a model trained on the labelled ones; texts are split into terms once."""
+    docs = materialize(with_terms(documents_with_labels(spark, folder)).select("doc_id", "label", "terms"), "nb-terms")
+    model = nb_tokens(docs.where("label is not null")).materialized()
+    return model.score(features.doc_terms(docs, "doc_id", outer=True), "doc_id")
 
 
 def nb_test_scores(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id, label, prediction, score`` of the test rows under a model of the training rows."""
     docs = materialize(split_terms(spark, folder), "split-terms")
-    model = nb_tokens(docs.where(~F.col("is_test")))
+    model = nb_tokens(docs.where(~F.col("is_test"))).materialized()
     test = features.doc_terms(docs.where("is_test"), "doc_id", "label", outer=True)
     # the margin: probabilities are 0 or 1 for all but a few. Nine places hide only the order in which terms were summed.
     margin = F.col("scores")[CLASSES[1]] - F.col("scores")[CLASSES[0]]
@@ -266,7 +271,7 @@ def oov_rate(spark, folder):
     words = turns(spark, folder).select(
         F.concat_ws("-", "conv_id", "turn").alias("request_id"), tokens.regex_tokens(F.col("text")).alias("tokens")
     )
-    known = lexicon.vocabulary(documents(spark, folder).select(tokens.whitespace_tokens(F.lower("text")).alias("tokens")))
+    known = materialize(lexicon.vocabulary(documents(spark, folder).select(tokens.whitespace_tokens(F.lower("text")).alias("tokens"))), "vocabulary")
     return audit.oov_rate(words, known, "request_id").select("request_id", "tokens", "oov", r6("oov_rate"))
 
 
@@ -457,8 +462,8 @@ def nb_class_table(spark, folder):
 
 
 def _nb_weights(spark, folder):
-    docs = labelled_terms(spark, folder)
-    model = features.fit_terms(docs)
+    docs = materialize(labelled_terms(spark, folder), "nb-terms")
+    model = features.fit_terms(docs).materialized()
     rows = model.weights(docs, "doc_id").join(docs.select("doc_id", "label"), "doc_id")
     # every column of the fitted matrix holds at least one value, so the terms seen are its columns
     return model, naive_bayes.fit(rows, docs, "label", CLASSES, weight="weight")
@@ -489,7 +494,7 @@ def nb_predict(spark, folder):
 
 def _alpha_rows(spark, folder):
     docs = materialize(split_terms(spark, folder), "split-terms")
-    model = nb_tokens(docs.where(~F.col("is_test")))
+    model = nb_tokens(docs.where(~F.col("is_test"))).materialized()
     test = features.doc_terms(docs.where("is_test"), "doc_id", "label", outer=True)
     return naive_bayes.alpha_sweep(model, test, "doc_id", "label")
 
@@ -583,6 +588,17 @@ def similar_claims(spark, folder):
     )
 
 
+@query
+def similar_claims_top_k(spark, folder):
+    """Conversation turns as requests that each ask for their own number of claims, 1 to 20; others are rejected."""
+    asked = F.concat_ws("-", "conv_id", "turn").alias("request_id"), "text", ((F.col("turn") + 1) * 4).alias("top_k")
+    requests = turns(spark, folder).select(*asked)
+    reason = F.coalesce(validate.text_reason(F.col("text"), "retrieve"), validate.top_k_reason(F.col("top_k")))
+    valid, _ = validate.split_valid(validate.with_reason(requests, reason))
+    out = scoring.retrieve(documents(spark, folder), materialize(valid, "requests"), "doc_id", "request_id", "top_k")
+    return out.select("request_id", F.col("rank").cast("long").alias("rank"), "doc_id", "similarity")
+
+
 # ---------------------------------------------------------------- sampling, evaluation
 
 
@@ -703,6 +719,7 @@ def sweep_runs(spark, folder) -> DataFrame:
         ),
         F.create_map(*[x for m in names for x in (F.lit(m), F.round(m, 6))]),
         parent=F.lit("nb-sweep"),
+        step=F.array_position(F.array(*map(F.lit, naive_bayes.ALPHAS)), F.col("alpha")).cast("int") - 1,
         has_model=True,  # the counts of the training rows with the run's alpha are the model
     )
 
@@ -749,6 +766,28 @@ def run_log(spark, folder):
     return out.select("run_id", "metric", "value")
 
 
+def _nested_log(spark, folder) -> DataFrame:
+    """The sweep as runs nested in one, the sweep itself nested in a project, logged in two appends and read back."""
+    path = fresh_path(spark, "run-log")
+    project = experiments.new_run(spark, "project", {}, {}, run_id="project")
+    experiments.log_runs(project.unionByName(experiments.new_run(spark, "sweep", {"model": "nb"}, {}, parent="project", run_id="nb-sweep")), path)
+    experiments.log_runs(sweep_runs(spark, folder), path)
+    return experiments.read_runs(spark, path)
+
+
+@query
+def run_steps(spark, folder):
+    """Logged values with their steps and the runs that theirs are nested in."""
+    out = experiments.stepped_metrics(_nested_log(spark, folder))
+    return out.select("run_id", "parent_run_id", F.col("step").cast("long").alias("step"), "metric", "value")
+
+
+@query
+def run_summary(spark, folder):
+    """For a run that others are nested in, at any depth: their number and their best, worst and last values."""
+    return experiments.nested_summary(_nested_log(spark, folder))
+
+
 @query
 def ablation(spark, folder):
     runs = experiments.ablation(labelled_documents(spark, folder), "doc_id")
@@ -774,7 +813,7 @@ def detect_text_column(spark, folder):
 def _written_lake(spark, folder) -> Lake:
     """A lake with two processed tables and one of vectors, each with a version made from its greatest id."""
     lake = Lake(spark, fresh_path(spark, "lake"))
-    for table, key, columns in (("documents", "doc_id", ("lang", "source")), ("pages", "page_id", ("url",)), ("embeddings", "vec_id", ("embedding",))):
+    for table, key, columns in (("documents", "doc_id", ("lang", "text")), ("pages", "page_id", ("html",)), ("embeddings", "vec_id", ("embedding",))):
         rows = read_table(spark, folder, table, key, *columns)
         version = f"2024{rows.agg(F.max(key)).first()[0] or 0:010d}"
         put = lake.put_vectors if table == "embeddings" else lake.put_table
@@ -832,14 +871,33 @@ def ingest_cleaned(spark, folder):
     return out.select(F.col("doc_id").cast("long").alias("doc_id"), "cleaned_text")
 
 
+def _broken_rows(docs: DataFrame) -> DataFrame:
+    """``doc_id, tweet`` as they stand in a raw file: whole texts in quotes, and every tenth row with fields too many."""
+    quoted = F.concat(F.lit('"'), F.replace(F.coalesce("text", F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    return docs.select("doc_id", F.when(F.col("doc_id") % 10 == 0, F.concat(quoted, F.lit(",more,fields"))).otherwise(quoted).alias("tweet"))
+
+
+def _write_raw(rows: DataFrame, path: str) -> None:
+    """Rows as they are, in files that each begin with a header. A task that runs again writes its file again."""
+
+    def lines(batches):
+        n, (store, name) = TaskContext.get().partitionId(), opened(path)
+        store.create_dir(name, recursive=True)
+        with store.open_output_stream(f"{name}/part-{n}.csv") as file:
+            file.write(b"doc_id,tweet\n")
+            for batch in batches:
+                for line in batch["value"].to_pylist():
+                    file.write(line.encode() + b"\n")
+        yield pa.RecordBatch.from_arrays([pa.array([n])], ["part"])
+
+    rows.select(F.concat_ws(",", F.col("doc_id").cast("string"), "tweet").alias("value")).mapInArrow(lines, "part long").count()
+
+
 @query
 def ingest_malformed(spark, folder):
-    """Raw files in which every tenth row has too many fields: those rows are skipped, the others are cleaned."""
+    """Raw files of the documents in which every tenth row has too many fields: those rows are skipped, the others are cleaned."""
     root = fresh_path(spark, "ingest")
-    docs = read_table(spark, folder, "documents", "doc_id", "lang", "source")
-    body = F.concat_ws(" ", F.lit("Claim"), "lang", "source")
-    rows = docs.select("doc_id", F.when(F.col("doc_id") % 10 == 0, F.concat(body, F.lit(",more,fields"))).otherwise(body).alias("tweet"))
-    rows.write.option("header", True).option("quote", "").csv(f"{root}/raw")
+    _write_raw(_broken_rows(documents(spark, folder)), f"{root}/raw")
     files.clean_folder(spark, f"{root}/raw", f"{root}/processed").count()
     out = files.read_cleaned(spark, f"{root}/processed")
     return out.select(F.col("doc_id").cast("long").alias("doc_id"), "cleaned_text")
@@ -847,21 +905,27 @@ def ingest_malformed(spark, folder):
 
 @query
 def lake_raw(spark, folder):
-    """Addresses of the pages as text files, kept in the raw layer byte for byte."""
+    """Whole texts of the documents as text files, a file per source and thousand ids, kept in the raw layer byte for byte."""
     root = fresh_path(spark, "lake")
-    read_table(spark, folder, "pages", "url").write.text(f"{root}/in/urls")
+    docs = read_table(spark, folder, "documents", "doc_id", "source", "text").withColumn("lot", F.floor(F.col("doc_id") / 1000))
+    lots = docs.repartition("source", "lot").sortWithinPartitions("source", "lot", "doc_id")
+    lots.select("source", "lot", F.coalesce("text", F.lit("")).alias("value")).write.partitionBy("source", "lot").text(f"{root}/in/texts")
     lake = Lake(spark, f"{root}/lake")
-    lake.put_raw(f"{root}/in/urls", {"from": "pages"}, "urls", "20240101000000")
+    lake.put_raw(f"{root}/in/texts", {"from": "documents"}, "texts", "20240101000000")
     rows = lake.fetch("raw").where(F.col("path").contains("/part-"))
-    return rows.agg(F.sum(F.octet_length("content")).cast("long").alias("bytes"))
+    return rows.select(
+        F.regexp_extract("path", "/source=([^/]*)/", 1).alias("source"), F.regexp_extract("path", "/lot=([0-9]*)/", 1).cast("long").alias("lot"), "at",
+        F.octet_length("content").cast("long").alias("bytes"), F.md5("content").alias("digest"),
+    )
 
 
 @query
 def lake_vectors(spark, folder):
-    """Vectors stored in the embeddings layer and read back."""
+    """Vectors stored in the embeddings layer and read back, a row per value."""
     lake = Lake(spark, fresh_path(spark, "lake"))
     lake.put_vectors(read_table(spark, folder, "embeddings", "vec_id", "embedding"), "vectors", None, "20240101000000")
-    return lake.fetch("embeddings").select("vec_id", F.size("embedding").cast("long").alias("size"), "artifact", "version")
+    rows = lake.fetch("embeddings").select("vec_id", "artifact", "version", F.posexplode("embedding").alias("at", "value"))
+    return rows.select("vec_id", "artifact", "version", F.col("at").cast("long").alias("at"), F.col("value").cast("double").alias("value"))
 
 
 @query
@@ -1008,6 +1072,23 @@ def w2v_pca(spark, folder):
     return vectors.project(vectors.word_vectors(model), "word", "vector")
 
 
+@query
+def w2v_synonyms(spark, folder):
+    """The ten words nearest to each of the hundred most frequent ones."""
+    docs = materialize(_lm_docs(spark, folder), "w2v-tokens")
+    words = materialize(vectors.word_vectors(vectors.train_word_vectors(docs)), "w2v-vectors")
+    asked = features.top_vocabulary(docs, 100, "tokens").select(F.col("term").alias("word"))
+    return vectors.similar_words(words, asked).select("query", "word", F.col("rank").cast("long").alias("rank"), r6("similarity"))
+
+
+@query
+def similar_vectors(spark, folder):
+    """The ten vectors nearest to every vector whose id is divisible by 50, among all."""
+    table = read_table(spark, folder, "embeddings", "vec_id", "embedding")
+    out = neighbours.neighbours(table, table.where("vec_id % 50 = 0"), "vec_id", "embedding")
+    return out.select(F.col("query").alias("vec_id"), F.col("key").alias("other_id"), F.col("rank").cast("long").alias("rank"), r6("similarity"))
+
+
 @query
 def embedding_pca(spark, folder):
     return vectors.project(read_table(spark, folder, "embeddings", "vec_id", "embedding"), "vec_id", "embedding")
@@ -1037,3 +1118,51 @@ def stream_clean(spark, folder):
     stream = jobs.file_stream(spark, f"{root}/in", "page_id long, html string")
     jobs.run_available(jobs.cleaned_stream(stream, "html").drop("html"), f"{root}/out", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/out").select("page_id", "cleaned_text")
+
+
+def _arrivals(spark, folder, target: str) -> DataFrame:
+    """Raw CSV files of the documents in two arrivals, the second with a file of other columns; cleaned after each. ``path, status, ...`` of each file."""
+    root = fresh_path(spark, "arrivals")
+    rows = _broken_rows(documents(spark, folder))
+    for arrival in (0, 1):
+        part = rows.where(F.pmod("doc_id", F.lit(2)) == arrival)
+        _write_raw(part, f"{root}/raw/arrival={arrival}")
+        if arrival:
+            read_table(spark, folder, "pages", "page_id", "url").write.option("header", True).csv(f"{root}/raw/arrival=2")
+        jobs.clean_arrivals(spark, f"{root}/raw", ["doc_id", "tweet"], "tweet", target, f"{root}/checkpoint")
+    return spark.read.parquet(f"{target}/files")
+
+
+@query
+def stream_ingest(spark, folder):
+    """Raw files cleaned as they arrive."""
+    target = fresh_path(spark, "cleaned")
+    _arrivals(spark, folder, target)
+    out = files.drop_blank(spark.read.parquet(f"{target}/rows"))
+    return out.select(F.col("doc_id").cast("long").alias("doc_id"), "cleaned_text")
+
+
+@query
+def stream_ingest_files(spark, folder):
+    """What became of the files of each arrival."""
+    out = _arrivals(spark, folder, fresh_path(spark, "cleaned"))
+    arrival = F.regexp_extract("path", "/arrival=([0-9])/", 1).cast("long")
+    return out.groupBy(arrival.alias("arrival"), "status").agg(F.sum("rows").alias("rows"), F.sum("skipped").alias("skipped"), F.coalesce(F.max("detail"), F.lit("")).alias("detail"))
+
+
+@query
+def stream_score_nb(spark, folder):
+    """Documents as requests that arrive in two lots; each micro-batch is joined with the tables of a Naive Bayes."""
+    model = nb_tokens(materialize(labelled_terms(spark, folder), "nb-terms")).materialized()
+    root = fresh_path(spark, "stream")
+
+    def score(batch: DataFrame) -> DataFrame:
+        valid = with_terms(jobs.valid_requests(batch).where("reject_reason is null")).select("doc_id", "terms")
+        terms = materialize(features.doc_terms(valid, "doc_id", outer=True), "request-terms")
+        return model.score(terms, "doc_id").select("doc_id", "prediction", "confidence")
+
+    for lot in (0, 1):
+        documents(spark, folder).where(F.pmod("doc_id", F.lit(2)) == lot).write.parquet(f"{root}/in/lot={lot}")
+        stream = jobs.file_stream(spark, f"{root}/in", "doc_id long, text string")
+        jobs.score_batches(stream, score, f"{root}/out", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/out").select("doc_id", "prediction", r6("confidence"))

@@ -153,8 +153,46 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stepped_metrics(runs: DataFrame) -> DataFrame:
-    """``run_id, metric, step, value``."""
-    return runs.select("run_id", "step", F.explode("metrics").alias("metric", "value"))
+    """``run_id, parent_run_id, step, metric, value``: a row per logged value."""
+    return runs.select("run_id", "parent_run_id", "step", F.explode("metrics").alias("metric", "value"))
+
+
+def last_values(runs: DataFrame) -> DataFrame:
+    """``run_id, metric, step, value``: of values logged at several steps the last; without a step comes first, and of one step the last logged."""
+    at = F.struct(F.coalesce("step", F.lit(-1)).alias("step"), "logged_at", F.col("value"))
+    values = runs.select("run_id", "step", "logged_at", F.explode("metrics").alias("metric", "value"))
+    last = values.groupBy("run_id", "metric").agg(F.max(at).alias("l"))
+    return last.select("run_id", "metric", F.when(F.col("l.step") >= 0, F.col("l.step")).alias("step"), F.col("l.value").alias("value"))
+
+
+def ancestors(runs: DataFrame) -> DataFrame:
+    """``run_id, ancestor``: a row for each run a run is nested in, at any depth. One join per level of nesting."""
+    parents = materialize(runs.select("run_id", "parent_run_id").where("parent_run_id is not null").distinct(), "parents")
+    up = parents.select(F.col("run_id").alias("parent_run_id"), F.col("parent_run_id").alias("above"))
+    out = level = parents.select("run_id", F.col("parent_run_id").alias("ancestor"))
+    while True:
+        level = level.join(up, F.col("ancestor") == F.col("parent_run_id")).select("run_id", F.col("above").alias("ancestor"))
+        level = materialize(level.join(out, ["run_id", "ancestor"], "left_anti"), "parents")  # a cycle ends here
+        if level.isEmpty():
+            return out
+        out = out.unionByName(level)
+
+
+def nested_summary(runs: DataFrame) -> DataFrame:
+    """``run_id, metric, runs, best_run, best, worst, last_run, last``: the last values of all runs nested in a run.
+
+    ``best`` is the greatest value (ties: the smallest id), ``last`` the value with the greatest step.
+    """
+    values = ancestors(runs).join(last_values(runs), "run_id")
+    grouped = values.groupBy(F.col("ancestor").alias("of"), "metric")
+    facts = grouped.agg(
+        F.count("*").alias("runs"), F.max("value").alias("best"), F.min("value").alias("worst"),
+        F.max(F.struct(F.coalesce("step", F.lit(-1)).alias("s"), F.col("run_id").alias("r"), F.col("value").alias("v"))).alias("l"),
+        F.min(F.struct((-F.col("value")).alias("v"), F.col("run_id").alias("r"))).alias("b"),
+    )
+    return facts.select(
+        F.col("of").alias("run_id"), "metric", "runs", F.col("b.r").alias("best_run"), "best", "worst", F.col("l.r").alias("last_run"), F.col("l.v").alias("last")
+    )
 
 
 def metric(name: str) -> Column:

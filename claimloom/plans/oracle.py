@@ -392,6 +392,13 @@ add("similar_claims", f"WITH {serving('documents', 'sv')}, {tf('sv', 'tf', token
     "top AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY similarity DESC, doc_id) AS rank FROM every QUALIFY rank <= 5) "
     f"SELECT item_id, CAST(rank AS BIGINT) AS rank, top.doc_id, substr(text, 1, 50) || '...' AS text, CASE WHEN l.quality IS NULL THEN '' ELSE {LABEL} END AS label, similarity FROM top LEFT JOIN labels l ON l.doc_id = top.doc_id")
 
+add("similar_claims_top_k", f"WITH {serving('documents', 'sv')}, {tf('sv', 'tf', tokens=words('processed'))}, {vocab()}, {weights('tf', 'documents')}, "
+    f"req AS (SELECT {TURN} AS request_id, text, (turn + 1) * 4 AS k FROM conversations WHERE length(text) >= 1 AND (turn + 1) * 4 BETWEEN 1 AND 20), "
+    f"{serving('req', 'bq', 'sv_v', 'request_id')}, {tf('bq', 'qtf', 'request_id', words('processed'))}, {weights('qtf', 'documents', name='qw', key='request_id')}, "
+    "sc AS (SELECT qw.request_id, w.doc_id, sum(qw.weight * w.weight) AS s FROM qw JOIN w ON qw.term = w.term GROUP BY ALL), "
+    "every AS (SELECT b.request_id, b.k, d.doc_id, round(coalesce(sc.s, 0), 6) AS similarity FROM req b CROSS JOIN documents d LEFT JOIN sc ON sc.request_id = b.request_id AND sc.doc_id = d.doc_id) "
+    "SELECT request_id, row_number() OVER (PARTITION BY request_id ORDER BY similarity DESC, doc_id) AS rank, doc_id, similarity FROM every QUALIFY rank <= k")
+
 # ---------------------------------------------------------------- sampling, evaluation
 
 add("hash_split", f"SELECT doc_id, {is_test('doc_id')} AS is_test FROM documents")
@@ -463,6 +470,12 @@ add("model_history", f"{_RUNS} SELECT 'claims-nb' AS model_name, CAST(version AS
 add("run_log", f"{_RUNS} " + " UNION ALL ".join(f"SELECT run_id, '{m}' AS metric, {m} AS value FROM runs" for m in
     ("accuracy", "f1_weighted", "precision_fake", "recall_fake", "f1_fake", "precision_real", "recall_real", "f1_real")))
 
+_METRICS = ("accuracy", "f1_weighted", "precision_fake", "recall_fake", "f1_fake", "precision_real", "recall_real", "f1_real")
+_STEPS = f"{_RUNS}, st AS (" + " UNION ALL ".join(f"SELECT run_id, row_number() OVER (ORDER BY alpha) - 1 AS step, '{m}' AS metric, {m} AS value FROM runs" for m in _METRICS) + ")"
+add("run_steps", f"{_STEPS} SELECT run_id, 'nb-sweep' AS parent_run_id, step, metric, value FROM st")
+add("run_summary", f"{_STEPS} SELECT above AS run_id, metric, count(*) AS runs, arg_min(run_id, {{'v': -value, 'r': run_id}}) AS best_run, max(value) AS best, min(value) AS worst, "
+    "arg_max(run_id, step) AS last_run, arg_max(value, step) AS last FROM st, (VALUES ('nb-sweep'), ('project')) v(above) GROUP BY above, metric")
+
 # ---------------------------------------------------------------- files and lake
 
 add("detect_text_column", "WITH m AS (SELECT avg(length(CAST(page_id AS VARCHAR))) AS a, avg(length(coalesce(url, 'nan'))) AS b, avg(length(coalesce(html, 'nan'))) AS c FROM pages) "
@@ -480,10 +493,16 @@ add("ingest_incremental", "SELECT 1 AS run, 'cleaned' AS status, CAST(count(DIST
 add("ingest_cleaned", f"SELECT doc_id, c AS cleaned_text FROM {_FULL} WHERE c NOT IN ('', 'nan')")
 add("stream_clean", f"SELECT page_id, {clean('html')} AS cleaned_text FROM pages")
 
-_CLAIM = clean("'Claim ' || lang || ' ' || source")
-add("ingest_malformed", f"SELECT doc_id, {_CLAIM} AS cleaned_text FROM documents WHERE doc_id % 10 <> 0")
-add("lake_raw", "SELECT CAST(sum(strlen(url) + 1) AS BIGINT) AS bytes FROM pages")
-add("lake_vectors", "SELECT vec_id, CAST(len(embedding) AS BIGINT) AS size, 'vectors' AS artifact, '20240101000000' AS version FROM embeddings")
+add("ingest_malformed", f"SELECT doc_id, c AS cleaned_text FROM {_FULL} WHERE doc_id % 10 <> 0 AND c NOT IN ('', 'nan')")
+add("stream_ingest", ORACLE["ingest_malformed"])
+add("stream_ingest_files", "SELECT doc_id % 2 AS arrival, 'cleaned' AS status, CAST(count(*) FILTER (WHERE doc_id % 10 <> 0) AS BIGINT) AS rows, CAST(count(*) FILTER (WHERE doc_id % 10 = 0) AS BIGINT) AS skipped, '' AS detail "
+    "FROM documents GROUP BY 1 UNION ALL SELECT 2, 'failed', 0, 0, 'other columns' FROM pages GROUP BY 1")
+add("lake_raw", "SELECT source, doc_id // 1000 AS lot, CAST(0 AS BIGINT) AS at, CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS bytes, "
+    "md5(string_agg(coalesce(text, ''), chr(10) ORDER BY doc_id) || chr(10)) AS digest FROM documents GROUP BY ALL")
+add("lake_vectors", "SELECT vec_id, 'vectors' AS artifact, '20240101000000' AS version, generate_subscripts(embedding, 1) - 1 AS at, CAST(unnest(embedding) AS DOUBLE) AS value FROM embeddings")
+_UNIT = "u AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
+add("similar_vectors", f"WITH {_UNIT}, p AS (SELECT a.vec_id, b.vec_id AS other_id, round(list_cosine_similarity(a.v, b.v), 9) AS s FROM u a JOIN u b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0) "
+    "SELECT vec_id, other_id, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, other_id) AS rank, round(s, 6) AS similarity FROM p QUALIFY rank <= 10")
 add("vocabulary_export", f"WITH {_DOCS}, {vocab()} SELECT term AS word, CAST(length(term) AS BIGINT) AS length FROM vocab")
 add("report_export", ORACLE["class_report"])
 add("stopword_sets", f"WITH {_DOCS}, l(list, word) AS (VALUES " + ", ".join(f"('{n}', {q(w)})" for n in ("standard", "domain") for w in sorted(LISTS[n]))
@@ -493,3 +512,4 @@ add("normalized_tokens", f"WITH n_l AS (SELECT doc_id, {without(words(clean('tex
     + lemmas("n_v", "n_v", name="n_c")
     + ", n_j AS (SELECT e.doc_id, string_agg(coalesce(c.lemma, e.term), ' ' ORDER BY pos) AS tokens FROM n_e e LEFT JOIN n_c c ON e.term = c.term GROUP BY e.doc_id) "
     "SELECT d.doc_id, coalesce(tokens, '') AS tokens FROM documents d LEFT JOIN n_j j ON d.doc_id = j.doc_id")
+add("stream_score_nb", f"{_ALL}, {_PROBA} SELECT doc_id, label AS prediction, round(p, 6) AS confidence FROM pb WHERE doc_id IN (SELECT doc_id FROM documents WHERE length(text) BETWEEN 10 AND 10000) {_FIRST.format(key='doc_id')}")

@@ -7,12 +7,15 @@ import hashlib
 import itertools
 import re
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from claimloom.functions.clean import clean
+from claimloom.sources.uris import opened
 
 # Suffix -> separator, and the names a text column may have.
 SEPARATORS = {".csv": ",", ".tsv": "\t"}
@@ -38,17 +41,36 @@ def literal(path: str) -> str:
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
-def headers(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """The first line of each of a bounded number of files, found by a partial aggregate over line positions. No other file is read."""
-    lines = spark.read.text([literal(p) for p in paths])
-    at_start = lines.select(
-        plain_name(F.col("_metadata.file_path")).alias("path"),
-        "value",
-        F.monotonically_increasing_id().alias("line"),
-        F.col("_metadata.file_block_start").alias("block"),
-    ).where("block = 0")
-    rows = at_start.groupBy("path").agg(F.min_by("value", "line").alias("header")).collect()
-    return {plain_path(r["path"]): r["header"] for r in rows}
+def headers(files: DataFrame, sep: str | None = None, most: int = 1 << 20) -> DataFrame:
+    """``path, header, names, error``: the first line of every file of ``files(path)``, at most ``most`` bytes of it, and its fields if ``sep`` is given.
+
+    Executors read the beginning of each file and no more; an empty file has an empty header, and a file that can't be read an error.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines, errors = [], []
+            for path in batch["path"].to_pylist():
+                line, error = _first_line(path, most)
+                lines.append(line)
+                errors.append(error)
+            names = [header_names(x, sep) if sep and x else None for x in lines]
+            columns = [batch["path"], pa.array(lines, pa.string()), pa.array(names, pa.list_(pa.string())), pa.array(errors, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["path", "header", "names", "error"])
+
+    return files.select("path").mapInArrow(run, "path string, header string, names array<string>, error string")
+
+
+def _first_line(path: str, most: int) -> tuple[str | None, str | None]:
+    try:
+        store, name = opened(path)
+        with store.open_input_stream(name, compression=None) as file:
+            data = b""
+            while len(data) < most and not re.search(rb"[\r\n]", data) and (more := file.read(min(4096, most - len(data)))):
+                data += more
+        return re.split(rb"[\r\n]", data, maxsplit=1)[0].decode("utf-8", "replace"), None
+    except OSError as error:
+        return None, str(error).splitlines()[0]
 
 
 def header_names(header: str, sep: str) -> list[str]:
@@ -178,12 +200,12 @@ def clean_folder(
         todo = pending(files, done)
         skipped = files.join(done, "path", "left_semi")
         skipped.select("path", F.lit("skipped").alias("status"), F.lit("cleaned before").alias("detail")).write.parquet(run)
-    # the list is kept in a table, because the log it depends on changes while the job runs
-    todo.write.parquet(f"{run}-todo")
-    waiting = spark.read.schema("path string, suffix string").parquet(f"{run}-todo").toLocalIterator()
+    # the list is kept in a table, because the log it depends on changes while the job runs; files of one header come together
+    todo.join(headers(todo), "path").select("path", "suffix", "header", "error").orderBy("suffix", "header", "path").write.parquet(f"{run}-todo")
+    waiting = spark.read.schema("path string, suffix string, header string, error string").parquet(f"{run}-todo").toLocalIterator()
     while lot := list(itertools.islice(waiting, files_at_once)):
-        rows = []
-        for (sep, header), paths in _by_header(spark, lot).items():
+        rows = [(r["path"], "failed", r["error"]) for r in lot if r["error"] is not None]
+        for (sep, header), paths in _by_header(lot).items():
             target = f"{processed}/schema={hashlib.md5((sep + header).encode()).hexdigest()}"
             trials = [paths]
             while trials:
@@ -205,12 +227,12 @@ def clean_folder(
     return spark.read.schema(schema).parquet(run)
 
 
-def _by_header(spark: SparkSession, lot: list) -> dict[tuple[str, str], list[str]]:
-    """Paths of a lot by separator and header; an empty file has an empty header."""
-    first = headers(spark, [r["path"] for r in lot])
+def _by_header(lot: list) -> dict[tuple[str, str], list[str]]:
+    """Paths of a lot by separator and header."""
     out: dict[tuple[str, str], list[str]] = {}
     for r in lot:
-        out.setdefault((SEPARATORS[r["suffix"]], first.get(plain_path(r["path"])) or ""), []).append(r["path"])
+        if r["error"] is None:
+            out.setdefault((SEPARATORS[r["suffix"]], r["header"]), []).append(r["path"])
     return out
 
 

@@ -7,17 +7,24 @@ from __future__ import annotations
 
 import fnmatch
 import json
+from collections.abc import Iterator
 from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.sources.files import path_exists
+from claimloom.sources.uris import opened
 
 # The layers.
 LAYERS = ("raw", "processed", "embeddings")
 # Bytes of a raw file in one row.
 CHUNK = 16 * 1024 * 1024
+# Such rows in one file of the lake.
+CHUNKS_IN_FILE = 4
+# Bytes that one task copies.
+TASK_BYTES = 512 * 1024 * 1024
 MANIFEST = "layer string, name string, version string, path string, metadata map<string,string>"
 
 
@@ -29,6 +36,20 @@ def _text(value) -> str:
     return json.dumps(value) if isinstance(value, bool) else str(value)
 
 
+def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of files from ``at`` on, CHUNK of them or up to ``length``; a file that has changed since it was listed is an error."""
+    for batch in batches:
+        for path, length, at in zip(*(batch[c].to_pylist() for c in ("path", "length", "at"))):
+            want = min(CHUNK, length - at)
+            store, name = opened(path)
+            with store.open_input_file(name) as file:
+                file.seek(at)
+                content = file.read(want)
+            if len(content) != want:
+                raise OSError(f"{path} is shorter than when it was listed")
+            yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([at], pa.int64()), pa.array([content], pa.binary())], ["path", "at", "content"])
+
+
 class Lake:
     """Writes are errors when the same artifact and version exist; system keys win over user keys."""
 
@@ -57,19 +78,22 @@ class Lake:
     def put_raw(self, source: str, metadata: dict | None = None, name: str | None = None, version: str | None = None) -> str:
         """Keep the original files in the raw layer, as ``path, at, content`` rows of at most CHUNK bytes each.
 
-        A file of fewer bytes than Spark's row limit is cut into chunks on the executors, so
-        that no later step holds it whole; ``content`` in the order of ``at`` is the file.
+        Files are listed with their lengths, and each range of CHUNK bytes is read by the task that writes it, so
+        a file of any size is copied by many tasks and held whole by none. ``content`` in the order of ``at`` is the file.
+        An empty file has no chunk (Spark does not list it).
         """
         if not path_exists(self.spark, source):
             raise FileNotFoundError(f"source path not found: {source}")
         version = version or current_version()
         name = name or source.rstrip("/").rpartition("/")[2]
         target = self.path("raw", name, version)
-        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source).select("path", "length")
+        total = files.agg(F.sum("length")).first()[0] or 0
         starts = F.explode(F.sequence(F.lit(0), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(CHUNK)))
-        chunks = files.select("path", "content", starts.alias("at"))
-        chunks = chunks.select("path", "at", F.substring("content", F.col("at").cast("int") + 1, F.lit(CHUNK)).alias("content"))
-        chunks.write.mode("errorifexists").parquet(target)
+        places = files.select("path", "length", starts.alias("at")).repartition(max(1, -(-total // TASK_BYTES)), "path", "at")
+        rows = places.mapInArrow(_ranges, "path string, at long, content binary")
+        # readers take all rows of a small file at once
+        rows.write.mode("errorifexists").option("maxRecordsPerFile", CHUNKS_IN_FILE).parquet(target)
         system = {"source_path": source, "uploaded_at": _now(), "filename": name}
         return self._record("raw", name, version, target, metadata, system)
 
