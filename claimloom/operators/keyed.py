@@ -16,8 +16,7 @@ SALT = "__salt"
 
 def hot_keys(counts: DataFrame, keys: list[str], pieces: int = PIECES, least: int = LEAST) -> DataFrame:
     """``keys, parts`` of the keys of ``counts(keys, n)`` that should be split, and into how many parts. Fewer than ``pieces`` rows."""
-    total = counts.agg(F.sum("n").alias("total")).first()["total"] or 0
-    limit = max(least, -(-total // pieces))
+    limit = F.greatest(F.lit(least), F.ceil(counts.agg(F.sum("n")).scalar() / pieces))
     return counts.where(F.col("n") > limit).select(*keys, F.ceil(F.col("n") / limit).cast("int").alias("parts"))
 
 
