@@ -10,7 +10,8 @@ separators, what word stands before) by label; of neighbours in order, from coun
 that repeat each other or end in the same nine digits (skip edges, each to the occurrence before it), from how often such
 pairs agree. Counts come from a bounded sample, in which base spans are the labels. A base span fixes its node's label; for
 other nodes ``none`` leads by MARGIN at least, so only what other places of the same document say can add a span.
-Sum-product messages are passed along all edges, with damping, until they settle; a node whose most likely label is not
+Sum-product messages are passed along all edges, with damping, until they settle (ROUNDS rounds at most, or one per node up
+to a thousand: a chain's ends hardly reach each other beyond that); a node whose most likely label is not
 ``none`` with MARGINAL or more becomes a span. Edges grow with the number of candidates, not with its square.
 
 Defined cases: null text counts as empty and has no spans; positions are code points, ends are exclusive; a text's result
@@ -26,7 +27,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.llm.common import bounded, slices
@@ -41,7 +42,8 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 NUMBER = re.compile(r"[+(]?[0-9](?:[\x20().0-9/-]*[0-9])?")
-ADDRESS = re.compile(r"([A-Za-z0-9._%+-]+)\x20?(?:@|\(at\)|\[at\])\x20?([A-Za-z0-9-]+(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]+)*)")
+AT = re.compile(r"(?:@|\(at\)|\[at\])")
+WRITTEN_DOMAIN = re.compile(r"\x20?([A-Za-z0-9-]++(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]++)*+)")
 WORD_BEFORE = re.compile(r"(\w+)\W*$")
 
 
@@ -86,6 +88,25 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def _addresses(text: str) -> list[tuple[int, int, int, int]]:
+    """Written addresses: where the local part begins and ends, where the sign ends, and where the domain ends.
+
+    Every sign is looked at once, with the local part straight in front of it and the domain straight behind it, so the time grows
+    with the length of the text, whatever it holds."""
+    out, end = [], 0
+    for sign in AT.finditer(text):
+        if sign.start() < end:
+            continue
+        local_end = begin = sign.start() - (sign.start() > end and text[sign.start() - 1] == " ")
+        while begin > end and text[begin - 1] in LOCAL:
+            begin -= 1
+        domain = WRITTEN_DOMAIN.match(text, sign.end()) if begin < local_end else None
+        if domain:
+            end = domain.end()
+            out.append((begin, local_end, sign.end(), end))
+    return out
+
+
 class Node:
     """A candidate: where it is, what it is compared by, its features, and its base label if it has one."""
 
@@ -104,9 +125,9 @@ def nodes(text: str, base: list[tuple[str, int, int]]) -> list[Node]:
     """All candidates in order, without overlap; those that a base span touches carry its label."""
     found = []
     if "@" in text or "(at)" in text or "[at]" in text:
-        for m in ADDRESS.finditer(text):
-            domain = re.sub(r"\x20?(?:\(dot\)|\[dot\])\x20?", ".", m.group(2))
-            found.append(Node(text, m.start(), m.end(), f"{m.group(1)}@{domain}".lower(), "address"))
+        for begin, local_end, at_end, end in _addresses(text):
+            domain = re.sub(r"\x20?(?:\(dot\)|\[dot\])\x20?", ".", text[at_end:end].lstrip(" "))
+            found.append(Node(text, begin, end, f"{text[begin:local_end]}@{domain}".lower(), "address"))
     taken = [(n.begin, n.end) for n in found]
     k = 0
     for m in NUMBER.finditer(text):
@@ -124,9 +145,11 @@ def nodes(text: str, base: list[tuple[str, int, int]]) -> list[Node]:
     for node in found:
         while k < len(spans) and spans[k][1] <= node.begin:
             k += 1
-        touching = [s for s in spans[k : k + 8] if s[0] < node.end and s[1] > node.begin]
-        if touching:
-            node.label = touching[0][2]
+        j = k
+        while j < len(spans) and spans[j][0] < node.end and spans[j][1] <= node.begin:
+            j += 1
+        if j < len(spans) and spans[j][0] < node.end:
+            node.label = spans[j][2]
     return found
 
 
@@ -211,10 +234,17 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return top + np.log(np.exp(x - np.expand_dims(top, axis)).sum(axis))
 
 
+def drawn(share: float) -> Column:
+    """Whether a row belongs to a sample of this share: 63 bits of its hash are compared, so the share may be as small as it likes."""
+    if share >= 1:
+        return F.lit(True)
+    hashed = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")), F.xxhash64("text"))
+    return F.shiftrightunsigned(hashed, 1) < int(share * (1 << 63))
+
+
 def fit(docs: DataFrame, rows: int = FIT_ROWS) -> Field:
-    """Counts over about ``rows`` rows, chosen by a hash of the id; the driver gets one sum per feature and label (features are hashed, so they are bounded)."""
-    share = min(1.0, rows / max(1, docs.count()))
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)).select("text").where("text is not null")
+    """Counts over about ``rows`` rows, chosen by a hash of the id (of the text, for rows without one); the driver gets one sum per feature and label (features are hashed, so they are bounded)."""
+    sample = docs.where(drawn(rows / max(1, docs.count()))).select("text").where("text is not null")
 
     def run(batches):
         counts: dict[tuple[str, str], int] = {}

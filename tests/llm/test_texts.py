@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -137,6 +138,52 @@ def test_base_spans():
         pii.base_spans(text)
 
 
+#: The written addresses as a plain search has them.
+WRITTEN = r"([A-Za-z0-9._%+-]+)\x20?(?:@|\(at\)|\[at\])\x20?([A-Za-z0-9-]+(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]+)*)"
+
+
+def test_written_addresses():
+    rng = random.Random(8)
+    parts = ["a", "b.c", "x-1", " ", "@", "(at)", "[at]", "(dot)", "[dot]", ".", "é", "\n", "%", "(", "at)"]
+    for _ in range(8000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        want = [(m.start(), m.end(1), m.start(2), m.end()) for m in re.finditer(WRITTEN, text)]
+        got = [(b, e, a + (text[a] == " "), end) for b, e, a, end in pii._addresses(text)]
+        assert got == want, text
+
+
+def test_long_runs_take_linear_time(spark):
+    million = 1_000_000
+    texts = ["x" * million + "@" + "y" * million, "a@b " + "x" * million, "x" * million + " (at) y", "@" * million, "a@" * (million // 2), "a (at) " * 50_000, "1" * million + "@", "+1" * (million // 2), "x@y." * 100_000]
+    field = pii.Field({})
+    for text in texts:
+        start = time.process_time()
+        pii.nodes(text, pii.base_spans(text))
+        assert time.process_time() - start < (1.0 if text[:2] not in ("a@", "a ", "x@") else 8.0), text[:20]  # the others hold many candidates
+    start = time.process_time()
+    for text in texts[:3]:
+        pii.added_spans(text, pii.base_spans(text), field)
+    assert time.process_time() - start < 3
+    docs = table(spark, [(i, t, "en") for i, t in enumerate(texts[:3])])
+    assert pii.found(docs, field).count() == 3 and pii.redacted(docs, field).select("text").distinct().count() == 3
+
+
+def test_sample_of_any_share(spark):
+    rows = spark.range(200_000).selectExpr("id doc_id", "'x' text")
+    for share in (1.0, 0.25, 0.001):
+        assert abs(rows.where(pii.drawn(share)).count() - share * 200_000) <= 5 * (share * 200_000) ** 0.5
+    tiny = rows.select(F.shiftrightunsigned(F.xxhash64("doc_id"), 1).alias("h")).agg(F.min("h")).first()[0] / (1 << 63)
+    assert 0 < tiny < 1e-3 and rows.where(pii.drawn(tiny * 1.5)).count() >= 1 and pii.drawn(1e-12) is not None
+    nameless = spark.range(20_000).selectExpr("cast(null as long) doc_id", "cast(id as string) text")
+    assert 4000 < nameless.where(pii.drawn(0.25)).count() < 6000
+
+
+def test_label_of_the_span_that_touches():
+    text = ", ".join(f"10.0.0.{k}" for k in range(40)) + ", +1 (988) 555-2485"
+    labels = [n.label for n in pii.nodes(text, pii.base_spans(text))]
+    assert labels[-1] == 4 and set(labels[:-1]) == {2}
+
+
 def test_messages_are_exact_without_cycles():
     rng = np.random.default_rng(0)
     unary, links = rng.normal(size=(5, 3)), [(a, b, rng.normal(size=(3, 3))) for a, b in ((0, 1), (1, 2), (1, 3), (3, 4))]
