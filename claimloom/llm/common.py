@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimloom.operators.keyed import split_join
 from claimloom.session import fresh_path
 
 SLICE = 256
@@ -61,13 +62,17 @@ class Stored:
         dropped(self.spark, self.path)
 
 
+#: An id with more neighbours than this, and than a thousandth of all edges, has them dealt over several tasks.
+HUB = 500
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of ``edges(a, b)``: one row ``(id, component)`` per id that has an edge, where
     ``component`` is the smallest id that it reaches.
 
     Alternates the large-star and small-star steps: every id is joined to the smallest id of its neighbourhood, until
-    nothing changes. Each step is an aggregate on the ids with partial sums (the smallest neighbour), so a hub does not
-    gather its neighbours in one task; tables between steps lie in the shared folder.
+    nothing changes. The smallest neighbour is an aggregate with partial sums, which counts the neighbours too; where it comes back
+    to them, those of a hub are dealt over several tasks. Tables between steps lie in the shared folder.
     """
     now = Stored(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "components"
@@ -75,21 +80,18 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     before = None
     while True:
         both = now.df.union(now.df.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = Stored(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("u", "m")), "components")
         # large star: neighbours above u go to the smallest of the neighbourhood
-        large = (
-            both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        )
+        met = split_join(both.where("v > u"), least.df.select("u", "m"), "u", ["v"], counts=least.df.select("u", "n"), least=HUB)
+        large = Stored(met.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v"), "components")
         # small star: neighbours below u, and u itself, go to the smallest
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(low, "u")
-            .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
-            .select("e.u", "e.v").where("u <> v").distinct()
-        )
-        after = Stored(small, "components")
+        low = Stored(large.df.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "components")
+        met = split_join(large.df, low.df.select("u", "m"), "u", ["v"], counts=low.df.select("u", "n"), least=HUB)
+        pairs = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))
+        after = Stored(met.select(F.explode(pairs).alias("e")).select("e.u", "e.v").where("u <> v").distinct(), "components")
         n, total, check = after.df.agg(F.count("*"), F.sum(F.col("v").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("u", "v"))).first()
-        now.drop()
+        for table in (now, least, large, low):
+            table.drop()
         now = after
         if (n, total, check) == before:
             return now.df.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
