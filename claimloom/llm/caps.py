@@ -8,6 +8,7 @@ are about as many directions as vectors. The cap's height is set for each vector
 height for all, vectors whose length is uneven over the parts would pass none. At cosine 0.95 exactly, 999 of 1000 pairs
 share a filter with 50,000 vectors, 97 of 100 with 10^8 (measured; closer pairs more often).
 
+Vectors that are equal once they have length one are compared once, with their number as a weight, and all get the result.
 Vectors meet by filter. A filter with many vectors is split into blocks and every two blocks meet, so a task holds twice BLOCK
 vectors at most. Cosines are in double precision. A pair counts in the smallest filter that both passed, so it counts
 once; tasks hand on one count per vector and one edge per connected vector, never pairs.
@@ -28,8 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.llm.common import Stored, bounded, components, slices
+from claimloom.operators.keyed import lookup
 
-COSINE, PARTS, PASSED, LEAST_LIST, BLOCK, SEED = 0.95, 3, 24, 16, 1024, 20_250_101
+COSINE, PARTS, PASSED, LEAST_LIST, BLOCK, COLUMNS, SEED = 0.95, 3, 24, 16, 1024, 4096, 20_250_101
 
 
 class Code:
@@ -69,20 +71,28 @@ def code(dimension: int, n: int) -> Code:
     return Code(dimension, n)
 
 
-def _met(ids: np.ndarray, side: np.ndarray, vectors: np.ndarray, filters: list[np.ndarray], number: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+def _met(
+    ids: np.ndarray, side: np.ndarray, weight: np.ndarray, vectors: np.ndarray, filters: list[np.ndarray], number: int, cosine: float
+) -> tuple[np.ndarray, np.ndarray]:
     """For the vectors that met at one filter: how many links each has that count here, and the smallest id that each is connected to by them."""
     n = len(ids)
-    before = [f[f < number] for f in filters]
-    known, place = np.unique(np.concatenate(before), return_inverse=True)
-    passed = np.zeros((n, len(known)), np.float32)
-    passed[np.repeat(np.arange(n), [len(f) for f in before]), place] = 1
     linked = np.zeros((n, n), bool)
     for lo in range(0, n, 512):
-        near = vectors[lo : lo + 512] @ vectors.T >= cosine
-        if len(known) and near.any():
-            near &= passed[lo : lo + 512] @ passed.T < 0.5
-        linked[lo : lo + 512] = near
+        linked[lo : lo + 512] = vectors[lo : lo + 512] @ vectors.T >= cosine
     np.fill_diagonal(linked, False)
+    # a pair counts at the first filter that both exceed: filters that two or more of them exceed are looked at, COLUMNS at a time
+    before = [f[f < number] for f in filters]
+    owner = np.repeat(np.arange(n), [len(f) for f in before])
+    _, place, times = np.unique(np.concatenate(before), return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(times > 1)
+    for at in range(0, len(shared) if linked.any() else 0, COLUMNS):
+        column = np.full(len(times), -1)
+        column[shared[at : at + COLUMNS]] = np.arange(len(shared[at : at + COLUMNS]))
+        held = column[place] >= 0
+        passed = np.zeros((n, len(shared[at : at + COLUMNS])), np.float32)
+        passed[owner[held], column[place[held]]] = 1
+        for lo in range(0, n, 512):
+            linked[lo : lo + 512] &= passed[lo : lo + 512] @ passed.T < 0.5
     if len(np.unique(side)) > 1:
         linked &= side[:, None] != side[None, :]
     root, left = np.full(n, -1), np.flatnonzero(linked.any(1))
@@ -94,7 +104,7 @@ def _met(ids: np.ndarray, side: np.ndarray, vectors: np.ndarray, filters: list[n
                 reached[front] = True
                 front = np.flatnonzero(linked[front].any(0) & ~reached)
             root[reached] = k
-    return linked.sum(1), np.where(root >= 0, ids[root], ids)
+    return linked @ weight, np.where(root >= 0, ids[root], ids)
 
 
 def links(vectors: DataFrame, cosine: float = COSINE, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -123,31 +133,44 @@ def links(vectors: DataFrame, cosine: float = COSINE, vec_id: str = "vec_id", em
                     ["id", "length", "filters", "x"],
                 )
 
-    placed = Stored(usable.transform(bounded).mapInArrow(spread, "id long, length int, filters array<long>, x binary"), "caps")
+    every = Stored(usable.transform(bounded).mapInArrow(spread, "id long, length int, filters array<long>, x binary"), "caps")
+    # vectors that are equal once they have length one meet others through the one with the smallest id, which counts for all of them
+    alike = every.df.groupBy(F.sha2("x", 256).alias("digest")).agg(F.min("id").alias("rep"), F.count("*").alias("n"))
+    copies = Stored(alike.where("n > 1"), "copies").df
+    numbered = lookup(every.df.withColumn("digest", F.sha2("x", 256)), copies.select("digest", "rep", F.col("n").alias("weight")), "digest", ["id"], "left", counts=copies.select("digest", "n"))
+    numbered = numbered.withColumn("rep", F.coalesce("rep", "id")).withColumn("weight", F.coalesce("weight", F.lit(1)))
+    placed = Stored(numbered.where("id = rep").select("id", "length", "filters", "x", "weight"), "caps")
     each = placed.df.select("length", F.explode("filters").alias("filter"), "id")
     busy = each.groupBy("length", "filter").agg(F.count("*").alias("n")).where("n > 1").select("length", "filter", F.ceil(F.col("n") / BLOCK).alias("blocks"))
     block = F.pmod(F.xxhash64("id"), F.col("blocks"))
     meeting = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct((F.least(k, block) * F.col("blocks") + F.greatest(k, block)).alias("part"), F.when(k == block, 0).otherwise(F.signum(block - k)).cast("int").alias("side")))
     meet = each.join(busy, ["length", "filter"]).select("length", "filter", "id", F.explode(meeting).alias("m")).select("length", "filter", "id", "m.part", "m.side")
-    full = meet.join(placed.df.select("id", "filters", "x"), "id").repartition("length", "filter", "part").sortWithinPartitions("length", "filter", "part", "id")
+    full = meet.join(placed.df.select("id", "weight", "filters", "x"), "id").repartition("length", "filter", "part").sortWithinPartitions("length", "filter", "part", "id")
 
     def match(batches):
         key, held = None, []
         for batch in slices(batches, 4096, 16_000_000):
             out = []
-            for *new, ident, side, filters, x in zip(*(c.to_pylist() for c in batch.columns)):
+            for *new, ident, side, weight, filters, x in zip(*(c.to_pylist() for c in batch.columns)):
                 if new != key:
                     out += _group(key, held, cosine)
                     key, held = new, []
-                held.append((ident, side, np.array(filters), np.frombuffer(x)))
+                held.append((ident, side, weight, np.array(filters), np.frombuffer(x)))
             yield _counts(out)
         yield _counts(_group(key, held, cosine))
 
-    counted = Stored(full.select("length", "filter", "part", "id", "side", "filters", "x").transform(bounded).mapInArrow(match, "id long, n long, root long"), "links")
+    counted = Stored(full.select("length", "filter", "part", "id", "side", "weight", "filters", "x").transform(bounded).mapInArrow(match, "id long, n long, root long"), "links")
     placed.drop()
-    sums = counted.df.groupBy("id").agg(F.sum("n").alias("n"))
-    groups = components(counted.df.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    out = rows.select("id").join(sums, "id", "left").join(groups, "id", "left")
+    sums = counted.df.groupBy(F.col("id").alias("rep")).agg(F.sum("n").alias("n"))
+    groups = components(counted.df.select(F.col("id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("id", "rep")
+    found = Stored(sums.join(groups, "rep"), "found").df
+    # a vector without links but with copies is a component with them
+    named = Stored(numbered.select("id", "rep", "weight"), "reps").df
+    every.drop()
+    counts = copies.select("rep", "n")
+    alone = lookup(named, found, "rep", ["id"], "left", counts=counts).where("n is not null or weight > 1")
+    alone = alone.select("id", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n"), F.coalesce("component", "rep").alias("component"))
+    out = rows.select("id").join(alone, "id", "left")
     return out.select(
         F.col("id").alias("vec_id"), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id"),
         F.coalesce(F.coalesce("component", "id") == F.col("id"), F.lit(False)).alias("kept"),
@@ -157,8 +180,8 @@ def links(vectors: DataFrame, cosine: float = COSINE, vec_id: str = "vec_id", em
 def _group(key: list | None, held: list[tuple], cosine: float) -> list[tuple[int, int, int]]:
     if len(held) < 2:
         return []
-    ids, side = np.array([h[0] for h in held]), np.array([h[1] for h in held])
-    counts, roots = _met(ids, side, np.array([h[3] for h in held]), [h[2] for h in held], key[1], cosine)
+    ids, side, weight = (np.array([h[k] for h in held]) for k in range(3))
+    counts, roots = _met(ids, side, weight, np.array([h[4] for h in held]), [h[3] for h in held], key[1], cosine)
     return [(int(i), int(c), int(r)) for i, c, r in zip(ids, counts, roots) if c]
 
 

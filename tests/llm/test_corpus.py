@@ -100,6 +100,15 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_hubs(spark):
+    """Stars around ids that are the smallest, the greatest and neither, with far more neighbours than a task takes."""
+    star = spark.range(1, 30_001)
+    edges = star.selectExpr("0L a", "id b").union(star.selectExpr("id + 40000 a", "100000L b")).union(star.selectExpr("if(id < 15000, id, id + 1) + 200000 a", "215000L b"))
+    edges = edges.union(spark.createDataFrame([(5, 40_007)], "a long, b long"))
+    got = components(edges).groupBy("component").count().collect()
+    assert {(r["component"], r["count"]) for r in got} == {(0, 60_002), (200_001, 30_001)}
+
+
 @pytest.mark.parametrize("block", [1024, 16])
 def test_embeddings(spark, monkeypatch, block):
     monkeypatch.setattr(caps, "BLOCK", block)
@@ -126,6 +135,22 @@ def test_embeddings(spark, monkeypatch, block):
     assert caps.links(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_equal_vectors_count_as_many(spark, monkeypatch):
+    """Many copies of a few vectors, some only a multiple of each other: compared once, counted all."""
+    monkeypatch.setattr(caps, "BLOCK", 8)
+    monkeypatch.setattr(caps, "COLUMNS", 16)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(6, 32)).astype(np.float32)
+    x[1] = x[0] + 0.01 * rng.normal(size=32)
+    every = [x[0]] * 200 + [x[0] * 4] * 50 + [x[1]] * 30 + [x[2]] * 7 + list(x[3:])
+    df = spark.createDataFrame([(int(i), [float(v) for v in r]) for i, r in zip(rng.permutation(len(every)), every)], "vec_id long, embedding array<float>")
+    ids = [r.vec_id for r in df.collect()]
+    by = {r.vec_id: r for r in caps.links(df).collect()}
+    first, second = ids[:280], ids[280:287]
+    assert all((by[i].n_links, by[i].component_id, by[i].kept) == (279, min(first), i == min(first)) for i in first)
+    assert all((by[i].n_links, by[i].component_id) == (6, min(second)) for i in second) and all(by[i].n_links == 0 and by[i].kept for i in ids[287:])
+
+
 def test_recall_at_the_threshold():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(1500, 64))
