@@ -27,7 +27,7 @@ from claimloom.operators import (
     vectors,
 )
 from claimloom.plans import experiments, scoring
-from claimloom.plans.preprocess import SERVING, Preprocessing, normalize_tokens, preprocess_requests, preprocess_tokens
+from claimloom.plans.preprocess import SERVING, Preprocessing, fit_tokens, normalize_tokens, preprocess_requests, preprocess_tokens
 from claimloom.session import broadcast_if_small, fresh_path, materialize
 from claimloom.sources import files
 from claimloom.sources.lake import Lake
@@ -209,6 +209,18 @@ def preprocess_requests_flags(spark, folder):
     return out.select("request_id", joined("tokens").alias("tokens"), F.size("tokens").cast("long").alias("n"))
 
 
+@query
+def preprocess_requests_corpus(spark, folder):
+    """Requests whose lemmas are words of the corpus, so that a request's tokens don't depend on its neighbours."""
+    requests = turns(spark, folder).select(
+        F.concat_ws("-", "conv_id", "turn").alias("request_id"), "text", (F.col("role") == "user").alias("remove_stopwords"),
+        (F.col("turn") % 3 == 2).alias("stem"), (F.col("turn") % 3 != 0).alias("lemma"), F.lit(0).alias("min_len"),
+    )
+    _, words = fit_tokens(cleaned_documents(spark, folder), "doc_id", SERVING)
+    out = preprocess_requests(requests, "request_id", materialize(words, "lexicon"))
+    return out.select("request_id", joined("tokens").alias("tokens"))
+
+
 @query
 def ngrams(spark, folder):
     """Bigrams of every document with padding, in place."""
@@ -588,6 +600,15 @@ def similar_claims(spark, folder):
     )
 
 
+@query
+def similar_approx(spark, folder):
+    """Documents at least half alike, found by hash bands, for every document whose id is divisible by 50."""
+    docs = documents(spark, folder)
+    asked = docs.where("doc_id % 50 = 0").select(F.col("doc_id").alias("request_id"), "text")
+    out = scoring.retrieve(docs, materialize(asked, "requests"), "doc_id", "request_id", approx=0.5)
+    return out.select("request_id", F.col("rank").cast("long").alias("rank"), "doc_id", "similarity")
+
+
 @query
 def similar_claims_top_k(spark, folder):
     """Conversation turns as requests that each ask for their own number of claims, 1 to 20; others are rejected."""

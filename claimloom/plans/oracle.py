@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from claimloom.functions.clean import HANDLE, MARKUP, ROMAN_URDU_NOISE, URL
+from claimloom.functions.stem import IRREGULAR, STEP2, STEP3, STEP4
 from claimloom.functions.stopwords import LISTS
 from claimloom.functions.tokens import WORD, WORD_OR_MARK
 from claimloom.operators.lexicon import DETACH
@@ -142,6 +143,61 @@ def lemmas(terms: str, lexicon: str, pos: str = "noun", name: str = "changed") -
     )
 
 
+def cut(x: str, n: int) -> str:
+    return f"substr({x}, 1, length({x}) - {n})"
+
+
+def shape(x: str) -> str:
+    """Each letter of ``x`` as v or c."""
+    return f"list_reduce(list_prepend('', string_split({x}, '')), lambda s, l: s || CASE WHEN l IN ('a', 'e', 'i', 'o', 'u') OR (l = 'y' AND s LIKE '%c') THEN 'v' ELSE 'c' END)"
+
+
+def measure(x: str) -> str:
+    return f"len(regexp_extract_all({shape(x)}, 'v+c+'))"
+
+
+def short_end(x: str) -> str:
+    return f"({shape(x)} = 'vc' OR ({shape(x)} LIKE '%cvc' AND right({x}, 1) NOT IN ('w', 'x', 'y')))"
+
+
+def swap(rules, least: int, extra: str = "TRUE") -> str:
+    """The first suffix of ``rules`` that ``w`` has decides; the base needs a measure above ``least``."""
+    suffix = "CASE " + " ".join(f"WHEN w LIKE '%{s}' THEN '{s}'" for s, _ in rules) + " END"
+    other = "CASE x " + " ".join(f"WHEN '{s}' THEN '{r}'" for s, r in rules) + " END"
+    base = "substr(w, 1, length(w) - length(x))"
+    counted = f"{base} || CASE WHEN x = 'logi' THEN 'l' ELSE '' END"
+    return f"(SELECT term, CASE WHEN x IS NOT NULL AND {measure(counted)} > {least} AND {extra.format(base=base)} THEN {base} || {other} ELSE w END AS w FROM (SELECT term, w, {suffix} AS x FROM {{}}))"
+
+
+def stems(terms: str, name: str) -> str:
+    """CTE ``name(term, stem)`` of the published suffix rules."""
+    w = "w"
+    plural = f"CASE WHEN w LIKE '%sses' THEN {cut(w, 2)} WHEN w LIKE '%ies' THEN CASE WHEN length(w) = 4 THEN {cut(w, 1)} ELSE {cut(w, 2)} END WHEN w LIKE '%s' AND w NOT LIKE '%ss' THEN {cut(w, 1)} ELSE w END"
+    base = " ".join(f"WHEN w LIKE '%{s}' AND {shape(cut(w, len(s)))} LIKE '%v%' THEN {cut(w, len(s))}" for s in ("ed", "ing"))
+    mended = (f"CASE WHEN right(b, 2) IN ('at', 'bl', 'iz') THEN b || 'e' WHEN length(b) > 1 AND right(b, 1) = substr(b, length(b) - 1, 1) AND {shape('b')} LIKE '%c' "
+              f"THEN CASE WHEN right(b, 1) IN ('l', 's', 'z') THEN b ELSE {cut('b', 1)} END WHEN {measure('b')} = 1 AND {short_end('b')} THEN b || 'e' ELSE b END")
+    past = (f"CASE WHEN w LIKE '%ied' THEN CASE WHEN length(w) = 4 THEN {cut(w, 1)} ELSE {cut(w, 2)} END WHEN w LIKE '%eed' THEN CASE WHEN {measure(cut(w, 3))} > 0 THEN {cut(w, 1)} ELSE w END "
+            f"WHEN b IS NOT NULL THEN {mended} ELSE w END")
+    steps = [
+        f"(SELECT term, lower(term) AS w FROM {{}} WHERE length(term) > 2 AND lower(term) NOT IN ({', '.join(map(q, IRREGULAR))}))",
+        f"(SELECT term, {plural} AS w FROM {{}})",
+        f"(SELECT term, {past} AS w FROM (SELECT term, w, CASE {base} END AS b FROM {{}}))",
+        f"(SELECT term, CASE WHEN w LIKE '%y' AND length(w) > 2 AND {shape(w)} LIKE '%c_' THEN {cut(w, 1)} || 'i' ELSE w END AS w FROM {{}})",
+        f"(SELECT term, CASE WHEN w LIKE '%alli' AND {measure(cut(w, 4))} > 0 THEN {cut(w, 2)} ELSE w END AS w FROM {{}})",
+        swap(STEP2, 0), swap(STEP3, 0),
+        swap([(s, "") for s in STEP4], 1, "(x <> 'ion' OR right({base}, 1) IN ('s', 't'))"),
+        f"(SELECT term, CASE WHEN w LIKE '%e' AND ({measure(cut(w, 1))} > 1 OR ({measure(cut(w, 1))} = 1 AND NOT {short_end(cut(w, 1))})) THEN {cut(w, 1)} ELSE w END AS w FROM {{}})",
+        f"(SELECT term, CASE WHEN w LIKE '%ll' AND {measure(cut(w, 1))} > 1 THEN {cut(w, 1)} ELSE w END AS w FROM {{}})",
+    ]
+    ctes, source = "", terms
+    for k, step in enumerate(steps):
+        ctes += f"{name}_{k} AS {step.replace('{}', source)}, "
+        source = f"{name}_{k}"
+    odd = ", ".join(f"({q(a)}, {q(b)})" for a, b in IRREGULAR.items())
+    return (f"{ctes}{name} AS (SELECT t.term, coalesce(i.b, r.w, lower(t.term)) AS stem FROM {terms} t LEFT JOIN {source} r ON r.term = t.term "
+            f"LEFT JOIN (VALUES {odd}) i(a, b) ON i.a = lower(t.term))")
+
+
 def serving(source: str, name: str, lexicon: str | None = None, key: str = "doc_id", body: str = "text") -> str:
     """CTEs of the serving chain: ``name(key, processed)``; the lexicon is ``name_v`` unless given."""
     tokens = without(treebank(clean(body)), "standard")
@@ -187,7 +243,25 @@ add("preprocess", f"WITH {serving('documents', 'p')} SELECT doc_id, processed FR
 add("preprocess_domain_min_len", "SELECT doc_id, "
     + text(f"list_filter({without(treebank(clean('text')), 'domain')}, lambda t: length(t) >= 3)") + " AS processed FROM documents")
 
+_DTERMS = f"{tf('documents')}, v AS (SELECT DISTINCT term FROM tf)"
+add("stem_vocab", f"WITH {_DTERMS}, {stems('v', 'st')} SELECT term, stem FROM st")
+_BOTH = f"WITH {_DTERMS}, {stems('v', 'st')}, {lemmas('v', 'v', 'verb')}, both_ AS (SELECT st.term, stem, coalesce(c.lemma, st.term) AS lemma FROM st LEFT JOIN changed c ON c.term = st.term)"
+add("stem_vs_lemma", f"{_BOTH} SELECT * FROM both_")
+add("vocabulary_reduction", f"{_BOTH} SELECT count(*) AS terms, count(DISTINCT stem) AS stems, count(DISTINCT lemma) AS lemmas FROM both_")
+add("preprocess_stem", f"WITH p AS (SELECT doc_id, {without(treebank(clean('text')), 'standard')} AS toks FROM documents), "
+    f"e AS (SELECT doc_id, unnest(toks) AS term, generate_subscripts(toks, 1) AS pos FROM p), v AS (SELECT DISTINCT term FROM e), {stems('v', 'st')}, "
+    "g AS (SELECT doc_id, string_agg(stem, ' ' ORDER BY pos) AS processed FROM e JOIN st ON st.term = e.term GROUP BY doc_id) "
+    "SELECT p.doc_id, coalesce(g.processed, '') AS processed FROM p LEFT JOIN g ON g.doc_id = p.doc_id")
+
 _split = treebank(clean("text"))
+add("preprocess_requests_corpus",
+    f"WITH {serving('documents', 'sv')}, r AS (SELECT {TURN} AS request_id, role = 'user' AS stopped, turn % 3 = 2 AS stem, turn % 3 <> 0 AS lemma, {_split} AS split FROM conversations), "
+    f"k AS (SELECT *, CASE WHEN stopped THEN {without('split', 'standard')} ELSE split END AS kept FROM r), "
+    "e AS (SELECT request_id, stem AS s, lemma AS l, unnest(kept) AS term, generate_subscripts(kept, 1) AS pos FROM k), "
+    f"v AS (SELECT DISTINCT term FROM e), {lemmas('v', 'sv_v')}, {stems('v', 'st')}, "
+    "g AS (SELECT request_id, string_agg(CASE WHEN s THEN st.stem WHEN l THEN coalesce(c.lemma, e.term) ELSE e.term END, ' ' ORDER BY pos) AS tokens "
+    "FROM e JOIN st ON st.term = e.term LEFT JOIN changed c ON c.term = e.term GROUP BY request_id) "
+    "SELECT r.request_id, coalesce(g.tokens, '') AS tokens FROM r LEFT JOIN g ON g.request_id = r.request_id")
 add("preprocess_requests_flags",
     f"WITH r AS (SELECT {TURN} AS request_id, role = 'user' AS stopped, turn > 0 AS lemma, CASE WHEN turn > 1 THEN 3 ELSE 0 END AS min_len, "
     f"{_split} AS split FROM conversations), "

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions.clean import clean, preview
 from claimloom.operators import features, linear, naive_bayes
+from claimloom.operators.approx import similar_approx
 from claimloom.operators.retrieve import similar
 from claimloom.operators.sampling import encode_labels
 from claimloom.operators.validate import batch_size_reason
@@ -152,11 +153,12 @@ def classify_linear(pipeline: PipelineModel, vocabulary: DataFrame, requests: Da
 
 def retrieve(
     corpus: DataFrame, queries: DataFrame, key: str, query_key: str, top_k: int | str = 5, options: Preprocessing = SERVING,
-    max_features: int = features.MAX_FEATURES, prune: bool = True,
+    max_features: int = features.MAX_FEATURES, prune: bool = True, approx: float | None = None,
 ) -> DataFrame:
     """``query_key, key, similarity, rank``: the claims of the corpus most similar to each query.
 
-    ``top_k`` is a number, or the column of ``queries`` that holds each request's own.
+    ``top_k`` is a number, or the column of ``queries`` that holds each request's own. ``approx`` asks for claims of at
+    least this similarity only, found by hash bands (see ``approx.similar_approx``); without it the search is exact.
     """
     docs, words = prepared(corpus, key, options)
     docs = materialize(docs, "corpus-terms")
@@ -165,6 +167,8 @@ def retrieve(
     asked = analyzer_terms(preprocess_tokens(cleaned, query_key, options, lexicon_table=words))
     asked = materialize(term_model.weights(asked, query_key), "queries")
     weights = materialize(term_model.weights(docs, key).select(key, "term_id", "weight"), "corpus-weights")
+    if approx is not None:
+        return similar_approx(asked, weights, queries, docs, query_key, key, top_k, approx)
     return similar(asked, weights, queries, docs, query_key, key, top_k, prune)
 
 

@@ -10,7 +10,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from claimloom.operators import keyed, naive_bayes, retrieve
+from claimloom.operators import approx, keyed, naive_bayes, retrieve
 from claimloom.session import materialize
 
 
@@ -89,6 +89,41 @@ def test_pruned_retrieval_equals_full(spark):
     assert retrieve.similar(asked, corpus.limit(0), queries, docs.limit(0), "q", "doc", 3).count() == 0
 
 
+def test_approximate_retrieval(spark):
+    """Of the pairs that are at least half alike nine in ten are found, with exact similarities; far fewer pairs are verified than exist."""
+    rng = random.Random(7)
+    base = [rng.sample(range(600), rng.randint(8, 40)) for _ in range(250)]
+    rows = []
+    for i in range(1500):
+        terms = set(base[i % 250])
+        terms -= set(rng.sample(sorted(terms), len(terms) * (i // 250) // 20))
+        terms |= set(rng.sample(range(600), len(terms) * (i // 250) // 20))
+        row = [(i, t, (0.5 + (t * 37 % 11) / 11)) for t in terms]
+        norm = sum(w * w for *_, w in row) ** 0.5
+        rows += [(i, t, w / norm) for i, t, w in row]
+    corpus = materialize(spark.createDataFrame(rows, "doc int, term_id int, weight double"), "corpus")
+    asked = materialize(corpus.where("doc % 50 = 0").withColumnRenamed("doc", "q"), "asked")
+    queries, docs = spark.createDataFrame([(i,) for i in range(0, 1501, 50)], "q int"), spark.range(1500).select(F.col("id").cast("int").alias("doc"))
+    exact = {(r["q"], r["doc"]): r["similarity"] for r in retrieve.similar(asked, corpus, queries, docs, "q", "doc", 6).collect()}
+    got = {(r["q"], r["doc"]): r["similarity"] for r in approx.similar_approx(asked, corpus, queries, docs, "q", "doc", 6, 0.5).collect()}
+    alike = {p for p, s in exact.items() if s >= 0.5}
+    assert len(got) == 31 * 6 and len(alike) > 100 and len(alike & got.keys()) >= 0.9 * len(alike) and all(got[p] == exact[p] for p in alike & got.keys())
+    assert approx.candidates(asked, corpus, "q", "doc").count() < 30 * 1500 / 4 and {s for p, s in got.items() if p not in alike} <= {0.0} | {exact.get(p) for p in got}
+    assert approx.similar_approx(asked.limit(0), corpus, queries, docs, "q", "doc", 2).count() == 62
+
+
+def test_approximate_retrieval_of_documents(spark):
+    """The registered query against the exact search over the same documents."""
+    from claimloom.plans import catalog, scoring
+
+    folder = "/root/testdata/sf0.001"
+    docs = catalog.documents(spark, folder)
+    asked = docs.where("doc_id % 50 = 0").selectExpr("doc_id request_id", "text")
+    exact = scoring.retrieve(docs, asked, "doc_id", "request_id").where("similarity >= 0.5").select("request_id", "doc_id", "similarity").collect()
+    got = {tuple(r) for r in catalog.QUERIES["similar_approx"](spark, folder).select("request_id", "doc_id", "similarity").collect()}
+    assert len(exact) >= 4 and sum(tuple(r) in got for r in exact) >= 0.9 * len(exact) and len(got) == 5 * asked.count()
+
+
 def test_scratch_folder_without_a_setting(tmp_path):
     """A local session whose configuration names no shared folder can store tables."""
     code = (

@@ -147,3 +147,21 @@ def test_normalize_and_request_flags(spark):
 )
 def test_markup_and_references(spark, html, expected):
     assert one(spark, html, clean.strip_html) == expected
+
+
+def test_stems_in_sql():
+    """The suffix rules as SQL give what the rules give, on words made of many endings."""
+    import itertools
+
+    import duckdb
+
+    from claimloom.functions.stem import IRREGULAR, STEP2, STEP3, STEP4, porter
+    from claimloom.plans.oracle import stems
+
+    ends = ["", "s", "es", "ies", "sses", "ed", "eed", "ied", "ing", "y", "e", "ll", "lly", "alli", "ss", "ion", "tion", *(s for s, _ in (*STEP2, *STEP3)), *STEP4]
+    heads = ["", "a", "tr", "hop", "hopp", "fizz", "by", "ya", "syzyg", "toy", "rel", "commun", "at", "troubl", "agre", "controll", "x", "ow", "bl", "siz"]
+    words = sorted({a + b for a, b in itertools.product(heads, ends)} | {a + b + c for a, b, c in itertools.product(heads[:9], ends[:16], ("s", "ed", "ing", "ness"))} | set(IRREGULAR) | {"!", "...", "10th", "Caresses"} - {""})
+    con = duckdb.connect()
+    con.execute("CREATE TABLE v(term VARCHAR)")
+    con.executemany("INSERT INTO v VALUES (?)", [[w] for w in words if w])
+    assert dict(con.execute(f"WITH {stems('v', 'st')} SELECT term, stem FROM st").fetchall()) == {w: porter(w) for w in words if w}
