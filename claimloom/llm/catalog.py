@@ -110,7 +110,8 @@ def _canonical_sql(text: str) -> str:
     for written, read_as in licenses.EQUIVALENT:
         t = f"replace({t}, ' {written} ', ' {read_as} ')"
     lines = f"list_transform(string_split({t}, chr(10)), lambda x: replace(trim(x), '  ', ' '))"
-    holder = "(regexp_matches(x, '^copyright( copyright)*( [0-9]{4}.*| by .*|)$') OR x = 'all rights reserved')"
+    named = f"regexp_matches(x, '{licenses.DATED}') OR (regexp_matches(x, '{licenses.SHORT_LINE}') AND NOT regexp_matches(x, '{licenses.IN_TEXT}'))"
+    holder = f"({named} OR x LIKE 'spdx %' OR x = 'all rights reserved')"
     return f"list_filter({lines}, lambda x: x <> '' AND NOT {holder})"
 
 

@@ -1,7 +1,7 @@
 """Operator 1: licence scan by digests of canonical texts.
 
 A text is made canonical line by line: lower case; "(c)" and the sign read as the word; everything but letters and digits
-separates words; equivalent spellings become one; lines that only name a copyright holder, or reserve rights, go. The digest of the whole
+separates words; equivalent spellings become one; lines that only name a copyright holder or an SPDX identifier, or reserve rights, go. The digest of the whole
 text, and the digest of each line, are joined by equality to the digests of known licences and of known one-line notices, which
 are made canonical by the same expressions. Licences are known in their usual wordings, with and without title and appendix
 (``TITLES``, ``license_texts``). Only entire texts and entire lines match, never parts.
@@ -34,6 +34,16 @@ EQUIVALENT = (
     ("wilful", "willful"), ("sublicence", "sublicense"), ("http", "https"),
 )
 
+#: A canonical line names a holder if a year, "by" or nothing follows "copyright", or if it is short and does not go on as a
+#: sentence of a licence does (fixed values: the words that follow "copyright" there, where a line may be wrapped).
+RUNNING = (
+    "also and are as claim disclaimer doctrines for holder holders if in interest interests is law laws license licenses like line notice notices of on or owner owners "
+    "ownership patent permission protection rights statement statements those to treaty under you"
+).split()
+DATED = "^(portions )?copyright( copyright)*( [0-9]{4}.*| by .*|)$"
+SHORT_LINE = "^(portions )?copyright( copyright)*( [^ ]+){1,8}$"
+IN_TEXT = f"^(portions )?copyright( copyright)* ({'|'.join(RUNNING)}|the software)( |$)"
+
 #: Long licences in full, one file each.
 TEXTS = Path(__file__).parent / "license_texts"
 
@@ -160,7 +170,8 @@ def with_lines(df: DataFrame) -> DataFrame:
         read = F.replace(read, F.lit(f" {written} "), F.lit(f" {instead} "))
     some = F.col("flat").rlike(f" (?:{'|'.join(written for written, _ in EQUIVALENT)}) ")
     lines = F.transform(F.split("spelled", "\n"), lambda x: F.replace(F.trim(x), F.lit("  "), F.lit(" ")))
-    holder = lambda x: F.startswith(x, F.lit("copyright")) & x.rlike("^copyright( copyright)*( [0-9]{4}.*| by .*|)$")
+    named = lambda x: F.startswith(x, F.lit("copyright")) | F.startswith(x, F.lit("portions copyright"))
+    holder = lambda x: F.startswith(x, F.lit("spdx ")) | (named(x) & (x.rlike(DATED) | (x.rlike(SHORT_LINE) & ~x.rlike(IN_TEXT))))
     df = df.withColumn("flat", t).withColumn("spelled", F.when(some, read).otherwise(F.col("flat")))
     return df.withColumn("lines", F.filter(lines, lambda x: (x != "") & (x != "all rights reserved") & ~holder(x)))
 

@@ -286,6 +286,10 @@ def test_licenses_in_usual_wordings(spark):
         ("Apache-2.0", apache), ("Apache-2.0", apache.replace("[yyyy] [name of copyright owner]", "2020 Jane Doe")), ("Apache-2.0", apache[: apache.index("APPENDIX")]),
         ("GPL-2.0", file("GPL-2.0").replace("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "59 Temple Place, Suite 330, Boston, MA  02111-1307  USA")),
         *((name, file(name)) for name in ("MPL-2.0", "Unlicense", "BSL-1.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0")),
+        *(("MIT", f"{line}\n\n{body}") for line in ("Copyright Jane Doe", "Copyright (c) Jane Doe", "Copyright © The Regents of X", "Portions copyright 2020 X", "Portions Copyright (c) Jane Doe & Co.",
+          "Copyright (C) 2020-present Jane Doe, all of them, and everybody else who has ever helped", "SPDX-License-Identifier: MIT\nSPDX-FileCopyrightText: 2020 Jane Doe")),
+        *(("MIT", re.sub(r"(.{1,%d}) " % width, r"\1\n", body)) for width in (20, 33, 60)), *((name, re.sub(r"(.{1,41})\s+", r"\1\n", text)) for name, text in (("Apache-2.0", apache[: apache.index("APPENDIX")]), ("MPL-2.0", file("MPL-2.0")), ("CC0-1.0", file("CC0-1.0")))),
+        (None, "Copyright law is a sentence of its own\n" + body), (None, "Copyright notice\n" + body),
         (None, bsd + " too"), (None, apache.replace("perpetual", "yearly")),
     ]
     got = licenses.scan(table(spark, [(k, t, None) for k, (_, t) in enumerate(rows)]), licenses.known(spark)).orderBy("doc_id").collect()
