@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from claimloom.llm.common import Stored, bounded, slices
 
-HEAD, MEMO, MEMO_LINKS, BLOCK, KEPT_PAIRS = 1 << 21, 250_000, 4_000_000, 1 << 20, 1 << 21
+HEAD, MEMO, MEMO_LINKS, BLOCK, KEPT_PAIRS = 1 << 21, 400_000, 4_000_000, 1 << 20, 1 << 21
 B_BITS = 15
 SPACE = "▁"
 SEGMENT = re.compile(r"(?<!\s)[ \n]\s*+\S++(?:[^\S \n]\s*+\S++)*+")
@@ -313,10 +313,11 @@ class Sums:
         if self.waiting:
             new = np.sort(np.concatenate(self.waiting))
             begins = np.flatnonzero(np.concatenate(([True], new[1:] != new[:-1]))) if len(new) else np.zeros(0, np.int64)
-            keys = np.concatenate((self.keys, new[begins]))
-            counts = np.concatenate((self.counts, np.diff(np.append(begins, len(new)))))
-            self.keys, place = np.unique(keys, return_inverse=True)
-            self.counts = np.bincount(place, counts, len(self.keys)).astype(np.int64)
+            keys, counts = new[begins], np.diff(np.append(begins, len(new)))
+            if len(self.keys):
+                keys, place = np.unique(np.concatenate((self.keys, keys)), return_inverse=True)
+                counts = np.bincount(place, np.concatenate((self.counts, counts)), len(keys)).astype(np.int64)
+            self.keys, self.counts = keys, counts
             self.waiting, self.size = [], 0
         return self.keys, self.counts
 

@@ -2,9 +2,12 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import time
+import unicodedata
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -95,6 +98,54 @@ def test_languages(spark, odd, nothing):
     assert {r.lang_pred for r in lid.predict(odd, none).collect()} == {"und"} and lid.identified(odd, none, 0.5).count() == 0
 
 
+def plain_bayes(train, texts):
+    """Naive Bayes with dictionaries: (label, probability) of each text, learned from (text, label) rows."""
+
+    def grams(text):
+        low = [c.lower()[0] if unicodedata.category(c)[0] == "L" else " " for c in text]
+        for k, c in enumerate(low):
+            if c != " ":
+                before, after = low[k - 1] if k else " ", low[k + 1] if k + 1 < len(low) else " "
+                yield from ((c,), (c, after), (before, c, after))
+
+    labels = sorted({g for _, g in train})
+    counts = {g: Counter(x for t, own in train if own == g for x in grams(t)) for g in labels}
+    out = []
+    for text in texts:
+        logs = {}
+        for g in labels:
+            total = sum(counts[g].values()) + lid.ALPHA * lid.BUCKETS
+            steps = sum(round(math.log((counts[g][x] + lid.ALPHA) / total) * lid.SCALE) for x in grams(text))
+            logs[g] = steps / lid.SCALE + math.log(sum(own == g for _, own in train) / len(train))
+        best = max(labels, key=lambda g: (logs[g], [-ord(c) for c in g]))
+        found = any(unicodedata.category(c)[0] == "L" for c in text)
+        out.append((best, round(1 / sum(math.exp(v - logs[best]) for v in logs.values()), 6)) if found else ("und", 0.0))
+    return out
+
+
+def test_languages_equal_plain_bayes(spark):
+    """Labels and scores of a Naive Bayes without hashing, on letters so few that no two n-grams share a column."""
+    rng = random.Random(3)
+    kinds = {"aa": "ka lo mi", "bb": "ko la mo", "cc": "éa lé m"}
+    train = [(invented(rng, rng.randint(1, 9), kinds[g]), g) for g in kinds for _ in range(12)] + [("K4-lo\nMI", "aa")]
+    texts = [invented(rng, rng.randint(1, 6), rng.choice(list(kinds.values()))) for _ in range(150)] + ["", "12 ?", "ÉA", "k", "kalo" * 50, None]
+    h, _ = lid.grams([t for t, _ in train] + [t or "" for t in texts])
+    letters = {c.lower()[0] for t in [*(t for t, _ in train), *(t or "" for t in texts)] for c in t if c.isalpha()}
+    seen = {x for t in [*(t for t, _ in train), *(t or "" for t in texts)] for x in plain_grams_of(t)}
+    assert len(letters) < 12 and len(np.unique(h)) == len(seen)
+    model = lid.fit(table(spark, [(i, t, g) for i, (t, g) in enumerate(train)]))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in lid.predict(table(spark, [(i, t, None) for i, t in enumerate(texts)]), model).collect()}
+    want = plain_bayes(train, [t or "" for t in texts])
+    assert [got[i][0] for i in range(len(texts))] == [w[0] for w in want]
+    assert max(abs(got[i][1] - w[1]) for i, w in enumerate(want)) <= 1e-6
+
+
+def plain_grams_of(text):
+    low = [c.lower()[0] if unicodedata.category(c)[0] == "L" else " " for c in text]
+    padded = [" ", *low, " "]
+    return {x for k, c in enumerate(low) if c != " " for x in ((c,), (c, padded[k + 2]), (padded[k], c, padded[k + 2]))}
+
+
 def test_score_does_not_depend_on_neighbours(spark):
     rng = random.Random(2)
     texts = [invented(rng, rng.randint(0, 30)) for _ in range(50)] + ["", "a", "á" * 10]
