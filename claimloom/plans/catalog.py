@@ -799,7 +799,7 @@ def _nested_log(spark, folder) -> DataFrame:
 @query
 def run_steps(spark, folder):
     """Logged values with their steps and the runs that theirs are nested in."""
-    out = experiments.stepped_metrics(_nested_log(spark, folder))
+    out = experiments.nested_metrics(_nested_log(spark, folder))
     return out.select("run_id", "parent_run_id", F.col("step").cast("long").alias("step"), "metric", "value")
 
 

@@ -153,7 +153,12 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stepped_metrics(runs: DataFrame) -> DataFrame:
-    """``run_id, parent_run_id, step, metric, value``: a row per logged value."""
+    """``run_id, step, metric, value``: a row per logged value."""
+    return runs.select("run_id", "step", F.explode("metrics").alias("metric", "value"))
+
+
+def nested_metrics(runs: DataFrame) -> DataFrame:
+    """``run_id, parent_run_id, step, metric, value``: the same with the run that each is nested in."""
     return runs.select("run_id", "parent_run_id", "step", F.explode("metrics").alias("metric", "value"))
 
 
