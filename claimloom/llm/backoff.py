@@ -31,8 +31,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import bounded, slices
+from claimloom.llm.common import Stored, bounded, slices
 from claimloom.llm.words import mix, word_hashes
+from claimloom.operators.keyed import split_join
 from claimloom.session import fresh_path
 
 ORDER, ALPHA, BLOCK_WORDS, RANGE_KEYS = 3, 0.4, 1_500_000, 1_000_000
@@ -194,3 +195,51 @@ def scores(docs: DataFrame) -> DataFrame:
 
     joined = blocks.join(by_block, "block", "left")
     return joined.select("ids", "lengths", "dictionary", "words", "answers").transform(bounded).mapInArrow(run, fields)
+
+
+def relational(docs: DataFrame) -> DataFrame:
+    """The same result in plain relational steps: each document's distinct n-grams exploded (``row, part, hash, n``), a count table by
+    ``groupBy``, a join back that splits frequent n-grams over tasks, and scores per document. It shuffles a row per document and
+    n-gram twice, several times the size of the texts; ``scores`` moves a fraction of that."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"))
+
+    def exploded(batches):
+        for batch in slices(batches, 256):
+            hashes, begins = word_hashes(batch["text"].to_pylist())
+            of = np.repeat(np.arange(batch.num_rows), np.diff(begins))
+            ids = batch["row"].to_numpy()
+            for part in range(1, ORDER + 1):
+                keys, end = grams(hashes, of, part)
+                pairs = np.stack((of[end].astype(np.uint64), keys), 1)
+                order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+                pairs = pairs[order]
+                first = np.flatnonzero(np.concatenate(([True], (pairs[1:] != pairs[:-1]).any(1)))) if len(pairs) else np.zeros(0, np.int64)
+                n = np.diff(np.append(first, len(pairs)))
+                columns = ids[pairs[first, 0].astype(np.int64)], np.full(len(first), part, np.int8), pairs[first, 1].view(np.int64), n
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], ["row", "part", "hash", "n"])
+
+    own = rows.select("row", "text").transform(bounded).mapInArrow(exploded, "row long, part tinyint, hash long, n long")
+    totals = Stored(own.groupBy("part", "hash").agg(F.sum("n").alias("total"), F.count("*").alias("n")), "ngram-counts").df
+    all_words = totals.where("part = 1").agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+    counts = totals.where(F.col("n") > 1000).select("part", "hash", "n")
+    met = split_join(own.select("row", "part", "hash"), totals.select("part", "hash", "total"), ["part", "hash"], ["row"], counts=counts)
+    answers = met.groupBy("row").agg(F.collect_list(F.struct("part", "hash", "total")).alias("answers"))  # bounded by the document
+    fields = "doc_id long, n_words long, n_three long, n_two long, n_one long, n_new long, log_score double, mean_log_score double"
+
+    def run(batches):
+        for batch in slices(batches, 64, 16_000_000):
+            out = []
+            for doc, text, found in zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "answers"))):
+                words = word_hashes([text])[0]
+                table = np.array([(a["part"], a["hash"], a["total"]) for a in found or ()], np.int64).reshape(-1, 3)
+                by_order = [np.zeros(0, np.uint64)]
+                for part in range(1, ORDER + 1):
+                    mine = table[table[:, 0] == part]
+                    by_order.append(mine[np.argsort(np.ascontiguousarray(mine[:, 1]).view(np.uint64)), 2].astype(np.uint64))
+                sums, levels = scored_block(words, np.zeros(len(words), np.int64), 1, by_order, all_words)
+                mean = round(float(sums[0]) / len(words), 6) if len(words) else None
+                out.append((doc, len(words), *(int(x[0]) for x in levels[::-1]), round(float(sums[0]), 4), mean))
+            kinds = [pa.int64()] * 6 + [pa.float64()] * 2
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], [f.split()[0] for f in fields.split(", ")])
+
+    return rows.join(answers, "row", "left").select("doc_id", "text", "answers").transform(bounded).mapInArrow(run, fields)

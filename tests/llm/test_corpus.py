@@ -205,6 +205,15 @@ def test_backoff(spark, odd, nothing, monkeypatch, size):
     assert backoff.scores(nothing).count() == 0
 
 
+def test_backoff_in_relational_steps(spark, odd, nothing):
+    rng = random.Random(13)
+    texts = [invented(rng, rng.randint(0, 60), "ka lo") for _ in range(60)]
+    docs = table(spark, [(i, t, None) for i, t in enumerate(texts)])
+    assert Counter(map(tuple, backoff.relational(docs).collect())) == Counter(map(tuple, backoff.scores(docs).collect()))
+    whole = lambda rows: Counter((*r[:6], None if r[7] is None else round(r[7], 4)) for r in rows)
+    assert whole(backoff.relational(odd).collect()) == whole(backoff.scores(odd).collect()) and backoff.relational(nothing).count() == 0
+
+
 def test_blocks_of_numbers():
     rng = np.random.default_rng(1)
     keys = np.unique(rng.integers(0, 1 << 64, 1000, dtype=np.uint64))
