@@ -194,7 +194,9 @@ def scores(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *map(pa.array, (n, *levels[::-1])), pa.array(np.round(sums, 4)), mean], [f.split()[0] for f in fields.split(", ")])
 
     joined = blocks.join(by_block, "block", "left")
-    return joined.select("ids", "lengths", "dictionary", "words", "answers").transform(bounded).mapInArrow(run, fields)
+    result = joined.select("ids", "lengths", "dictionary", "words", "answers").transform(bounded).mapInArrow(run, fields)
+    spark.sql(f"DROP TABLE {name}")  # the plan knows its files by now, which stay where they are
+    return result
 
 
 def relational(docs: DataFrame) -> DataFrame:

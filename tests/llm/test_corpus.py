@@ -203,6 +203,7 @@ def test_backoff(spark, odd, nothing, monkeypatch, size):
     found = Counter((r.doc_id, r.n_words, r.n_three, r.n_two, r.n_one, r.n_new, r.log_score) for r in backoff.scores(odd).collect())
     assert Counter({k[:-1]: n for k, n in want.items()}) == Counter({k[:-1]: n for k, n in found.items()})
     assert backoff.scores(nothing).count() == 0
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("backoff")]
 
 
 def test_backoff_in_relational_steps(spark, odd, nothing):
