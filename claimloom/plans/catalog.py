@@ -464,13 +464,13 @@ def class_weights(spark, folder):
 
 @query
 def nb_train_tokens(spark, folder):
-    model = nb_tokens(labelled_terms(spark, folder))
+    model = nb_tokens(materialize(labelled_terms(spark, folder), "nb-terms")).materialized()
     return model.term_table().select("term", "class", "cnt", r6("ll"))
 
 
 @query
 def nb_class_table(spark, folder):
-    return nb_tokens(labelled_terms(spark, folder)).class_table().select("class", r6("log_prior"), r6("default_ll"))
+    return nb_tokens(materialize(labelled_terms(spark, folder), "nb-terms")).materialized().class_table().select("class", r6("log_prior"), r6("default_ll"))
 
 
 def _nb_weights(spark, folder):
