@@ -11,14 +11,16 @@ bit: copies that are read in different slices or files get the same signature. T
 order of time, so a strip is done once its next point is later than the latest component: little more than one point per
 shingle is made. With 24 bands of 5 components, a pair at 0.8 is found with probability 0.9999.
 
-Search. Equal texts are collapsed first (digest, one representative). Buckets with the same members are taken once. The
-members of a bucket come together with their multisets, at most twice BLOCK of them in a task: a larger bucket is split into
-blocks and every two blocks meet. A task skips pairs whose signatures agree in too few components (four standard deviations below
+Search. Equal texts are collapsed first (digest, smallest id). Buckets with the same members are taken once. The
+members of a bucket come together with their multisets: a bucket of more than BLOCK members, or of more than BLOCK_BYTES of multisets,
+is split by hash into blocks and every two blocks meet, so a task holds about twice BLOCK_BYTES, or two texts that are larger
+by themselves. A task skips pairs whose signatures agree in too few components (four standard deviations below
 the threshold) and pairs that are connected already, checks the others on the exact multisets, and hands on links only,
 fewer than it has members. No pairs are written out.
 
 Defined cases: null and empty texts, and texts without words, are classes of their own; a text of fewer than five words is
-one run of all its words; repeated rows share their class; rows without ``doc_id`` get a null class and link with nothing;
+one run of all its words; repeated rows share their class; rows that share an id are one document, even where their texts differ:
+every one of these texts is searched with, and what links with one of them is in the class of all; rows without ``doc_id`` get a null class and link with nothing;
 an empty table gives an empty result. Only ``doc_id`` and ``text`` are read.
 """
 
@@ -33,8 +35,9 @@ from pyspark.sql import functions as F
 
 from claimloom.llm.common import Stored, bounded, components, slices
 from claimloom.llm.words import STEP, mix, shingles
+from claimloom.operators.keyed import lookup
 
-WORDS, SIMILARITY, BANDS, ROWS, BLOCK = 5, 0.8, 24, 5, 1024
+WORDS, SIMILARITY, BANDS, ROWS, BLOCK, BLOCK_BYTES = 5, 0.8, 24, 5, 1024, 32_000_000
 #: Ids up to this count are broadcast to filter the texts (8 bytes each); beyond, the texts are joined by shuffle.
 BROADCAST_IDS = 4_000_000
 
@@ -104,25 +107,35 @@ def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarr
     return key.view(np.int64)
 
 
+#: What a task holds for each distinct shingle: its hash and its count.
+SHINGLE_BYTES = 16
+
+
+def _digest(text: str) -> bytes:
+    return hashlib.blake2b(text.encode(), digest_size=16).digest()
+
+
 def _signed(docs: DataFrame) -> DataFrame:
-    """``doc_id, digest, bands``; both null for texts without words."""
+    """``doc_id, digest, bytes, bands``; ``bytes`` is the size of the multiset; null but for the id for texts without words."""
 
     def run(batches):
         for batch in slices(batches, 2048, 2_000_000):
             texts = [t or "" for t in batch["text"].to_pylist()]
             row, shingle, count = multisets(texts)
             keys = band_keys(signatures(row, shingle, count, len(texts), BANDS * ROWS))
-            has = np.bincount(row, minlength=len(texts)) > 0
-            digests = [hashlib.blake2b(t.encode(), digest_size=16).digest() if h else None for t, h in zip(texts, has)]
+            size = np.bincount(row, minlength=len(texts)) * SHINGLE_BYTES
+            has = size > 0
+            digests = [_digest(t) if h else None for t, h in zip(texts, has)]
             bands = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(has * BANDS))).astype(np.int32), pa.array(keys[has].ravel()), mask=pa.array(~has))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(digests, pa.binary()), bands], ["doc_id", "digest", "bands"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(digests, pa.binary()), pa.array(size, pa.int64(), mask=~has), bands], ["doc_id", "digest", "bytes", "bands"])
 
-    return docs.select("doc_id", "text").transform(bounded).mapInArrow(run, "doc_id long, digest binary, bands array<long>")
+    return docs.select("doc_id", "text").transform(bounded).mapInArrow(run, "doc_id long, digest binary, bytes long, bands array<long>")
 
 
-def _contents(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``id, size, data, marks`` of the documents named in ``ids(id)``. ``data`` holds the multiset's shingles in order, then
-    their counts if any is over one; ``marks`` 16 bits of each component of the signature."""
+def _contents(docs: DataFrame, ids: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``rep, t, size, data, marks`` of the documents named in ``ids(doc_id)``, once for each text; ``repeated(doc_id)`` are ids of several
+    rows. ``t`` is a hash of the text's digest; ``data`` holds the multiset's shingles in order, then their counts if any is over one; ``marks``
+    16 bits of each component of the signature."""
 
     def run(batches):
         for batch in slices(batches, 1024, 1_500_000):
@@ -136,13 +149,21 @@ def _contents(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 size.append(at[k + 1] - at[k])
             sig = signatures(row, shingle, count, len(texts), BANDS * ROWS)
             marks = [m.tobytes() for m in (mix(sig.view(np.uint64)) >> np.uint64(48)).astype("<u2")]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(size, pa.int32()), pa.array(data, pa.binary()), pa.array(marks, pa.binary())], ["id", "size", "data", "marks"])
+            digests = pa.array([_digest(t) for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], digests, pa.array(size, pa.int32()), pa.array(data, pa.binary()), pa.array(marks, pa.binary())], ["rep", "digest", "size", "data", "marks"])
+
+    texts = docs.select("doc_id", "text").join(_small(ids), "doc_id", "left_semi")
+    if not repeated.isEmpty():
+        again = _small(repeated.join(ids, "doc_id", "left_semi"))
+        once = texts.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+        texts = texts.join(again, "doc_id", "left_anti").union(once)
+    found = texts.transform(bounded).mapInArrow(run, "rep long, digest binary, size int, data binary, marks binary").where("size > 0")
+    return found.select("rep", F.xxhash64("digest").alias("t"), "size", "data", "marks")
+
 
-    names = ids.select(F.col("id").alias("doc_id"))
-    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        names = F.broadcast(names)
-    texts = docs.select("doc_id", "text").join(names, "doc_id", "left_semi")
-    return texts.transform(bounded).mapInArrow(run, "id long, size int, data binary, marks binary").where("size > 0")
+def _small(ids: DataFrame) -> DataFrame:
+    """``ids``, to be broadcast if they were counted to be few."""
+    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
 
 
 def jaccard(a: tuple[np.ndarray, np.ndarray], others: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -191,7 +212,7 @@ class Bucket:
 
 
 def _links(members: DataFrame, contents: DataFrame, similarity: float) -> DataFrame:
-    """``a, b``: links inside the buckets ``members(key, part, side, rep)``."""
+    """``a, b``: links inside the buckets ``members(key, part, side, rep, t)``."""
 
     def run(batches):
         key, bucket = None, Bucket()
@@ -205,7 +226,7 @@ def _links(members: DataFrame, contents: DataFrame, similarity: float) -> DataFr
             yield _pairs(out)
         yield _pairs(bucket.links(similarity) if len(bucket.ids) > 1 else [])
 
-    rows = members.join(contents.withColumnRenamed("id", "rep"), "rep").repartition("key", "part").sortWithinPartitions("key", "part", "rep")
+    rows = members.join(contents, ["rep", "t"]).repartition("key", "part").sortWithinPartitions("key", "part", "rep", "t")
     return rows.select("key", "part", "side", "rep", "size", "data", "marks").transform(bounded).mapInArrow(run, "a long, b long")
 
 
@@ -216,27 +237,45 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, class_id, kept``: one row per row of ``docs``; ``class_id`` is the smallest id of the class, ``kept`` says that it is the row's own."""
-    signed = Stored(_signed(docs), "signed").df
-    known = signed.where("doc_id is not null and bands is not null")
-    copies = known.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    reps = known.join(copies.select(F.col("rep").alias("doc_id"), F.col("digest").alias("of")), "doc_id").where("digest = of").dropDuplicates(["doc_id"])
-    every = reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("rep"))
-    # Buckets with the same members say the same; one of them is kept. The members are compared by two hashes and their number.
-    mark = [F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y")]
-    buckets = every.groupBy("key").agg(F.count("*").alias("n"), *mark).where("n > 1")
-    single = buckets.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"))
-    members = Stored(every.join(single, "key"), "members")
-    block = F.pmod(F.xxhash64("rep", F.lit(2)), F.col("blocks"))
+    signed = Stored(_signed(docs), "signed")
+    known = signed.df.where("doc_id is not null and digest is not null")
+    # a text's hash tells the texts of one id apart; what hangs on the text alone is the same in all its rows
+    copies = known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.any_value("bytes").alias("bytes"), F.any_value("bands").alias("bands"))
+    every = copies.select(F.explode("bands").alias("key"), "rep", F.xxhash64("digest").alias("t"), "bytes")
+    # Buckets with the same members say the same; one of them is kept. The members are compared by two hashes, their number and size.
+    mark = [F.bit_xor(F.xxhash64("rep", "t")).alias("x"), F.bit_xor(F.xxhash64("rep", "t", F.lit(1))).alias("y")]
+    buckets = every.groupBy("key").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), *mark).where("n > 1")
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES))
+    single = buckets.groupBy("n", "bytes", "x", "y").agg(F.min("key").alias("key")).select("key", F.least("n", blocks).alias("blocks"))
+    members = Stored(every.drop("bytes").join(single, "key"), "members")
+    block = F.pmod(F.xxhash64("rep", "t", F.lit(2)), F.col("blocks"))
     meeting = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct((F.least(k, block) * F.col("blocks") + F.greatest(k, block)).alias("part"), F.when(k == block, 0).otherwise(F.signum(block - k)).cast("int").alias("side")))
-    placed = members.df.select("key", "rep", F.explode(meeting).alias("m")).select("key", "m.part", "m.side", "rep")
-    contents = _contents(docs, members.df.select(F.col("rep").alias("id")).distinct())
-    links = Stored(_links(placed, contents, similarity), "links")
-    groups = components(links.df)
-    members.drop()
-    return _result(signed, copies, groups)
+    placed = members.df.select("key", "rep", "t", F.explode(meeting).alias("m")).select("key", "m.part", "m.side", "rep", "t")
+    t = F.xxhash64("digest")  # of a text without words: a fixed number
+    several = signed.df.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), (F.min(t) < F.max(t)).alias("clash"))
+    repeated = Stored(several.where("n > 1"), "repeated")
+    contents = _contents(docs, members.df.select(F.col("rep").alias("doc_id")).distinct(), repeated.df.select("doc_id"))
+    links = Stored(_links(placed, contents, similarity).union(_same_id(known, repeated.df, copies.select("digest", "rep"))), "links")
+    out = Stored(_result(signed.df, copies, components(links.df)), "classes")
+    for table in (signed, members, repeated, links):
+        table.drop()
+    return out.df
+
+
+def _same_id(known: DataFrame, repeated: DataFrame, copies: DataFrame) -> DataFrame:
+    """``a, b``: links of ids whose rows differ in text with the representatives of these texts."""
+    clash = repeated.where("clash").select("doc_id")
+    if clash.isEmpty():
+        return known.sparkSession.createDataFrame([], "a long, b long")
+    rows = lookup(known.select("doc_id", "digest"), clash, "doc_id", ["digest"]).distinct()
+    return rows.join(copies, "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
 
 def _result(signed: DataFrame, copies: DataFrame, groups: DataFrame) -> DataFrame:
-    of = copies.join(groups.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("rep"))
-    named = signed.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")).join(of, "digest", "left")
-    return named.select("doc_id", F.coalesce("rep", "doc_id").alias("class_id"), F.coalesce(F.coalesce("rep", "doc_id") == F.col("doc_id"), F.lit(False)).alias("kept"))
+    """Rows with a text to go by get the class of the text, the others that of their id, if its other rows have one."""
+    of = copies.join(groups.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("class_id"))
+    worded = F.col("doc_id").isNotNull() & F.col("digest").isNotNull()
+    by_text = signed.where(worded).join(of, "digest").select("doc_id", "class_id")
+    by_id = signed.where(~worded).select("doc_id").join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    rows = by_text.union(by_id.select("doc_id", F.coalesce("component", "doc_id")))
+    return rows.select("doc_id", "class_id", F.coalesce(F.col("class_id") == F.col("doc_id"), F.lit(False)).alias("kept"))

@@ -23,7 +23,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each class of near copies; of rows with one id, one. Rows without an id stay."""
-    found = Stored(bagminhash.classes(docs), "classes").df
+    found = bagminhash.classes(docs)
     gone = found.where("not kept and doc_id is not null").select("doc_id").distinct()
     if gone.limit(bagminhash.BROADCAST_IDS + 1).count() <= bagminhash.BROADCAST_IDS:
         gone = F.broadcast(gone)

@@ -65,9 +65,10 @@ def test_signatures_do_not_depend_on_other_texts():
         assert (sig.view(np.uint64) == alone.view(np.uint64)).all()
 
 
-@pytest.mark.parametrize("block", [1024, 4])
-def test_near_copies(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "size"), [(1024, 32_000_000), (4, 32_000_000), (1024, 10_000)])
+def test_near_copies(spark, monkeypatch, block, size):
     monkeypatch.setattr(bagminhash, "BLOCK", block)
+    monkeypatch.setattr(bagminhash, "BLOCK_BYTES", size)
     rng, rows = random.Random(5), []
     for family in range(6):
         base = invented(rng, 150).split()
@@ -91,6 +92,39 @@ def test_near_copies_of_odd_rows(spark, odd, nothing):
     assert bagminhash.classes(nothing).count() == 0
 
 
+def test_near_copies_of_long_texts(spark, monkeypatch):
+    """Two blocks of a bucket hold few bytes however long its texts are, and texts larger than a block still meet."""
+    rng, held = random.Random(6), []
+    links = bagminhash.Bucket.links
+    monkeypatch.setattr(bagminhash, "BLOCK_BYTES", 400_000)
+    base = invented(rng, 5_000).split()
+    rows = [(k, " ".join([*base[:k], f"x{k}", *base[k + 1 :]]), "en") for k in range(40)]
+    longer = invented(rng, 40_000)
+    rows += [(100, longer, "en"), (101, f"{longer} y", "en"), (102, f"{longer} y z", "en")]
+    got = {r.doc_id: r.class_id for r in bagminhash.classes(table(spark, rows)).collect()}
+    assert got == {**dict.fromkeys(range(40), 0), 100: 100, 101: 100, 102: 100}
+
+    row, shingle, count = bagminhash.multisets([t for _, t, _ in rows])
+    bucket = bagminhash.Bucket()
+    for k in range(2):
+        own = row == k
+        bucket.add(k, 0, int(own.sum()), shingle[own].tobytes() + count[own].astype("<u4").tobytes(), b"\0" * 240)
+        held.append(sum(x.nbytes for x in bucket.sets[k]) / own.sum())
+    assert links(bucket, 0.8) == [(1, 0)] and set(held) == {bagminhash.SHINGLE_BYTES}
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    rng = random.Random(8)
+    a, b, c, d = (invented(rng, 80) for _ in range(4))
+    rows = [(5, a, "en"), (5, b, "en"), (5, b, "en"), (6, f"{b} more", "en"), (3, a, "en"), (7, c, "en"), (7, c, "en"), (8, f"{c} more", "en"), (9, d, "en"), (9, None, "en"), (10, f"{d} more", "en"), (10, "?", "en")]
+    got = [(r.doc_id, r.class_id, r.kept) for r in bagminhash.classes(table(spark, rows)).collect()]
+    want = {5: 3, 6: 3, 3: 3, 7: 7, 8: 7, 9: 9, 10: 9}
+    assert sorted(got) == sorted((i, want[i], want[i] == i) for i, _, _ in rows)
+    many = [(1, invented(rng, 30), "en") for _ in range(300)] + [(2, a, "en")] * 300 + [(4, f"{a} more", "en")]
+    got = {(r.doc_id, r.class_id) for r in bagminhash.classes(table(spark, many)).collect()}
+    assert got == {(1, 1), (2, 2), (4, 2)}
+
+
 def test_components(spark):
     rng = random.Random(9)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100)] + [(200, 201 + k) for k in range(50)] + [(rng.randrange(300, 400), rng.randrange(300, 400)) for _ in range(60)]
