@@ -238,11 +238,15 @@ def _uniform(*parts: Column | str) -> Column:
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(float(16**12))
 
 
-def _prefix(words: int, rows: int = 50_000) -> int:
-    """How many hash digits cut so many words into ranges of about ``rows``; two at least."""
-    digits = 2
-    while words > rows * 16**digits:
-        digits += 1
+#: A range of a draw holds about this many words at most, and a task about as many points; a step chooses among 16**DIGITS ranges.
+RANGE_ROWS, DIGITS = 50_000, 2
+
+
+def _prefix(words: int, rows: int | None = None) -> int:
+    """How many hash digits cut so many words into ranges of at most about ``rows``; DIGITS at least, and a multiple of it."""
+    digits = DIGITS
+    while words > (rows or RANGE_ROWS) * 16**digits:
+        digits += DIGITS
     return digits
 
 
@@ -250,27 +254,43 @@ def _drawn(weights: DataFrame, asked: DataFrame, *keys: str) -> DataFrame:
     """``full, word``: for each row of ``asked(full, keys..., u)`` the word at share ``u`` of the weights of its keys.
 
     The words of a key lie one after another in the order of their hash, each as long as
-    its weight. Running sums are taken within ranges of the hash first and then over the
-    ranges, so a key with the whole vocabulary is no single task. A point is brought to
-    its range by the range totals, and to its word by one sort per range: no point meets
-    more words than that.
+    its weight. A point goes down the digits of the hash, a few at a time: each step
+    chooses among the 16**DIGITS ranges below the one reached, by their running totals, so
+    neither a key with the whole vocabulary nor a point ever meets more than that. In the
+    last range points and words are put in one order. A range with many points, such as
+    that of a word with a third of all weight, has them dealt over salts, its words
+    repeated once per salt: no more rows than there are points.
     """
+    weights = materialize(weights.withColumn("hash", F.md5("word")), "draw-weights")
     digits = _prefix(weights.count())
-    rows = weights.withColumn("hash", F.md5("word")).withColumn("range", F.substring("hash", 1, digits))
-    sums = rows.groupBy(*keys, "range").agg(F.sum("w").alias("w"))
-    before = F.sum("w").over(Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("w")
-    ranges = sums.withColumn("begin", before).groupBy(*keys).agg(
-        F.sum("w").alias("all"), F.sort_array(F.collect_list(F.struct("begin", "range"))).alias("ranges")
-    )
-    at = F.col("u") * F.col("all")
-    placed = asked.join(ranges, [*keys]).withColumn(
-        "r", F.element_at(F.filter("ranges", lambda r: r["begin"] <= at), -1)
-    )
-    points = placed.select("full", *keys, F.col("r.range").alias("range"), (at - F.col("r.begin")).alias("at"), F.lit(None).cast("string").alias("word"))
+    points = asked.select("full", *keys, "u", F.lit("").alias("range"), F.lit(0.0).alias("at"))
+    for d in range(DIGITS, digits + 1, DIGITS):
+        steps = materialize(_ranges(weights, d, *keys), "draw-ranges")
+        met = lookup(points, steps, [*keys, "range"], ["full"])
+        at = F.col("u") * F.col("all") if d == DIGITS else F.col("at")
+        met = met.withColumn("at", at).withColumn("r", F.element_at(F.filter("ranges", lambda r: r["begin"] <= F.col("at")), -1))
+        points = met.select("full", *keys, "u", F.col("r.range").alias("range"), (F.col("at") - F.col("r.begin")).alias("at"))
+    points = materialize(points.drop("u"), "draw-points")
+    many = points.groupBy(*keys, "range").agg(F.ceil(F.count("*") / RANGE_ROWS).cast("int").alias("parts")).where("parts > 1")
+    many = materialize(many, "draw-salts")  # fewer than one for each RANGE_ROWS points
+    parts = F.coalesce("parts", F.lit(1))
+    points = lookup(points, many, [*keys, "range"], ["full"], "left").withColumn("salt", F.pmod(F.xxhash64("full"), parts).cast("int")).drop("parts")
+    rows = weights.select(*keys, F.substring("hash", 1, digits).alias("range"), "hash", "word", "w")
     inside = Window.partitionBy(*keys, "range").orderBy("hash", "word").rowsBetween(Window.unboundedPreceding, 0)
-    begins = rows.select(F.lit(None).cast("string").alias("full"), *keys, "range", (F.sum("w").over(inside) - F.col("w")).alias("at"), "word")
-    last = F.last("word", True).over(Window.partitionBy(*keys, "range").orderBy("at", F.col("full").isNotNull()))
-    return points.unionByName(begins).withColumn("word", last).where("full is not null").select("full", "word")
+    begins = rows.withColumn("at", F.sum("w").over(inside) - F.col("w")).drop("hash", "w")
+    begins = lookup(begins, many, [*keys, "range"], ["word"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    both = points.withColumn("word", F.lit(None).cast("string")).unionByName(begins.withColumn("full", F.lit(None).cast("string")))
+    last = F.last("word", True).over(Window.partitionBy(*keys, "range", "salt").orderBy("at", F.col("full").isNotNull()))
+    return both.withColumn("word", last).where("full is not null").select("full", "word")
+
+
+def _ranges(weights: DataFrame, digits: int, *keys: str) -> DataFrame:
+    """``keys..., range, all, ranges``: for each hash prefix shorter by DIGITS the prefixes of ``digits`` digits in it, with the weight in front of them."""
+    sums = weights.groupBy(*keys, F.substring("hash", 1, digits).alias("child")).agg(F.sum("w").alias("w"))
+    sums = sums.withColumn("range", F.substring("child", 1, digits - DIGITS))
+    upto = F.sum("w").over(Window.partitionBy(*keys, "range").orderBy("child").rowsBetween(Window.unboundedPreceding, 0))
+    listed = F.sort_array(F.collect_list(F.struct("begin", F.col("child").alias("range"))))
+    return sums.withColumn("begin", upto - F.col("w")).groupBy(*keys, "range").agg(F.sum("w").alias("all"), listed.alias("ranges"))
 
 
 def sample_next(model: NgramModel, contexts: DataFrame, seed: int = 42) -> DataFrame:

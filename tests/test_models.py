@@ -1,3 +1,4 @@
+import hashlib
 import math
 from collections import Counter, defaultdict
 
@@ -155,6 +156,27 @@ def test_next_word_sampling_follows_the_distribution(spark):
     assert [r[0] for r in padded.collect()] == ["<s> x", "y z"]
 
 
+@pytest.mark.parametrize("rows", [50_000, 100, 1])
+def test_draw_descends_ranges(spark, monkeypatch, rows):
+    """The same words however many steps, ranges and salts there are, also where one word has most of the weight."""
+    monkeypatch.setattr(ngram_lm, "RANGE_ROWS", rows)
+    weights = [(k, f"w{i}", 4000.0 if i == 7 else 1.0 + i % 3) for k in (1, 2) for i in range(300 * k)]
+    asked = [(f"c{k}-{j}", k, (j + 0.5) / 400) for k in (1, 2) for j in range(400)]
+    got = ngram_lm._drawn(spark.createDataFrame(weights, "n int, word string, w double"), spark.createDataFrame(asked, "full string, n int, u double"), "n")
+    want = {}
+    for full, k, u in asked:
+        own = sorted((hashlib.md5(w.encode()).hexdigest(), w, x) for n, w, x in weights if n == k)
+        at = u * sum(x for *_, x in own)
+        for _, w, x in own:
+            if at < x:
+                break
+            at -= x
+        want[full] = w
+    out = got.collect()
+    assert len(out) == len(asked) and {r["full"]: r["word"] for r in out} == want
+    assert ngram_lm._prefix(300, 1) == 4 and ngram_lm._prefix(3 * 10**9, 50_000) == 4 and ngram_lm._prefix(10, 50_000) == 2
+
+
 def test_lm_classifier(spark):
     rows = [(0, "fake", ["x", "y"]), (1, "fake", ["x", "y", "x"]), (2, "real", ["p", "q"]), (3, "real", ["p", "q", "p"])]
     docs = spark.createDataFrame(rows, "id int, label string, tokens array<string>")
