@@ -10,7 +10,8 @@ common in the tree can't change any more and is emitted; what is kept is the las
 States are made when they are first met and kept up to a bound, so a known transition is one look-up per byte.
 
 Words (pieces of the tokenizer's own pattern) are encoded one by one, with a bounded memo of short words in front of the
-transducer. Memory does not grow with the text or with the number of documents.
+transducer. The transducer's memory does not grow with the text or with the number of documents; a row's text and its ids are held
+whole while it is worked on.
 
 Null text counts as empty; empty text gives no tokens and the digests of nothing. Repeated rows give repeated rows. Only
 ``doc_id`` and ``text`` are read, so other columns cannot clash. A row's result depends on its text alone.

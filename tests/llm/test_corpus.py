@@ -292,6 +292,38 @@ def plain_leaks(docs, items):
     return out
 
 
+@pytest.mark.parametrize("bins", [512, 4])
+def test_shards_are_leaves_of_the_plain_tree(spark, monkeypatch, bins):
+    """Recursive splits of sorted lists give the same shards, with repeated texts and one that holds a third of the rows."""
+    monkeypatch.setattr(kdshards, "BINS", bins)
+    monkeypatch.setattr(kdshards, "TOLERANCE", 0.0)
+    rng = random.Random(21)
+    texts = [invented(rng, rng.choice([3, 30, 200])) + "\n" * rng.randint(0, 5) + "\u00e9" * rng.randint(0, 9) for _ in range(50)]
+    docs = table(spark, [(i, texts[0] if i % 3 == 0 else None if i % 41 == 0 else rng.choice(texts), "en") for i in range(300)])
+    meta = kdshards.metadata(docs)
+    rows = [r.asDict() for r in meta.collect()]
+    assert all(0 <= r[c] <= 1 for r in rows for c in kdshards.DIMENSIONS)
+    scale = {c: np.std([r[c] for r in rows]) or 1.0 for c in kdshards.DIMENSIONS}
+    want = {}
+
+    def split(part, first, n):
+        if n == 1 or not part:
+            want.update({r["doc_id"]: first for r in part})
+            return
+        widest = max(kdshards.DIMENSIONS, key=lambda c: round(np.std([r[c] for r in part]) / scale[c], 9))
+        part = sorted(part, key=lambda r: (r[widest], r["h"], r["i"]))
+        goal, sums, k = sum(r["size"] for r in part) * (n // 2) / n, 0, 0
+        while sums + part[k]["size"] < goal:
+            sums, k = sums + part[k]["size"], k + 1
+        if goal - sums > sums + part[k]["size"] - goal:
+            k += 1
+        split(part[:k], first, n // 2)
+        split(part[k:], first + n // 2, n - n // 2)
+
+    split(rows, 0, 7)
+    assert {r.doc_id: r.node for r in kdshards.leaves(meta, 7).collect()} == want
+
+
 def test_decontamination(spark, odd, nothing, monkeypatch):
     rng = random.Random(13)
     items = [(k, ". ".join(invented(rng, rng.randint(6, 20)) for _ in range(rng.randint(1, 3))) + ".") for k in range(60)]
