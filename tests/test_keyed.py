@@ -29,6 +29,17 @@ def test_split_join_equals_join(spark, how):
     assert two.count() == sum(want.values())
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_keys_and_columns_may_be_called_n_or_parts(spark, how):
+    """A language model's key is its order, ``n``; the tables of a draw have a column ``parts``."""
+    left = spark.createDataFrame([(i, 1 + i % 2, "hot" if i % 3 else None) for i in range(900)], "id int, n int, k string")
+    right = spark.createDataFrame([(1, "hot", 7), (2, "hot", 8), (2, "cold", 9)], "n int, k string, parts int")
+    want = Counter(map(tuple, left.join(right, ["n", "k"], how).select("n", "k", "id", "parts").collect()))
+    for least in (10, 100_000):
+        got = keyed.split_join(left, right, ["n", "k"], ["id"], how, pieces=16, least=least)
+        assert got.columns == ["n", "k", "id", "parts"] and Counter(map(tuple, got.collect())) == want
+
+
 def test_no_task_holds_a_hot_key(spark):
     """A term in every document: what one task joins stays near its share."""
     rows = spark.range(60_000).select("id", F.explode(F.array(F.lit("the"), F.concat(F.lit("t"), (F.col("id") % 997).cast("string")))).alias("term"))
