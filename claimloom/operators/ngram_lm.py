@@ -45,10 +45,20 @@ def explode_ngrams(docs: DataFrame, n: int, *keep: str, tokens: str = "tokens",
 
 
 def ngram_counts(docs: DataFrame, n: int, *by: str, tokens: str = "tokens") -> DataFrame:
-    """``by..., n, context, word, cnt`` with map-side partial counts."""
-    return explode_ngrams(docs, n, *by, tokens=tokens).groupBy(*by, "n", "context", "word").agg(
-        F.count("*").alias("cnt")
-    )
+    """``by..., n, context, word, cnt`` with map-side partial counts.
+
+    With padding every position ends one n-gram of each order, and the shorter ones are
+    its last words. So only the longest are unfolded and counted from the texts; these
+    counts are stored, and the shorter orders are sums of them. Tokens hold no blank.
+    """
+    counted = explode_ngrams(docs, n, *by, tokens=tokens, orders=[n]).groupBy(*by, "context", "word").agg(F.count("*").alias("cnt"))
+    longest = materialize(counted, "lm-longest") if n > 1 else counted
+    out = longest.select(*by, F.lit(n).alias("n"), "context", "word", "cnt")
+    for k in range(n - 1, 0, -1):
+        last = F.substring_index("context", " ", 1 - k) if k > 1 else F.lit("")
+        sums = longest.groupBy(*by, last.alias("context"), "word").agg(F.sum("cnt").alias("cnt"))
+        out = out.unionByName(sums.select(*by, F.lit(k).alias("n"), "context", "word", "cnt"))
+    return out
 
 
 def context_counts(counts: DataFrame, *by: str) -> DataFrame:
