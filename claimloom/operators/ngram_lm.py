@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions.tokens import ngrams
 from claimloom.operators.keyed import lookup
-from claimloom.session import materialize
+from claimloom.session import broadcast_if_small, materialize
 
 FLOOR = 1e-10  # probability used where the model gives none
 
@@ -37,6 +37,16 @@ class NgramModel:
         words = materialize(continuation_shares(counts, *self.by), "lm-words")
         return replace(self, counts=counts, contexts=contexts, words=words)
 
+    def after(self, asked: DataFrame) -> NgramModel:
+        """The model, stored, with counts and contexts of only the suffixes of ``asked(context)``, and of the empty one: the same answers
+        about these. Shares of words are those of the whole model. Only what the asked contexts hold is grouped by context and written."""
+        counts = materialize(self.counts, "lm-counts")
+        words = materialize(continuation_shares(counts, *self.by), "lm-words")
+        suffixes = asked.select(F.inline(suffix_orders(F.col("context"), self.n))).distinct()
+        suffixes = materialize(suffixes.unionByName(suffixes.sparkSession.createDataFrame([(1, "")], "n int, context string")), "lm-asked")
+        own = materialize(counts.join(broadcast_if_small(suffixes), ["n", "context"], "left_semi").select(*counts.columns), "lm-asked-counts")
+        return replace(self, counts=own, contexts=materialize(context_counts(own, *self.by), "lm-contexts"), words=words)
+
 
 def explode_ngrams(docs: DataFrame, n: int, *keep: str, tokens: str = "tokens", orders: Sequence[int] | None = None):
     """``keep..., n, context, word`` for every order: a narrow generator."""
