@@ -14,16 +14,17 @@ BLOCK = 1024
 
 
 def blocks(table: DataFrame, key: str, vector: str, rows: int = BLOCK) -> DataFrame:
-    """``block, keys, vectors``: the rows of ``table`` in blocks of about ``rows``, by a hash of the key; vectors that are null, or not finite, or zero are left out."""
+    """``block, keys, vectors, norms``: the rows of ``table`` in blocks of about ``rows``, by a hash of the key; vectors that are null, or not finite, or zero are left out."""
     n = max(1, -(-table.count() // rows))
     values = F.col(vector).cast("array<double>")
     bad = F.exists(values, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     norm = F.sqrt(F.aggregate(values, F.lit(0.0), lambda a, x: a + x * x))
     usable = table.where(F.col(vector).isNotNull() & F.col(key).isNotNull()).where(~bad).withColumn("_n", norm).where("_n > 0")
-    unit = F.transform(values, lambda x: x / F.col("_n"))
-    rows_of = usable.select(F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias("block"), F.struct(F.col(key).alias("key"), unit.alias("v")).alias("row"))
+    # the norm goes beside the vector: inside a lambda it would be computed again for every component
+    row = F.struct(F.col(key).alias("key"), values.alias("v"), F.col("_n").alias("n"))
+    rows_of = usable.select(F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias("block"), row.alias("row"))
     gathered = rows_of.groupBy("block").agg(F.collect_list("row").alias("rows"))
-    return gathered.select("block", F.col("rows.key").alias("keys"), F.col("rows.v").alias("vectors"))
+    return gathered.select("block", F.col("rows.key").alias("keys"), F.col("rows.v").alias("vectors"), F.col("rows.n").alias("norms"))
 
 
 def neighbours(table: DataFrame, queries: DataFrame, key: str, vector: str, k: int = 10, block: int = BLOCK) -> DataFrame:
@@ -34,17 +35,18 @@ def neighbours(table: DataFrame, queries: DataFrame, key: str, vector: str, k: i
     smaller key.
     """
     kind = table.schema[key].dataType.simpleString()
-    asked = blocks(queries, key, vector, block).select(F.col("block").alias("asked"), F.col("keys").alias("qkeys"), F.col("vectors").alias("qvectors"))
+    asked = blocks(queries, key, vector, block).select(F.col("block").alias("asked"), F.col("keys").alias("qkeys"), F.col("vectors").alias("qvectors"), F.col("norms").alias("qnorms"))
     parts = max(1, -(-queries.count() // block))
     known = blocks(table, key, vector, block).withColumn("asked", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    pairs = known.join(asked, "asked").select("keys", "vectors", "qkeys", "qvectors")
+    pairs = known.join(asked, "asked").select("keys", "vectors", "norms", "qkeys", "qvectors", "qnorms")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 keys, vectors, qkeys, qvectors = (batch[c][row] for c in ("keys", "vectors", "qkeys", "qvectors"))
                 names, asks = keys.values, qkeys.values
-                a, b = (np.array(v.values.flatten().to_numpy()).reshape(len(v), -1) for v in (qvectors, vectors))
+                qnorms, norms = (batch[c][row].values.to_numpy()[:, None] for c in ("qnorms", "norms"))
+                a, b = (v.values.flatten().to_numpy().reshape(len(v), -1) / n for v, n in ((qvectors, qnorms), (vectors, norms)))
                 score = np.round(a @ b.T, 9)
                 same = {x: i for i, x in enumerate(names.to_pylist())}
                 own = [(q, same[x]) for q, x in enumerate(asks.to_pylist()) if x in same]
