@@ -5,16 +5,17 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimloom.functions.clean import clean
+from claimloom.functions.tokens import drop_short
 from claimloom.operators import evaluate, features, linear
 from claimloom.operators.sampling import with_split
-from claimloom.plans.preprocess import Preprocessing
-from claimloom.plans.scoring import CLASSES, prepared, vector_table
+from claimloom.plans.preprocess import Preprocessing, analyzer_terms, fit_counts, split_counts
+from claimloom.plans.scoring import CLASSES, vector_table
 from claimloom.session import materialize
 
 RUN_SCHEMA = (
@@ -47,13 +48,30 @@ def run_config(docs: DataFrame, key: str, config: Config, label: str = "label",
 
     The vocabulary is fitted on the training rows; ``fit_on="all"`` fits it on all.
     """
-    return run_terms(config_terms(docs, key, config.options, label), key, config, label, fit_on)
+    return run_terms(config_terms(split_texts(docs, key, label), key, config.options, label), key, config, label, fit_on)
 
 
-def config_terms(docs: DataFrame, key: str, options: Preprocessing, label: str = "label") -> DataFrame:
-    """The stored ``terms`` of one way of preprocessing, with the split."""
-    terms, _ = prepared(docs, key, options, (label,))
-    return materialize(with_split(terms, key), "ablation-terms")
+def split_texts(docs: DataFrame, key: str, label: str = "label") -> DataFrame:
+    """``key, label, tokens``: the tokens of the cleaned texts, counted and stored for every way of preprocessing."""
+    text = F.col("cleaned_text") if "cleaned_text" in docs.columns else clean(F.col("text"))
+    cleaned = materialize(docs.select(key, label, text.alias("cleaned_text")), "ablation-texts")
+    return materialize(split_counts(cleaned).select(key, label, "tokens"), "ablation-tokens")
+
+
+def config_terms(
+    split: DataFrame, key: str, options: Preprocessing, label: str = "label", fitted: dict[Preprocessing, DataFrame] | None = None
+) -> DataFrame:
+    """The stored ``terms`` of one way of preprocessing, counted, with the split.
+
+    ``fitted`` keeps tokens with lemmas for ways that differ by the minimum length alone.
+    """
+    fitted = {} if fitted is None else fitted
+    any_length = replace(options, min_len=0)
+    if any_length not in fitted:
+        tokens = fit_counts(split, key, any_length)
+        fitted[any_length] = materialize(tokens, "ablation-lemmas") if options.lemma and not options.stem else tokens
+    tokens = fitted[any_length].withColumn("tokens", drop_short(F.col("tokens"), options.min_len, counted=True))
+    return materialize(with_split(analyzer_terms(tokens).select(key, label, "terms"), key), "ablation-terms")
 
 
 def run_terms(terms: DataFrame, key: str, config: Config, label: str = "label", fit_on: str = "train") -> DataFrame:
@@ -86,15 +104,16 @@ def score_vectors(model, vectors: DataFrame, *keep: str) -> DataFrame:
 def ablation(docs: DataFrame, key: str, configs: Sequence[Config] = CONFIGS, fit_on: str = "train") -> DataFrame:
     """One row per configuration, in the shape of the run log. Each fit is its own distributed job.
 
-    Texts are cleaned once, and configurations that preprocess alike share their terms.
+    Texts are cleaned and split once, and configurations that preprocess alike share their terms.
     """
-    cleaned = materialize(docs.select(key, "label", clean(F.col("text")).alias("cleaned_text")), "ablation-texts")
+    split = split_texts(docs, key)
     stored: dict[Preprocessing, DataFrame] = {}
+    fitted: dict[Preprocessing, DataFrame] = {}
     out = None
     for config in configs:
         started = time.monotonic()
         if config.options not in stored:
-            stored[config.options] = config_terms(cleaned, key, config.options)
+            stored[config.options] = config_terms(split, key, config.options, fitted=fitted)
         row = run_terms(stored[config.options], key, config, fit_on=fit_on)
         params = {
             **config.options.params(), "max_features": str(config.max_features), "test_size": "0.2", "model": "lr-l2",

@@ -190,3 +190,13 @@ def test_ablation_row(spark, claims):
     rows = runs.collect()
     assert len(rows) == 2 and all(0 <= r["metrics"]["accuracy"] <= 1 and r["metrics"]["training_time_seconds"] > 0 for r in rows)
     assert rows[0]["params"]["stem"] == "True"
+
+
+def test_ablation_splits_texts_once(spark, claims, monkeypatch):
+    from claimloom.functions import tokens
+
+    calls, split = [], tokens.treebank_tokens
+    monkeypatch.setattr(tokens, "treebank_tokens", lambda text: calls.append(1) or split(text))
+    more = claims.unionByName(claims.withColumn("id", F.col("id") + 100))
+    assert experiments.ablation(more, "id", (experiments.CONFIGS[0], experiments.CONFIGS[6])).count() == 2
+    assert len(calls) == 1

@@ -4,7 +4,10 @@ from pyspark.sql import functions as F
 from claimloom.functions import clean, stopwords, tokens
 from claimloom.functions.stem import porter, stem_tokens
 from claimloom.operators import lexicon
-from claimloom.plans.preprocess import Preprocessing, fit_tokens, normalize_tokens, preprocess_requests, preprocess_tokens
+from claimloom.plans.preprocess import (
+    Preprocessing, analyzer_terms, fit_counts, fit_tokens, normalize_tokens, preprocess_requests, preprocess_tokens, split_counts,
+)
+from claimloom.session import materialize
 
 
 def one(spark, text, expr):
@@ -120,6 +123,25 @@ def test_preprocess_variants(spark):
     assert {r[0] for r in words.collect()} == {"cats", "cat", "running"}
 
 
+def test_counted_tokens_give_the_same_terms(spark):
+    texts = [
+        "don't state-running cats' cats-cat x a.b.cc boxes box 3,000 $5.50 foo/bar_baz women woman cannot", "", None, "the a . !!",
+        "\u03b1\u03b2\u03b3-\u00e9t\u00e9s 12\u00b2 the-news news cats dogs dog dog", "running runs run ran women's",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, cleaned_text string")
+    split = materialize(split_counts(docs), "test-split")
+    ways = [Preprocessing(), Preprocessing("standard"), Preprocessing("domain", stem=True, min_len=3), Preprocessing("standard", lemma=True, min_len=4)]
+    for way in ways:
+        counted = fit_counts(split, "id", way)
+        counted = counted.withColumn("tokens", tokens.drop_short(F.col("tokens"), way.min_len, counted=True))
+        got = {r["id"]: r["terms"] for r in analyzer_terms(counted).collect()}
+        plain = analyzer_terms(fit_tokens(docs, "id", way)[0])
+        assert got == {r["id"]: r["t"] for r in plain.select("id", tokens.term_counts(F.col("terms")).alias("t")).collect()}
+    again = analyzer_terms(split).select("id", tokens.repeated_terms(F.col("terms")).alias("t")).collect()
+    plain = analyzer_terms(fit_tokens(docs, "id", Preprocessing())[0]).select("id", F.sort_array("terms").alias("t")).collect()
+    assert {r["id"]: r["t"] for r in again} == {r["id"]: r["t"] for r in plain}
+
+
 def test_normalize_and_request_flags(spark):
     docs = spark.createDataFrame([(1, ["Breaking", "not", "cats", "cat"])], "id int, tokens array<string>")
     assert normalize_tokens(docs, "id", "tokens").first()["tokens"] == ["not", "cat", "cat"]
