@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from claimloom.functions.clean import clean
 from claimloom.functions.tokens import drop_short
 from claimloom.operators import evaluate, features, linear
-from claimloom.operators.sampling import with_split
+from claimloom.operators.sampling import encode_labels, with_split
 from claimloom.plans.preprocess import Preprocessing, analyzer_terms, fit_counts, split_counts
 from claimloom.plans.scoring import CLASSES, vector_table
-from claimloom.session import materialize
+from claimloom.session import BROADCAST_ROWS, broadcast_bounded, materialize
 
 RUN_SCHEMA = (
     "run_id string, parent_run_id string, run_name string, params map<string,string>, metrics map<string,double>, "
@@ -74,12 +74,59 @@ def config_terms(
     return materialize(with_split(analyzer_terms(tokens).select(key, label, "terms"), key), "ablation-terms")
 
 
+def token_terms(words: DataFrame, options: Preprocessing) -> DataFrame:
+    """``token, fit_tf, term, tf``: the terms that each distinct token of a corpus gives in one way of preprocessing, stored.
+
+    The chain runs over ``words`` (``token, fit_tf``) as texts of one token. Lemmas are looked for among them, as in the corpus.
+    """
+    alone = words.withColumn("tokens", F.array(F.struct(F.col("token").alias("term"), F.lit(1).cast("long").alias("tf"))))
+    tokens = fit_counts(alone, "token", options)
+    tokens = tokens.withColumn("tokens", drop_short(F.col("tokens"), options.min_len, counted=True))
+    return materialize(analyzer_terms(tokens).select("token", "fit_tf", F.inline("terms")), "ablation-token-terms")
+
+
+def config_counts(
+    split: DataFrame, key: str, configs: Sequence[Config], label: str = "label", fit_on: str = "train", most: int = BROADCAST_ROWS
+) -> tuple[DataFrame | None, list[DataFrame]]:
+    """``label, is_test, vectors``: the count vectors of every configuration, stored, and the vocabularies that they are over.
+
+    A way of preprocessing is worked out on the distinct tokens of the corpus, not on its texts. Of these only those that give a
+    term of a vocabulary are sent to the documents; if a configuration has more than ``most``, there are no vectors (None).
+    """
+    rows = with_split(split, key)
+    fit_tf = F.col("tf") if fit_on == "all" else F.when(~F.col("is_test"), F.col("tf"))
+    words = features.doc_terms(rows, "is_test", terms="tokens").groupBy(F.col("term").alias("token")).agg(F.sum(fit_tf).alias("fit_tf"))
+    words = materialize(words, "ablation-words")
+    stored: dict[Preprocessing, DataFrame] = {}
+    vocabularies, sizes, sent = [], [], None
+    for i, config in enumerate(configs):
+        if config.options not in stored:
+            stored[config.options] = token_terms(words, config.options)
+        terms = stored[config.options]
+        vocabulary = materialize(features.top_terms(terms, config.max_features), "vocabulary")
+        ids = terms.select("token", "term", F.col("tf").alias("times"))
+        ids = ids.join(broadcast_bounded(vocabulary.select("term", "term_id"), config.max_features), "term")
+        ids = materialize(ids.select(F.lit(i).alias("of"), "token", "term_id", F.col("times").alias("tf")), "ablation-token-ids")
+        if ids.count() > most:
+            return None, []
+        vocabularies.append(vocabulary)
+        sizes.append(vocabulary.count())
+        sent = ids if sent is None else sent.unionByName(ids)
+    vectors = features.count_vectors(sent.toArrow(), sizes, split.sparkSession)
+    return materialize(rows.select(label, "is_test", vectors(F.col("tokens")).alias("vectors")), "ablation-counts"), vocabularies
+
+
 def run_terms(terms: DataFrame, key: str, config: Config, label: str = "label", fit_on: str = "train") -> DataFrame:
     """The same from stored terms."""
     fit_rows = terms if fit_on == "all" else terms.where(~F.col("is_test"))
     term_model = features.fit_terms(fit_rows, config.max_features).materialized()
     vectors, _ = vector_table(terms, term_model, label)
-    vectors = vectors.select(key, label, "is_test", "features", "target").persist()
+    return run_vectors(vectors, config, label)
+
+
+def run_vectors(vectors: DataFrame, config: Config, label: str = "label") -> DataFrame:
+    """The same from ``features, target``."""
+    vectors = vectors.select(label, "is_test", "features", "target").persist()
     train = vectors.where(~F.col("is_test"))
     model = linear.train_variants(train, variants=("l2",))["l2"]
     scored = score_vectors(model, vectors.where("is_test"), label)
@@ -104,17 +151,28 @@ def score_vectors(model, vectors: DataFrame, *keep: str) -> DataFrame:
 def ablation(docs: DataFrame, key: str, configs: Sequence[Config] = CONFIGS, fit_on: str = "train") -> DataFrame:
     """One row per configuration, in the shape of the run log. Each fit is its own distributed job.
 
-    Texts are cleaned and split once, and configurations that preprocess alike share their terms.
+    Texts are cleaned and split once. Where few tokens give a term of a vocabulary, one pass over the documents counts for
+    all configurations; where they are too many to be sent to every task, each configuration goes over the counted tokens.
+    The time of what is shared after splitting is dealt evenly.
     """
     split = split_texts(docs, key)
     stored: dict[Preprocessing, DataFrame] = {}
     fitted: dict[Preprocessing, DataFrame] = {}
+    began = time.monotonic()
+    counts, vocabularies = config_counts(split, key, configs, fit_on=fit_on)
+    shared = (time.monotonic() - began) / len(configs)
     out = None
-    for config in configs:
-        started = time.monotonic()
-        if config.options not in stored:
-            stored[config.options] = config_terms(split, key, config.options, fitted=fitted)
-        row = run_terms(stored[config.options], key, config, fit_on=fit_on)
+    for i, config in enumerate(configs):
+        started = time.monotonic() - shared
+        if counts is None:
+            if config.options not in stored:
+                stored[config.options] = config_terms(split, key, config.options, fitted=fitted)
+            row = run_terms(stored[config.options], key, config, fit_on=fit_on)
+        else:
+            mine = counts.select("label", "is_test", F.col(f"vectors.v{i}").alias("_counts"))
+            fit_rows = mine if fit_on == "all" else mine.where(~F.col("is_test"))
+            model = features.fit_vectors(vocabularies[i], fit_rows, config.max_features).materialized()
+            row = run_vectors(encode_labels(model.weigher().transform(mine), "label", CLASSES, "target"), config)
         params = {
             **config.options.params(), "max_features": str(config.max_features), "test_size": "0.2", "model": "lr-l2",
         }

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from claimloom.operators import audit, linear, validate
+from claimloom.operators import audit, features, linear, validate
 from claimloom.plans import experiments, scoring
 from claimloom.plans.preprocess import Preprocessing
 from claimloom.session import fresh_path, materialize
@@ -200,3 +200,29 @@ def test_ablation_splits_texts_once(spark, claims, monkeypatch):
     more = claims.unionByName(claims.withColumn("id", F.col("id") + 100))
     assert experiments.ablation(more, "id", (experiments.CONFIGS[0], experiments.CONFIGS[6])).count() == 2
     assert len(calls) == 1
+
+
+def test_ablation_counts_in_one_pass(spark, claims, monkeypatch):
+    rows = claims.select("id", "label", F.concat("text", F.lit(" The cats' boxes, cats-cat and foxes ran 3,000 miles.")).alias("text"))
+    more = rows.unionByName(rows.withColumn("id", F.col("id") + 100)).unionByName(rows.limit(2)).unionByName(rows.limit(1).withColumn("id", F.lit(None)))
+    split = experiments.split_texts(more, "id")
+    counts, vocabularies = experiments.config_counts(split, "id", experiments.CONFIGS)
+    assert counts.count() == more.count()
+    found = lambda v: sorted((int(i), float(x)) for i, x in zip(v.indices, v.values))
+    for i, config in enumerate(experiments.CONFIGS):
+        terms = experiments.config_terms(split, "id", config.options)
+        model = features.fit_terms(terms.where(~F.col("is_test")), config.max_features).materialized()
+        plain, _ = scoring.vector_table(terms, model, "label")
+        mine = counts.select("label", "is_test", F.col(f"vectors.v{i}").alias("_counts"))
+        fitted = features.fit_vectors(vocabularies[i], mine.where(~F.col("is_test")), config.max_features)
+        columns = ["term", "term_id", "tf", "df", "idf"]
+        assert [tuple(r) for r in fitted.vocabulary.orderBy("term").select(*columns).collect()] == [
+            tuple(r) for r in model.vocabulary.orderBy("term").select(*columns).collect()
+        ]
+        got = sorted(found(r["features"]) for r in fitted.weigher().transform(mine).collect())
+        assert got == sorted(found(r["features"]) for r in plain.collect())
+    assert experiments.config_counts(split, "id", experiments.CONFIGS[:1], most=3)[0] is None
+    metrics = lambda: [{k: v for k, v in r["metrics"].items() if k != "training_time_seconds"} for r in experiments.ablation(more.where("id > 1"), "id", experiments.CONFIGS[3:6]).collect()]
+    one_pass = metrics()
+    monkeypatch.setattr(experiments, "config_counts", lambda *a, **b: (None, []))
+    assert [{k: pytest.approx(v, abs=1e-6) for k, v in r.items()} for r in metrics()] == one_pass

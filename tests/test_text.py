@@ -123,6 +123,19 @@ def test_preprocess_variants(spark):
     assert {r[0] for r in words.collect()} == {"cats", "cat", "running"}
 
 
+def test_treebank_rules_are_skipped_only_where_they_find_nothing(spark, monkeypatch):
+    assert set(tokens.TREEBANK_MARKS) < {p for p, _ in tokens.TREEBANK}
+    texts = [
+        "Don't CANNOT cannot d'ye D'YE gimme LEMME gonna wanna Gotta more'n MORE'N 'tis a 'TWAS b 'tis c", "we'll they've I'd it's CAN'T N'T can't. rock 'n' roll",
+        "\"Hello,\" she said. ``q'' ''z ... -- \u00aba\u00bb \u201cb\u201d \u2018c\u2019 \u201ed\u201d `e` (\"x\" ['' y", "isn't\ncan't\t DON'T ", "plain words, no marks", "", None,
+    ]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    out = lambda: [list(r[0]) for r in docs.select(tokens.treebank_tokens(F.col("text"))).collect()]
+    guarded = out()
+    monkeypatch.setattr(tokens, "TREEBANK_MARKS", {})
+    assert out() == guarded
+
+
 def test_counted_tokens_give_the_same_terms(spark):
     texts = [
         "don't state-running cats' cats-cat x a.b.cc boxes box 3,000 $5.50 foo/bar_baz women woman cannot", "", None, "the a . !!",
