@@ -90,9 +90,13 @@ def lm_vocabulary(docs: DataFrame, n: int, tokens: str = "tokens") -> DataFrame:
 
 def continuation_shares(counts: DataFrame, *by: str) -> DataFrame:
     """``by..., n, word, p_cont``; the totals are a handful of rows from the already aggregated words."""
-    words = continuation_counts(counts, *by)
+    return shares(continuation_counts(counts, *by), *by)
+
+
+def shares(words: DataFrame, *by: str) -> DataFrame:
+    """``by..., n, word, p_cont`` from ``words(by..., n, word, continuations)``."""
     totals = words.groupBy(*by, "n").agg(F.sum("continuations").alias("all"))
-    return words.join(totals, [*by, "n"]).select(*by, "n", "word", (F.col("continuations") / F.col("all")).alias("p_cont"))
+    return words.join(F.broadcast(totals), [*by, "n"]).select(*by, "n", "word", (F.col("continuations") / F.col("all")).alias("p_cont"))
 
 
 def fit(docs: DataFrame, n: int = 3, discount: float = 0.75, by: Sequence[str] = (), tokens: str = "tokens") -> NgramModel:
@@ -147,7 +151,8 @@ def probabilities(model: NgramModel, grams: DataFrame) -> DataFrame:
         .join(levels, [*by, "full"])
         .join(model.counts, [*by, "n", "context", "word"], "left")
     )
-    # a frequent word follows many contexts
+    # stored, as it is read twice; a frequent word follows many contexts
+    scored = materialize(scored, "lm-scored")
     scored = lookup(scored, model.words, [*by, "n", "word"], ["full"], "left")
     d = F.lit(model.discount)
     p = F.greatest(F.coalesce("cnt", F.lit(0)) - d, F.lit(0.0)) / F.col("total") + d * F.col("followers") / F.col(
@@ -166,8 +171,17 @@ def perplexity_by(model: NgramModel, docs: DataFrame, *keys: str, tokens: str =
     Repeated n-grams of the corpus are scored once and weighted by their counts. With
     per-class models every document is scored under every class.
     """
-    positions = explode_ngrams(docs, model.n, *keys, tokens=tokens, orders=[model.n])
-    counted = positions.groupBy(*keys, "context", "word").agg(F.count("*").alias("times"))
+    return perplexity_of(model, positions(docs, model.n, *keys, tokens=tokens), *keys)
+
+
+def positions(docs: DataFrame, n: int, *keys: str, tokens: str = "tokens") -> DataFrame:
+    """``keys..., context, word, times``, stored: how often each n-gram of the full order occurs."""
+    every = explode_ngrams(docs, n, *keys, tokens=tokens, orders=[n])
+    return materialize(every.groupBy(*keys, "context", "word").agg(F.count("*").alias("times")), "lm-positions")
+
+
+def perplexity_of(model: NgramModel, counted: DataFrame, *keys: str) -> DataFrame:
+    """``perplexity_by`` of n-grams counted by ``positions``."""
     distinct = counted.select("context", "word").distinct()
     if model.by:
         # one row per model and n-gram; the list of models is small and known from the unigram contexts
@@ -187,7 +201,10 @@ def perplexity_by(model: NgramModel, docs: DataFrame, *keys: str, tokens: str =
 
 def corpus_perplexity(model: NgramModel, docs: DataFrame, tokens: str = "tokens") -> DataFrame:
     """One row; an empty corpus gives infinity."""
-    row = perplexity_by(model, docs, tokens=tokens)
+    return single_row(perplexity_by(model, docs, tokens=tokens))
+
+
+def single_row(row: DataFrame) -> DataFrame:
     return row.select(
         F.coalesce("positions", F.lit(0)).alias("positions"),
         F.coalesce("perplexity", F.lit(float("inf"))).alias("perplexity"),
@@ -196,7 +213,10 @@ def corpus_perplexity(model: NgramModel, docs: DataFrame, tokens: str = "tokens"
 
 def classify_by_perplexity(model: NgramModel, docs: DataFrame, key: str, label: str, tokens: str = "tokens") -> DataFrame:
     """``key, prediction, perplexity``: the class whose model is least surprised; ties go to the smallest class."""
-    per_class = perplexity_by(model, docs, key, tokens=tokens)
+    return least_surprised(perplexity_by(model, docs, key, tokens=tokens), key, label)
+
+
+def least_surprised(per_class: DataFrame, key: str, label: str) -> DataFrame:
     return per_class.groupBy(key).agg(
         F.min(F.struct(F.round("perplexity", 6).alias("perplexity"), F.col(label).alias("prediction"))).alias("b")
     ).select(key, "b.prediction", "b.perplexity")
