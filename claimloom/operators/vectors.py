@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.operators.neighbours import neighbours
-from claimloom.session import materialize
+from claimloom.session import discard, materialize
 
 # Vector size and window of the parameter grid.
 GRID = ((100, 3), (200, 5), (300, 7))
@@ -54,6 +54,10 @@ class WordVectors:
     shares: Shares
     size: int
 
+    def drop(self) -> None:
+        """Deletes the stored vectors when nothing reads them any more."""
+        discard(self.table)
+
     def transform(self, output: str = "features") -> DataFrame:
         """The documents trained on with the mean vector of their tokens; a token without a vector counts as zeros, and so does no token."""
         shares, tokens, size = self.shares, self.shares.tokens, self.size
@@ -105,6 +109,11 @@ def train_word_vectors(
 
 def train(shares: Shares, size: int = 200, window: int = 5) -> WordVectors:
     """The same from dealt documents."""
+    return WordVectors(materialize(trained(shares, size, window), "w2v-vectors"), shares, size)
+
+
+def trained(shares: Shares, size: int = 200, window: int = 5) -> DataFrame:
+    """``word, vector``, not stored: each read trains again. The vectors of the shares go to the tasks that average them and lie nowhere else."""
     tokens = shares.tokens
     given = shares.docs.select("share", "row", tokens)
     words = shares.words.withColumn("seed", F.xxhash64("word"))
@@ -124,11 +133,10 @@ def train(shares: Shares, size: int = 200, window: int = 5) -> WordVectors:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1) * size, "int32"), pa.array(some.ravel()))
                 yield pa.RecordBatch.from_arrays([*(part[c].combine_chunks() for c in ("word", "n", "share")), lists], ["word", "n", "share", "vector"])
 
-    trained = materialize(both.mapInArrow(fitted, "word string, n long, share int, vector array<float>"), "w2v-shares")
+    vectors_of = both.mapInArrow(fitted, "word string, n long, share int, vector array<float>")
     lots = 1 + shares.words.count() // MERGED
     lot = F.pmod(F.xxhash64("word"), F.lit(lots)).cast("int")
-    merged = trained.withColumn("lot", lot).repartitionById(lots, "lot").mapInArrow(lambda b: _averaged(b, size), "word string, vector array<double>")
-    return WordVectors(materialize(merged, "w2v-vectors"), shares, size)
+    return vectors_of.withColumn("lot", lot).repartitionById(lots, "lot").mapInArrow(lambda b: _averaged(b, size), "word string, vector array<double>")
 
 
 def _by_share(batches: Iterator[pa.RecordBatch], tokens: str) -> Iterator[tuple[pa.Table, pa.Table]]:

@@ -1,5 +1,6 @@
 """Word vectors are trained in shares: the whole text, the same whatever the partitions, and nothing whole on the driver."""
 
+import os
 import random
 from collections import Counter
 
@@ -7,6 +8,7 @@ import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from claimloom import session
 from claimloom.operators import neighbours, vectors
 
 
@@ -104,3 +106,34 @@ def test_a_norm_is_taken_once_for_a_vector(spark):
     found = neighbours.blocks(table, "id", "v")
     assert "transform(" not in found._jdf.queryExecution().optimizedPlan().toString()  # there it would be taken for each component
     assert found.collect()[0].norms == [5.0]
+
+
+def test_vectors_of_shares_are_not_stored(spark, monkeypatch):
+    """They are a few times the input; only averages are written, and not even these where they are read once."""
+    stored, real = [], vectors.materialize
+    monkeypatch.setattr(vectors, "materialize", lambda df, name: stored.append(name) or real(df, name))
+    shares = vectors.deal(spark.createDataFrame(topics(30), SCHEMA), partitions=2)
+    lazy = {r["word"]: r["vector"] for r in vectors.trained(shares, 6, 2).collect()}
+    assert stored == ["w2v-words"]
+    model = vectors.train(shares, 6, 2)
+    assert stored == ["w2v-words", "w2v-vectors"] and lazy == {r["word"]: r["vector"] for r in model.table.collect()}
+    files = [f.removeprefix("file://") for f in model.table.inputFiles()]
+    model.drop()
+    assert files and not any(os.path.exists(f) for f in files)
+    assert shares.words.count()
+
+
+def test_discard_leaves_other_tables(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/kept")
+    session.discard(spark.read.parquet(f"{tmp_path}/kept"))
+    assert spark.read.parquet(f"{tmp_path}/kept").count() == 3
+
+
+def test_few_and_many_queries_find_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(300)] + [(5, [1.0, 0.0, 0.0, 0.0]), (None, [1.0] * 4), (301, None), (302, [0.0] * 4), (303, [1.0, None, 0.0, 0.0])]
+    table = spark.createDataFrame(rows, "id long, v array<double>").repartition(3)
+    found = lambda: sorted(map(tuple, neighbours.neighbours(table, table.where("id % 7 = 0"), "id", "v", 4, block=32).collect()))
+    got = found()
+    monkeypatch.setattr(neighbours, "FEW", 0)
+    assert got == found() and len(got) == 4 * 43
