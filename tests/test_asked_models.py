@@ -79,10 +79,15 @@ def test_long_texts_and_groups_are_cut_between_texts():
 
 
 @pytest.mark.parametrize("name", ["kn_prob", "kn_perplexity", "kn_perplexity_by_text", "kn_next_word", "kn_sample_word", "lm_classify"])
-def test_no_query_lists_the_trigrams_of_the_documents(spark, monkeypatch, name):
+def test_no_query_lists_the_trigrams_of_the_documents(spark, monkeypatch, tmp_path, name):
     """Only what is asked is unfolded into rows; the documents' n-grams are packed."""
+    folder, rng = str(tmp_path), random.Random(1)
+    said = lambda: " ".join(rng.choice("abcdefgh") * 2 for _ in range(9))
+    spark.createDataFrame([(i, said()) for i in range(60)], "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(i, 1, "user", said()) for i in range(5)], "conv_id long, turn int, role string, text string").write.parquet(f"{folder}/conversations.parquet")
     unfolded, real = [], ngram_lm.explode_ngrams
     monkeypatch.setattr(ngram_lm, "explode_ngrams", lambda docs, *a, **k: unfolded.append(docs) or real(docs, *a, **k))
     monkeypatch.setattr(ngram_lm, "ngram_counts", lambda *a, **k: pytest.fail("every n-gram as a row"))
-    assert catalog.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+    assert catalog.QUERIES[name](spark, folder).count() > 0
     assert len(unfolded) == (name not in ("kn_next_word", "kn_sample_word"))
